@@ -1,0 +1 @@
+"""Text corpora as searchable vector tables, on Spark."""

@@ -31,7 +31,8 @@ def word_chunks(document: Column, max_len: int = CHUNK_CHARS) -> Column:
     packed = F.regexp_extract_all(
         T.squeeze(document), F.lit(_packing_pattern(max_len)), F.lit(0)
     )
-    return F.when(F.length(document) <= max_len, F.array(document)).otherwise(packed)
+    whole = F.when(F.length(document) <= max_len, F.array(document))
+    return F.when(document.isNotNull(), F.coalesce(whole, packed))
 
 
 def overlapping_chunks(
@@ -87,7 +88,7 @@ def _cut_with_overlap(tokens: Column, max_len: int, overlap: int) -> Column:
     def state(i: Column, start: Column, size: Column, cuts: Column) -> Column:
         return F.struct(
             i.alias("i"), start.alias("start"), size.alias("size"), cuts.alias("cuts")
-        ).cast(f"struct<i:int,start:int,size:int,cuts:{_SPANS}>")
+        )
 
     def step(acc: Column, word: Column) -> Column:
         i, start, size = acc["i"], acc["start"], acc["size"]

@@ -1,0 +1 @@
+"""Reading source files and published indexes."""
