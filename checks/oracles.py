@@ -68,8 +68,8 @@ QA = f"""
                {section('OTHER_ANSWERS', 'others', NL)}) AS document
     FROM (
         SELECT conv_id, tags, question, {first_line('question')} AS title, replies[1] AS accepted,
-               array_to_string(list_transform(list_filter(replies[2:4], a -> {strip('a')} <> ''),
-                   a -> '- ' || {cap(strip('a'), 100)}), {NL}) AS others
+               array_to_string(list_transform(list_filter(replies[2:4], lambda a: {strip('a')} <> ''),
+                   lambda a: '- ' || {cap(strip('a'), 100)}), {NL}) AS others
         FROM (
             SELECT conv_id, max(CASE WHEN turn = 0 THEN text END) AS question,
                    array_to_string(list_sort(list_distinct(list(role))), ', ') AS tags,
@@ -182,7 +182,7 @@ def best(k: int, where: str = "true", group: str = "query_id") -> str:
         WHERE rank <= {k})"""
 
 
-SCALED = "list_transform(embedding, x -> x::DOUBLE * (label + 1))"
+SCALED = "list_transform(embedding, lambda x: x::DOUBLE * (label + 1))"
 
 
 def long_form(key: str, source: str, decimals: int = 6) -> str:
@@ -301,7 +301,7 @@ ORACLES = {
         WITH RECURSIVE {TEXT_VECTORS} {long_form('vec_id', 'SELECT vec_id, v FROM index_vectors')}""",
     "l2_normalize": long_form(
         "vec_id",
-        f"""SELECT vec_id, list_transform(e, x -> x / n) AS v
+        f"""SELECT vec_id, list_transform(e, lambda x: x / n) AS v
             FROM (SELECT vec_id, {SCALED} AS e,
                          sqrt(list_inner_product({SCALED}, {SCALED})) AS n FROM embeddings)""",
     ),
@@ -323,15 +323,15 @@ ORACLES = {
               FROM embeddings)""",
     "vector_precision_cast": long_form(
         "vec_id",
-        f"SELECT vec_id, list_transform({SCALED}, x -> (x * 0.1::DOUBLE)::FLOAT)::DOUBLE[] AS v FROM embeddings",
+        f"SELECT vec_id, list_transform({SCALED}, lambda x: (x * 0.1::DOUBLE)::FLOAT)::DOUBLE[] AS v FROM embeddings",
         9,
     ),
     "embedder_udf": long_form(
         "doc_id",
-        """SELECT doc_id, list_transform(c, x -> CASE WHEN n = 0 THEN 0 ELSE x / n END::FLOAT)::DOUBLE[] AS v
+        """SELECT doc_id, list_transform(c, lambda x: CASE WHEN n = 0 THEN 0 ELSE x / n END::FLOAT)::DOUBLE[] AS v
            FROM (SELECT doc_id, c, sqrt(list_inner_product(c, c)) AS n
                  FROM (SELECT doc_id, list_transform(range(26),
-                              i -> (length(text) - length(replace(text, chr((97 + i)::INT), '')))::DOUBLE) AS c
+                              lambda i: (length(text) - length(replace(text, chr((97 + i)::INT), '')))::DOUBLE) AS c
                        FROM documents))""",
     ),
     # joins

@@ -184,7 +184,7 @@ def scaled(spark: SparkSession, sf: str) -> DataFrame:
     return vectors(spark, sf).select(
         "vec_id",
         "label",
-        F.transform(V.to_double("vector"), lambda x: x * factor).alias("vector"),
+        F.transform(V.to_double(F.col("vector")), lambda x: x * factor).alias("vector"),
     )
 
 

@@ -8,13 +8,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters Python's str.strip() and str.split() treat as
-# whitespace.  Java's \s knows only the ASCII ones.
+# whitespace.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WHITESPACE_RUN = "[" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "]+"
+# The same set: Unicode's White_Space property and four separators beside it.
+# The property test is several times faster than a list of characters.
+WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 
 # Literal LaTeX replacements, applied in this order.
 LATEX_REPLACEMENTS = (

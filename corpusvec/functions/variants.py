@@ -48,14 +48,14 @@ def items_of(value: Column) -> Column:
 
 def is_truthy(value: Column) -> Column:
     """False for missing, null, false, zero, and empty strings, lists and objects."""
-    as_json = F.to_json(value)
+    # The cheap tests come first; only objects are rendered.
     return F.coalesce(
-        ~is_null(value)
-        & ~as_json.isin('""', "false", "[]", "{}")
-        & (
-            ~kind(value).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-            | (F.try_variant_get(value, "$", "double") != 0)
-        ),
+        F.when(is_null(value), F.lit(False))
+        .when(is_string(value), F.try_variant_get(value, "$", "string") != "")
+        .when(is_list(value), F.size(F.try_variant_get(value, "$", "array<variant>")) > 0)
+        .when(is_object(value), F.to_json(value) != "{}")
+        .when(kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+        .otherwise(F.try_variant_get(value, "$", "double") != 0),
         F.lit(False),
     )
 

@@ -126,7 +126,7 @@ def _cut_with_overlap(tokens: Column, max_len: int, overlap: int) -> Column:
 
 
 def _explode_chunks(df: DataFrame, document: str, chunks: Column) -> DataFrame:
-    kept = [c for c in df.columns if c != document]
+    kept = [c for c in df.columns if c not in (document, "chunk", "text")]
     return df.select(*kept, F.posexplode(chunks).alias("chunk", "text"))
 
 
@@ -161,18 +161,21 @@ def chunk_stats(
 ) -> DataFrame:
     """Overlapping chunks with their id, position and size.
 
-    The per-document count is the size of the chunk array, taken before the
-    explode, so it needs no shuffle.
+    The per-document count is the size of the chunk array, attached to every
+    chunk before the explode, so it needs no shuffle.
     """
-    chunks = df.select(
-        F.col(doc_id).alias("doc_id"),
-        overlapping_chunks(F.col(document), max_len, overlap).alias("chunks"),
+    sized = T.bind(
+        overlapping_chunks(F.col(document), max_len, overlap),
+        lambda chunks: F.transform(
+            chunks,
+            lambda text, i: F.struct(
+                i.alias("chunk_index"),
+                F.size(chunks).alias("chunk_count"),
+                text.alias("text"),
+            ),
+        ),
     )
-    return chunks.select(
-        "doc_id",
-        F.size("chunks").alias("chunk_count"),
-        F.posexplode("chunks").alias("chunk_index", "text"),
-    ).select(
+    return df.select(F.col(doc_id).alias("doc_id"), F.inline(sized)).select(
         F.concat(
             F.col("doc_id").cast("string"),
             F.lit("__chunk_"),
