@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusvec.functions import text as T
@@ -29,29 +29,33 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return files.widen(table(spark, sf, "documents"), "doc_id")
+
+
 def first_line(text: Column) -> Column:
     return F.left(F.substring_index(text, "\n", 1), F.lit(60))
 
 
 def plain_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The documents as records of 75 files, dealt out in turn."""
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id",
         "source",
         "lang",
         (F.col("doc_id") % N_FILES).cast("int").alias("file_index"),
-        F.floor(F.col("doc_id") / N_FILES).alias("row"),
+        ordinals.whole_parts(F.col("doc_id"), N_FILES).alias("row"),
         first_line(F.col("text")).alias("title"),
         F.col("text").alias("document"),
     )
 
 
 def article_documents(spark: SparkSession, sf: str) -> DataFrame:
-    articles = table(spark, sf, "documents").select(
+    articles = documents(spark, sf).select(
         "doc_id",
         "source",
         (F.col("doc_id") % N_FILES).cast("int").alias("file_index"),
-        F.floor(F.col("doc_id") / N_FILES).alias("row"),
+        ordinals.whole_parts(F.col("doc_id"), N_FILES).alias("row"),
         first_line(F.col("text")).alias("title"),
         "text",
         F.array("lang", "source").alias("categories"),
@@ -67,7 +71,7 @@ def qa_records(spark: SparkSession, sf: str) -> DataFrame:
     """
     kept = assemble.MAX_ANSWERS + 2
     order = F.row_number().over(
-        ordinals.Window.partitionBy("conv_id", "role").orderBy("turn")
+        Window.partitionBy("conv_id", "role").orderBy("turn")
     )
     turns = table(spark, sf, "conversations").withColumn("n", order).filter(F.col("n") <= kept)
 
@@ -110,7 +114,7 @@ def latex(text: Column) -> Column:
 
 def paper_records(spark: SparkSession, sf: str) -> DataFrame:
     """Papers in both forms, as parsed JSON."""
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     number = F.col("doc_id")
     redpajama = F.to_variant_object(
         F.struct(
@@ -149,7 +153,7 @@ def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("lang") == "es", F.concat(F.lit("["), line, F.lit("]")))
         .otherwise(line)
     )
-    lines = table(spark, sf, "documents").select("doc_id", "source", broken.alias("value"))
+    lines = documents(spark, sf).select("doc_id", "source", broken.alias("value"))
     return lines.withColumn("v", F.try_parse_json("value"))
 
 
@@ -161,6 +165,13 @@ def entries(spark: SparkSession, sf: str) -> DataFrame:
     return build.documents_to_entries(plain_documents(spark, sf), EMBEDDER)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared folder, and read back by whoever needs it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def text_queries(spark: SparkSession, sf: str) -> DataFrame:
     return query.embed_queries(table(spark, sf, "benchmark"), EMBEDDER, "item_id")
 
@@ -399,7 +410,7 @@ def assemble_papers_standard(spark, sf):
 
 
 def clean_latex_corpus(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     return docs.select("doc_id", T.clean_latex(latex(F.col("text"))).alias("cleaned"))
 
 
@@ -503,7 +514,7 @@ def vector_precision_cast(spark, sf):
 
 def embedder_udf(spark, sf):
     letters = embed.BatchEmbedder(_load_letter_counter, 26)
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     return long_form(letters.embed(docs, "text", "vector"), "doc_id")
 
 
@@ -558,7 +569,7 @@ def topk_batch(spark, sf):
 
 def topk_with_sources(spark, sf):
     hits = query.search_text(
-        entries(spark, sf),
+        stored(entries(spark, sf), "entries"),
         table(spark, sf, "benchmark").withColumnRenamed("item_id", "query_id"),
         EMBEDDER,
         k=3,
@@ -585,7 +596,7 @@ def topk_per_index(spark, sf):
 
 
 def topk_block(spark, sf):
-    index = entries(spark, sf).select("vec_id", "vector")
+    index = stored(entries(spark, sf).select("vec_id", "vector"), "vectors")
     return rounded(search.topk_block(index, text_queries(spark, sf), 10, block_bytes=1 << 20))
 
 
@@ -675,14 +686,15 @@ def sample_limit(spark, sf):
 
 
 def merge_splits(spark, sf):
-    docs = plain_documents(spark, sf)
+    chunks = build.documents_to_chunks(plain_documents(spark, sf)).withColumn(
+        "split", files.split_of_file(F.col("file_index"), FILES_PER_SPLIT)
+    )
+    path = scratch_path(spark, "splits")
+    chunks.write.partitionBy("split").parquet(path)
+    written = spark.read.parquet(path)
     splits = {
-        start // FILES_PER_SPLIT: ordinals.assign_vec_ids(
-            build.documents_to_chunks(
-                files.split_by_file_range(docs, start, start + FILES_PER_SPLIT)
-            )
-        )
-        for start in range(0, N_FILES, FILES_PER_SPLIT)
+        i: ordinals.assign_vec_ids(written.filter(F.col("split") == i).drop("split"))
+        for i in range(N_FILES // FILES_PER_SPLIT)
     }
     return merge.merge_entries(splits).select("vec_id", "split_id", "doc_id", "chunk")
 

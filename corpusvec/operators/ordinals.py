@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Source rows per block.  Ranking happens inside a block, so this bounds what
@@ -14,6 +14,11 @@ SHARD_VECTORS = 200_000
 FILE_VECTORS = 50_000
 
 
+def whole_parts(number: Column, size: int) -> Column:
+    """Integer division; exact for any BIGINT."""
+    return F.call_function("div", number, F.lit(size))
+
+
 def running_offsets(sizes: DataFrame, group: str, within: str, n: str) -> DataFrame:
     """Rows before each (group, within), in that order.
 
@@ -47,7 +52,7 @@ def assign_vec_ids(
     data itself is shuffled once, by block, and no file is too large for it.
     """
     file, row, chunk = keys
-    blocked = df.withColumn("_block", F.floor(F.col(row) / block_rows))
+    blocked = df.withColumn("_block", whole_parts(F.col(row), block_rows))
     sizes = blocked.groupBy(file, "_block").agg(F.count(F.lit(1)).alias("_n"))
     offsets = running_offsets(sizes, file, "_block", "_n")
     rank = Window.partitionBy(file, "_block").orderBy(row, chunk)
@@ -59,8 +64,8 @@ def assign_vec_ids(
     )
 
 
-def shard_of(vec_id, shard_size: int = SHARD_VECTORS):
-    return F.floor(vec_id / shard_size).cast("int")
+def shard_of(vec_id: Column, shard_size: int = SHARD_VECTORS) -> Column:
+    return whole_parts(vec_id, shard_size).cast("int")
 
 
 def cluster_by_runs(
@@ -71,7 +76,7 @@ def cluster_by_runs(
     All runs have the same length, so no partition is larger than the others.
     """
     shard = shard_of(F.col("vec_id"), shard_size)
-    run = F.floor((F.col("vec_id") % shard_size) / run_size)
+    run = whole_parts(F.col("vec_id") % shard_size, run_size)
     return df.repartition(shard, run).sortWithinPartitions("vec_id")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusvec.functions import text as T
 from corpusvec.functions import variants as V
 from corpusvec.operators.chunk import CHUNK_CHARS, MIN_CHUNK_CHARS, word_chunks
-from corpusvec.operators.ordinals import SHARD_VECTORS, shard_of
+from corpusvec.operators.ordinals import SHARD_VECTORS, shard_of, whole_parts
 
 CHUNKS_PER_ROW = 1.5
 MAX_MID_WORD_BREAKS = 0.02
@@ -26,7 +26,7 @@ def estimate_chunks_by_length(df: DataFrame, size: int = CHUNK_CHARS) -> DataFra
         .groupBy("source")
         .agg(
             F.count(F.lit(1)).alias("documents"),
-            F.sum(F.greatest(F.lit(1), F.floor(length / size))).alias("estimated_chunks"),
+            F.sum(F.greatest(F.lit(1), whole_parts(length, size))).alias("estimated_chunks"),
         )
     )
 
@@ -165,7 +165,7 @@ def chunk_quality(chunks: DataFrame, documents: DataFrame, key: str = "doc_id")
 
 
 def _not_text(record: Column, name: str) -> Column:
-    """Present, but neither text nor... nothing at all."""
+    """Present, with any other type than text, null included."""
     value = V.field(record, name)
     return ~V.is_missing(value) & ~V.is_string(value)
 

@@ -135,14 +135,20 @@ def bounded_queries(queries: DataFrame, max_bytes: int) -> pa.Table | None:
     Never fetches more rows than fit.
     """
     selected = queries.select("query_id", V.to_double(F.col("vector")).alias("vector"))
-    first = selected.select(F.size("vector").alias("dim")).head()
-    if first is None:
-        return selected.limit(0).toArrow()
-    most = max_bytes // (8 * max(1, first["dim"]))
+    most = max_bytes // (8 * _dimension(queries))
     fetched = selected.limit(most + 1).toArrow()
     return fetched if fetched.num_rows <= most else None
 
 
+def _dimension(queries: DataFrame) -> int:
+    first = queries.select(F.size("vector").alias("dim")).head()
+    return 1 if first is None else max(1, first["dim"])
+
+
+def _blocks(rows: int, row_bytes: int, block_bytes: int) -> int:
+    return max(1, -(-rows * row_bytes // block_bytes))
+
+
 def _one_array(column: pa.ChunkedArray) -> pa.Array:
     merged = column.combine_chunks()
     return pa.concat_arrays(merged.chunks) if isinstance(merged, pa.ChunkedArray) else merged
@@ -199,13 +205,10 @@ def _blocked_hits(
     """
     with_index = "index_id" in index.columns
     query_type = _query_type(queries)
-    sized = index.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")
-    ).head()
-    n_queries = queries.count()
-    row_bytes = 8 * max(1, sized["dim"] or 1)
-    vector_blocks = max(1, -(-sized["n"] * row_bytes // block_bytes))
-    query_blocks = max(1, -(-n_queries * row_bytes // block_bytes))
+    # Sizes come from the ids alone, so vectors are not computed for a count.
+    row_bytes = 8 * _dimension(queries)
+    vector_blocks = _blocks(index.select("vec_id").count(), row_bytes, block_bytes)
+    query_blocks = _blocks(queries.select("query_id").count(), row_bytes, block_bytes)
 
     def blocks_of(df: DataFrame, key: str, own: str, n: int, other: str, m: int) -> DataFrame:
         every_other = F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other)

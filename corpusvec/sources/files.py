@@ -144,7 +144,7 @@ def scan_directory(spark: SparkSession, path: str, line_suffix: str = LINES) ->
     if TABLES in kinds:
         scan = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
         record = F.to_variant_object(F.struct(*scan.columns)).alias("v")
-        rows = with_row_numbers(scan).select(record, "source", "row")
+        rows = widen(with_row_numbers(scan).select(record, "source", "row"), "row")
         parts.append(_with_file_index(rows, files).select("v", "source", "file_index", "row"))
     if not parts:
         raise FileNotFoundError(f"no corpus files in {path}")
@@ -154,6 +154,18 @@ def scan_directory(spark: SparkSession, path: str, line_suffix: str = LINES) ->
     return union
 
 
+def widen(scan: DataFrame, key: str) -> DataFrame:
+    """Spread a scan with fewer partitions than cores over all of them.
+
+    A small file, or one with a single row group, would otherwise leave the
+    work on its text to one task.  A scan that is wide enough is not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)
+
+
 def count_rows_per_file(scan: DataFrame) -> DataFrame:
     """``source, rows`` of a file scan; no data column is read."""
     return scan.groupBy(F.col("_metadata.file_name").alias("source")).agg(
@@ -170,7 +182,7 @@ def split_by_file_range(df: DataFrame, start: int, end: int) -> DataFrame:
 
 
 def split_of_file(file_index: Column, files_per_split: int) -> Column:
-    return F.floor(file_index / files_per_split).cast("int")
+    return F.call_function("div", file_index, F.lit(files_per_split)).cast("int")
 
 
 def concat_shards(

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusvec.operators import quality as Q
 from corpusvec.operators.embed import Embedder, embed_chunks
-from corpusvec.operators.ordinals import SHARD_VECTORS, assign_vec_ids
+from corpusvec.operators.ordinals import SHARD_VECTORS, assign_vec_ids, shard_of
 from corpusvec.plans.build import assemble_records, documents_to_chunks
 from corpusvec.sinks.artifacts import now
 from corpusvec.sinks.publish import publish_verified
@@ -161,7 +161,7 @@ def progress_log(
     return log.select(
         "batch_id",
         total.alias("vectors_count"),
-        F.floor(total / shard_size).cast("int").alias("shard_index"),
+        shard_of(total, shard_size).alias("shard_index"),
         (total % shard_size).alias("shard_vectors"),
         F.sum("rows").over(so_far).alias("rows_processed"),
         "rejected",
