@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from corpusvec.functions import text as T
 from corpusvec.functions import vectors as V
-from corpusvec.operators.ordinals import SHARD_VECTORS, shard_of
+from corpusvec.operators.ordinals import shard_of
+from corpusvec.session import MAX_BROADCAST_ROWS
 
 DEFAULT_K = 10
 
@@ -368,21 +369,31 @@ def score_all_pairs(
     )
 
 
-def result_lookup(hits: DataFrame, index: DataFrame, max_hits: int | None = None) -> DataFrame:
+def result_lookup(
+    hits: DataFrame,
+    index: DataFrame,
+    max_hits: int | None = None,
+    shard_size: int | None = None,
+) -> DataFrame:
     """The hits with the text and provenance of the vectors they name.
 
     ``max_hits`` is the caller's bound on the number of hits (k x queries); with
-    one, the hits are broadcast.  An index stored by shard is joined on the
-    shard as well, so that only shards with a hit are read.
+    one, the hits are broadcast.  ``shard_size`` is the one a stored index was
+    written with; given it, only shards with a hit are read.
     """
     keys = ["vec_id"]
-    if "shard_id" in index.columns:
-        hits = hits.withColumn("shard_id", shard_of(F.col("vec_id"), SHARD_VECTORS))
+    if shard_size is not None:
+        # Ids are never negative; it takes a comparison for Spark to consider
+        # pruning the index's partitions by the hits.
+        hits = hits.filter(F.col("vec_id") >= 0).withColumn(
+            "shard_id", shard_of(F.col("vec_id"), shard_size)
+        )
         keys.append("shard_id")
-    small = F.broadcast(hits) if max_hits is not None and max_hits <= 100_000 else hits
-    dropped = [c for c in ("vector", "shard_id") if c in index.columns]
-    joined = index.drop(*[c for c in dropped if c not in keys]).join(small, keys)
-    return joined.drop("shard_id")
+    bounded = max_hits is not None and max_hits <= MAX_BROADCAST_ROWS
+    small = F.broadcast(hits) if bounded else hits
+    if shard_size is None:
+        index = index.drop("shard_id")
+    return index.drop("vector").join(small, keys).drop("shard_id")
 
 
 def topk_with_sources(
@@ -391,6 +402,7 @@ def topk_with_sources(
     k: int = DEFAULT_K,
     preview: int = T.PREVIEW_CHARS,
     max_query_bytes: int = MAX_QUERY_BYTES,
+    shard_size: int | None = None,
 ) -> DataFrame:
     """Hits with a one-line preview of their text and where they came from."""
     bounded = bounded_queries(queries, max_query_bytes)
@@ -400,7 +412,7 @@ def topk_with_sources(
         plain = index.select("vec_id", "vector")
         hits = _rank(_local_hits(plain, bounded, _query_type(queries), k), k)
         max_hits = k * bounded.num_rows
-    found = result_lookup(hits, index, max_hits)
+    found = result_lookup(hits, index, max_hits, shard_size)
     return found.withColumn("preview", T.preview(F.col("text"), preview)).drop("text")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusvec.operators.embed import Embedder, embed_chunks
 from corpusvec.operators.search import topk_with_sources
+from corpusvec.sources.index_store import Index
 
 
 def embed_queries(
@@ -22,3 +23,10 @@ def search_text(
 ) -> DataFrame:
     """Ranked hits of text queries, with preview and provenance."""
     return topk_with_sources(entries, embed_queries(queries, embedder), k)
+
+
+def search_index(index: Index, queries: DataFrame, embedder: Embedder, k: int = 3) -> DataFrame:
+    """As ``search_text``, on a published index: only shards with a hit give up text."""
+    return topk_with_sources(
+        index.entries, embed_queries(queries, embedder), k, shard_size=index.shard_size
+    )

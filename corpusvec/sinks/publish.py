@@ -55,7 +55,9 @@ def publish_verified(
     ):
         raise IntegrityError(f"vectors do not match the declared form: {checked.asDict()}")
     write_summary(
-        summary_row(staged, dataset, source_path, model, dimension, True, **extra),
+        summary_row(
+            staged, dataset, source_path, model, dimension, True, shard_size=shard_size, **extra
+        ),
         f"{at}/summary",
     )
     newest = newest_run(spark, path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,27 +17,20 @@ KINDS = (LINES, TABLES)
 def discover_files(
     spark: SparkSession, path: str, kinds: tuple[str, ...] = KINDS
 ) -> DataFrame:
-    """``source, kind, bytes, file_index`` of the corpus files directly in ``path``.
+    """``source, kind, file_index`` of the corpus files directly in ``path``.
 
-    Only the listing is read, never the content.  The index is the position in
-    name order; ranking works on one row per file.
+    The index is the position in name order, and empty files count.  Spark's
+    own listing of the directory is used; no file is opened.
     """
-    listed = (
+    listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.{" + ",".join(kinds) + "}")
         .load(path)
-        .select(
-            F.col("_metadata.file_name").alias("source"),
-            F.col("_metadata.file_size").alias("bytes"),
-        )
-    )
-    order = Window.orderBy("source")
-    return listed.select(
-        "source",
-        F.substring_index("source", ".", -1).alias("kind"),
-        "bytes",
-        (F.row_number().over(order) - 1).alias("file_index"),
+        .inputFiles()
     )
+    names = sorted(unquote(file.rsplit("/", 1)[1]) for file in listing)
+    rows = [(name, name.rsplit(".", 1)[1], i) for i, name in enumerate(names)]
+    return spark.createDataFrame(rows, "source string, kind string, file_index int")
 
 
 def _with_file_index(rows: DataFrame, files: DataFrame) -> DataFrame:

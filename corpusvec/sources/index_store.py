@@ -35,6 +35,10 @@ class Index:
     entries: DataFrame
     summary: DataFrame
 
+    @property
+    def shard_size(self) -> int:
+        return self.summary.first()["shard_size"]
+
     @property
     def vectors(self) -> DataFrame:
         return self.entries.select("vec_id", "vector")
