@@ -25,9 +25,6 @@ DEFAULT_DIM = 64
 ENCODE_BATCH = 1300
 VECTOR_TYPE = ST.ArrayType(ST.FloatType())
 
-# Distinct tokens remembered by one Python worker before it starts afresh.
-_TOKEN_CACHE_SIZE = 500_000
-
 
 class Embedder(Protocol):
     dim: int
@@ -48,6 +45,25 @@ def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(norms == 0, 1.0, norms)[:, None]
 
 
+def _hash_vocabulary(words: pa.StringArray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and sign of each word; the empty word has no sign and counts nothing."""
+    if len(words) == 0:
+        return np.zeros(0, dtype=np.int64), np.zeros(0)
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[words.offset : words.offset + len(words) + 1]
+    raw = data.to_pybytes() if data is not None else b""
+    bounds = ends.tolist()
+    digests = np.frombuffer(
+        b"".join([hashlib.md5(raw[a:b]).digest() for a, b in zip(bounds, bounds[1:])]),
+        dtype=np.uint8,
+    ).reshape(-1, 16)
+    head = digests[:, :4].astype(np.int64)
+    # Six hex digits are the first three bytes, the seventh half of the fourth.
+    bucket = (head[:, 0] << 16 | head[:, 1] << 8 | head[:, 2]) % dim
+    sign = np.where(np.diff(ends) == 0, 0.0, 1.0 - 2 * (head[:, 3] >> 4 & 1))
+    return bucket, sign
+
+
 class HashingEmbedder:
     """Signed feature hashing of lower-cased words, scaled to unit length.
 
@@ -98,40 +114,20 @@ class HashingEmbedder:
 
     def _kernel(self):
         dim = self.dim
-        cache: dict[str, tuple[int, int]] = {}
-
-        def bucket(word: str) -> tuple[int, int]:
-            found = cache.get(word)
-            if found is None:
-                if len(cache) >= _TOKEN_CACHE_SIZE:
-                    cache.clear()
-                digest = hashlib.md5(word.encode()).hexdigest()
-                found = cache[word] = (
-                    int(digest[:6], 16) % dim,
-                    1 - 2 * (int(digest[6], 16) % 2),
-                )
-            return found
 
         @F.arrow_udf(VECTOR_TYPE)
         def hash_words(squeezed: pa.Array) -> pa.Array:
             if isinstance(squeezed, pa.ChunkedArray):
                 squeezed = squeezed.combine_chunks()
-            texts = pc.fill_null(squeezed, "")
-            tokens = pc.split_pattern(texts, " ")
+            tokens = pc.split_pattern(pc.fill_null(squeezed, ""), " ")
             lengths = pc.list_value_length(tokens).to_numpy(zero_copy_only=False)
             coded = pc.dictionary_encode(tokens.flatten())
-            vocabulary = coded.dictionary.to_pylist()
-            table = np.array([bucket(w) for w in vocabulary], dtype=np.int64)
-            table = table.reshape(-1, 2)
-            # Splitting an empty text gives one empty word, which counts nothing.
-            weights = np.where(
-                np.array([w != "" for w in vocabulary], dtype=bool), table[:, 1], 0
-            )
+            bucket, sign = _hash_vocabulary(coded.dictionary.cast(pa.string()), dim)
             codes = coded.indices.to_numpy(zero_copy_only=False)
             owner = np.repeat(np.arange(len(lengths)), lengths)
             sums = np.bincount(
-                owner * dim + table[codes, 0],
-                weights=weights[codes],
+                owner * dim + bucket[codes],
+                weights=sign[codes],
                 minlength=len(lengths) * dim,
             ).reshape(len(lengths), dim)
             return vectors_to_arrow(_unit_rows(sums))

@@ -19,23 +19,33 @@ def whole_parts(number: Column, size: int) -> Column:
     return F.call_function("div", number, F.lit(size))
 
 
-def running_offsets(sizes: DataFrame, group: str, within: str, n: str) -> DataFrame:
-    """Rows before each (group, within), in that order.
+def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
+    """Repartition by key into the configured number of partitions.
 
-    The global part works on one row per group; the rest is per group.
+    A number given outright is kept: what follows is heavy for its bytes, and
+    merging partitions by size would leave it to a few tasks.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
+def running_offsets(sizes: DataFrame) -> DataFrame:
+    """Rows before each block, from ``_file, _block, _n``, in that order.
+
+    The global part works on one row per file; the rest is per file.
     """
     before = Window.unboundedPreceding
-    inner = Window.partitionBy(group).orderBy(within).rowsBetween(before, -1)
-    outer = Window.orderBy(group).rowsBetween(before, -1)
+    inner = Window.partitionBy("_file").orderBy("_block").rowsBetween(before, -1)
+    outer = Window.orderBy("_file").rowsBetween(before, -1)
     totals = (
-        sizes.groupBy(group)
-        .agg(F.sum(n).alias("_total"))
-        .select(group, F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_outer"))
+        sizes.groupBy("_file")
+        .agg(F.sum("_n").alias("_total"))
+        .select("_file", F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_outer"))
     )
-    return sizes.join(totals, group).select(
-        group,
-        within,
-        (F.coalesce(F.sum(n).over(inner), F.lit(0)) + F.col("_outer")).alias("_offset"),
+    return sizes.join(totals, "_file").select(
+        "_file",
+        "_block",
+        (F.coalesce(F.sum("_n").over(inner), F.lit(0)) + F.col("_outer")).alias("_offset"),
     )
 
 
@@ -52,13 +62,20 @@ def assign_vec_ids(
     data itself is shuffled once, by block, and no file is too large for it.
     """
     file, row, chunk = keys
-    blocked = df.withColumn("_block", whole_parts(F.col(row), block_rows))
-    sizes = blocked.groupBy(file, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = running_offsets(sizes, file, "_block", "_n")
-    rank = Window.partitionBy(file, "_block").orderBy(row, chunk)
+    # Keys that cannot be NULL keep rows without provenance, and add no filter
+    # to one of the two passes, so that Spark can share what they have in common.
+    blocked = df.withColumn("_file", F.coalesce(F.col(file), F.lit(-1))).withColumn(
+        "_block", F.coalesce(whole_parts(F.col(row), block_rows), F.lit(-1))
+    )
+    sizes = blocked.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    rank = Window.partitionBy("_file", "_block").orderBy(row, chunk)
+    # The hint keeps the data where it is and makes the offsets the table that
+    # is looked up, one partition at a time.
+    offsets = running_offsets(sizes).hint("shuffle_hash")
     return (
-        blocked.withColumn("_rank", F.row_number().over(rank))
-        .join(offsets, [file, "_block"])
+        spread(blocked, "_file", "_block")
+        .withColumn("_rank", F.row_number().over(rank))
+        .join(offsets, ["_file", "_block"])
         .withColumn(out, F.col("_offset") + F.col("_rank") - 1)
         .select(out, *df.columns)
     )
@@ -77,7 +94,7 @@ def cluster_by_runs(
     """
     shard = shard_of(F.col("vec_id"), shard_size)
     run = whole_parts(F.col("vec_id") % shard_size, run_size)
-    return df.repartition(shard, run).sortWithinPartitions("vec_id")
+    return spread(df, shard, run).sortWithinPartitions("vec_id")
 
 
 def sample_limit(df: DataFrame, n: int, order: str = "vec_id") -> DataFrame:

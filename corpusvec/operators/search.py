@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from corpusvec.functions import text as T
 from corpusvec.functions import vectors as V
-from corpusvec.operators.ordinals import shard_of
+from corpusvec.operators.ordinals import shard_of, spread
 from corpusvec.session import MAX_BROADCAST_ROWS
 
 DEFAULT_K = 10
@@ -214,7 +214,7 @@ def _blocked_hits(
     def blocks_of(df: DataFrame, key: str, own: str, n: int, other: str, m: int) -> DataFrame:
         every_other = F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other)
         mine = F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(own)
-        return df.select("*", mine).select("*", every_other)
+        return spread(df.select("*", mine).select("*", every_other), "vb", "qb")
 
     columns = ["vec_id", "vector"] + (["index_id"] if with_index else [])
     left = blocks_of(index.select(*columns), "vec_id", "vb", vector_blocks, "qb", query_blocks)
