@@ -62,9 +62,12 @@ def words(col: Column) -> Column:
 
 def cap(col: Column, limit: int) -> Column:
     """Cut to ``limit`` code points, marking the cut with an ellipsis."""
-    return F.when(
-        F.length(col) > limit, F.concat(F.left(col, F.lit(limit)), F.lit("..."))
-    ).otherwise(col)
+    return bind(
+        col,
+        lambda x: F.when(
+            F.length(x) > limit, F.concat(F.left(x, F.lit(limit)), F.lit("..."))
+        ).otherwise(x),
+    )
 
 
 def non_empty(col: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusvec.functions import text as T
+
 
 def field(record: Column, name: str) -> Column:
     """A field as VARIANT; SQL NULL if the key is missing."""
@@ -48,22 +50,27 @@ def items_of(value: Column) -> Column:
 
 def is_truthy(value: Column) -> Column:
     """False for missing, null, false, zero, and empty strings, lists and objects."""
-    # The cheap tests come first; only objects are rendered.
-    return F.coalesce(
-        F.when(is_null(value), F.lit(False))
-        .when(is_string(value), F.try_variant_get(value, "$", "string") != "")
-        .when(is_list(value), F.size(F.try_variant_get(value, "$", "array<variant>")) > 0)
-        .when(is_object(value), F.to_json(value) != "{}")
-        .when(kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .otherwise(F.try_variant_get(value, "$", "double") != 0),
-        F.lit(False),
-    )
+
+    def test(shape: Column) -> Column:
+        return (
+            F.when(shape == "VOID", F.lit(False))
+            .when(shape == "STRING", F.try_variant_get(value, "$", "string") != "")
+            .when(
+                shape.startswith("ARRAY"),
+                F.size(F.try_variant_get(value, "$", "array<variant>")) > 0,
+            )
+            .when(shape.startswith("OBJECT"), F.to_json(value) != "{}")
+            .when(shape == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+            .otherwise(F.try_variant_get(value, "$", "double") != 0)
+        )
+
+    return F.coalesce(T.bind(kind(value), test), F.lit(False))
 
 
 def first_truthy(record: Column, *names: str) -> Column:
     """The first truthy field among aliases; NULL if there is none."""
     return F.coalesce(
-        *(F.when(is_truthy(field(record, n)), field(record, n)) for n in names)
+        *(T.bind(field(record, n), lambda f: F.when(is_truthy(f), f)) for n in names)
     )
 
 

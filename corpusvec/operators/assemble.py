@@ -199,14 +199,17 @@ def paper_fields(record: Column, max_authors: int = MAX_AUTHORS) -> dict[str, Co
     def scalar(value: Column) -> Column:
         return F.when(V.is_truthy(value), V.display(value))
 
-    def list_or_scalar(value: Column, limit: int | None) -> Column:
-        items = V.items_of(value)
-        if limit is not None:
-            items = F.slice(items, 1, limit)
-        printed = F.transform(F.filter(items, V.is_truthy), V.display)
-        return F.when(V.is_list(value), T.join_present(printed)).otherwise(
-            V.display(value)
-        )
+    def list_or_scalar(limit: int | None, *names: str) -> Column:
+        def printed(value: Column) -> Column:
+            items = V.items_of(value)
+            if limit is not None:
+                items = F.slice(items, 1, limit)
+            listed = F.transform(F.filter(items, V.is_truthy), V.display)
+            return F.when(V.is_list(value), T.join_present(listed)).otherwise(
+                V.display(value)
+            )
+
+        return T.bind(V.first_truthy(record, *names), printed)
 
     meta = V.field(record, "meta")
     return {
@@ -215,13 +218,9 @@ def paper_fields(record: Column, max_authors: int = MAX_AUTHORS) -> dict[str, Co
         "meta_id": scalar(V.field(meta, "arxiv_id")),
         "yymm": scalar(V.field(meta, "yymm")),
         "arxiv_id": V.display(V.first_truthy(record, "id", "arxiv_id")),
-        "categories": list_or_scalar(
-            V.first_truthy(record, "categories", "category"), None
-        ),
+        "categories": list_or_scalar(None, "categories", "category"),
         "title": V.text_of(V.field(record, "title")),
-        "authors": list_or_scalar(
-            V.first_truthy(record, "authors", "author"), max_authors
-        ),
+        "authors": list_or_scalar(max_authors, "authors", "author"),
         "abstract": V.text_of(V.field(record, "abstract")),
     }
 
