@@ -231,7 +231,7 @@ ORACLES = {
     "scan_jsonl": "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, doc_id, lang, text FROM documents",
     "scan_parquet": "SELECT doc_id, lang, n_chars FROM documents",
     "discover_files": """
-        SELECT 'json' AS kind, 3 AS files, count(*)::BIGINT AS rows, 0 AS outside FROM documents
+        SELECT 'json' AS kind, 3::BIGINT AS files, count(*) AS rows, 0::BIGINT AS outside FROM documents
         UNION ALL SELECT 'parquet', 2, count(*), 0 FROM benchmark""",
     "row_provenance": """
         SELECT doc_id, 'documents.parquet' AS source, row_number() OVER (ORDER BY doc_id) - 1 AS row
@@ -257,7 +257,7 @@ ORACLES = {
         FROM embeddings GROUP BY 1""",
     "write_summary": f"""
         SELECT 'embeddings' AS dataset_name, count(*) AS total_vectors,
-               'signed word hashing' AS embedding_model, {DIM} AS embedding_dimension,
+               'signed word hashing' AS embedding_model, {DIM}::BIGINT AS embedding_dimension,
                'VERIFIED' AS integrity_status
         FROM embeddings""",
     "artifact_manifest": """

@@ -62,9 +62,9 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return flat.astype(np.float64).reshape(len(vectors), -1)
 
 
-def _scores(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
+def _rounded(scores: np.ndarray) -> np.ndarray:
     # Adding zero turns -0.0 into 0.0.
-    return np.round(vectors @ queries.T, SCORE_DECIMALS) + 0.0
+    return np.round(scores, SCORE_DECIMALS) + 0.0
 
 
 def _best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
@@ -78,33 +78,41 @@ def _best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.n
 
 
 class _TopK:
-    """Running best k per query over any number of batches."""
+    """Running best k per query over any number of batches.
 
-    def __init__(self, k: int):
-        self.k = k
+    Once a query has k hits, its worst one is the bar: a later score below it
+    is dropped by one comparison.
+    """
+
+    def __init__(self, k: int, queries: np.ndarray):
+        self.k, self.queries = k, queries
+        self.bar = np.full(len(queries), -np.inf)
         self.query = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.int64)
         self.score = np.zeros(0)
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray) -> None:
-        step = max(1, _SCORE_CELLS // max(1, len(queries)))
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        step = max(1, _SCORE_CELLS // max(1, len(self.queries)))
         for at in range(0, len(ids), step):
-            self._merge(ids[at : at + step], _scores(vectors[at : at + step], queries))
+            self._merge(ids[at : at + step], self.queries @ vectors[at : at + step].T)
 
     def _merge(self, ids: np.ndarray, scores: np.ndarray) -> None:
-        n = len(ids)
-        if n > self.k:
-            # Everything tied with the k-th best stays in until ids decide.
-            floor = np.partition(scores, n - self.k, axis=0)[n - self.k]
-            rows, cols = np.nonzero(scores >= floor)
-        else:
-            rows, cols = (x.ravel() for x in np.indices(scores.shape))
-        query = np.concatenate([self.query, cols])
-        all_ids = np.concatenate([self.ids, ids[rows]])
-        score = np.concatenate([self.score, scores[rows, cols]])
-        if len(query):
-            kept = _best(query, all_ids, score, self.k)
-            self.query, self.ids, self.score = query[kept], all_ids[kept], score[kept]
+        bar, n = self.bar, len(ids)
+        if n > self.k and np.isneginf(bar).any():
+            bar = np.maximum(bar, np.partition(scores, n - self.k, axis=1)[:, n - self.k])
+        # What rounds to the bar or above it stays in until ids decide.
+        query, column = np.nonzero(scores >= (bar - 10.0**-SCORE_DECIMALS * 1.01)[:, None])
+        if not len(query):
+            return
+        all_query = np.concatenate([self.query, query])
+        all_ids = np.concatenate([self.ids, ids[column]])
+        all_scores = np.concatenate([self.score, _rounded(scores[query, column])])
+        kept = _best(all_query, all_ids, all_scores, self.k)
+        self.query, self.ids, self.score = all_query[kept], all_ids[kept], all_scores[kept]
+        hits = np.bincount(self.query, minlength=len(self.queries))
+        last = np.cumsum(hits) - 1
+        full = hits == self.k
+        self.bar[full] = self.score[last[full]]
 
 
 def _hits_batch(query_ids: pa.Array, best: _TopK, index_id=None) -> pa.RecordBatch:
@@ -155,11 +163,17 @@ def _one_array(column: pa.ChunkedArray) -> pa.Array:
     return pa.concat_arrays(merged.chunks) if isinstance(merged, pa.ChunkedArray) else merged
 
 
+def _check_k(k: int) -> None:
+    if k < 1:
+        raise ValueError(f"k must be at least 1, not {k}")
+
+
 # Local search --------------------------------------------------------------
 
 
 def _local_hits(index: DataFrame, queries: pa.Table, query_type: str, k: int) -> DataFrame:
     """Best k per query (and index, if there is an index_id) of every task."""
+    _check_k(k)
     with_index = "index_id" in index.columns
     query_ids = _one_array(queries["query_id"])
     query_matrix = _matrix(queries["vector"])
@@ -179,14 +193,14 @@ def _local_hits(index: DataFrame, queries: pa.Table, query_type: str, k: int) ->
             ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
             vectors = _matrix(batch.column("vector"))
             if not with_index:
-                open_states.setdefault(None, _TopK(k)).add(ids, vectors, query_matrix)
+                open_states.setdefault(None, _TopK(k, query_matrix)).add(ids, vectors)
                 continue
             coded = batch.column("index_id").dictionary_encode()
             codes = coded.indices.to_numpy(zero_copy_only=False)
             for code, index_id in enumerate(coded.dictionary.to_pylist()):
                 mine = codes == code
-                best = open_states.setdefault(index_id, _TopK(k))
-                best.add(ids[mine], vectors[mine], query_matrix)
+                best = open_states.setdefault(index_id, _TopK(k, query_matrix))
+                best.add(ids[mine], vectors[mine])
             if len(open_states) > _MAX_OPEN_INDEXES:
                 yield from flush()
         yield from flush()
@@ -204,6 +218,8 @@ def _blocked_hits(
     whatever the data looks like, and neither side is ever held whole.  With
     ``k`` None every score is kept.
     """
+    if k is not None:
+        _check_k(k)
     with_index = "index_id" in index.columns
     query_type = _query_type(queries)
     # Sizes come from the ids alone, so vectors are not computed for a count.
@@ -236,8 +252,8 @@ def _blocked_hits(
             groups = [(None, np.ones(len(ids), dtype=bool))]
         if len(ids) and len(query_ids):
             for index_id, mine in groups:
-                best = _TopK(int(mine.sum()) if k is None else k)
-                best.add(ids[mine], matrix[mine], query_matrix)
+                best = _TopK(int(mine.sum()) if k is None else k, query_matrix)
+                best.add(ids[mine], matrix[mine])
                 parts.append(_hits_batch(query_ids, best, index_id))
         schema = pa.schema(
             [("query_id", query_ids.type), ("vec_id", pa.int64()), ("score", pa.float64())]
@@ -352,7 +368,7 @@ def score_all_pairs(
         for batch in batches:
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                scores = _scores(_matrix(part.column("vector")), query_matrix)
+                scores = _rounded(_matrix(part.column("vector")) @ query_matrix.T)
                 rows, cols = np.indices(scores.shape)
                 yield pa.RecordBatch.from_pydict(
                     {
