@@ -51,20 +51,23 @@ def items_of(value: Column) -> Column:
 def is_truthy(value: Column) -> Column:
     """False for missing, null, false, zero, and empty strings, lists and objects."""
 
-    def test(shape: Column) -> Column:
+    def test(x: Column, shape: Column) -> Column:
         return (
             F.when(shape == "VOID", F.lit(False))
-            .when(shape == "STRING", F.try_variant_get(value, "$", "string") != "")
+            .when(shape == "STRING", F.try_variant_get(x, "$", "string") != "")
             .when(
                 shape.startswith("ARRAY"),
-                F.size(F.try_variant_get(value, "$", "array<variant>")) > 0,
+                F.size(F.try_variant_get(x, "$", "array<variant>")) > 0,
             )
-            .when(shape.startswith("OBJECT"), F.to_json(value) != "{}")
-            .when(shape == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-            .otherwise(F.try_variant_get(value, "$", "double") != 0)
+            .when(shape.startswith("OBJECT"), F.to_json(x) != "{}")
+            .when(shape == "BOOLEAN", F.try_variant_get(x, "$", "boolean"))
+            .otherwise(F.try_variant_get(x, "$", "double") != 0)
         )
 
-    return F.coalesce(T.bind(kind(value), test), F.lit(False))
+    # Lambda bodies name no outer column: Spark could take it for an alias of
+    # the same select list.
+    tested = T.bind(value, lambda x: T.bind(kind(x), lambda shape: test(x, shape)))
+    return F.coalesce(tested, F.lit(False))
 
 
 def first_truthy(record: Column, *names: str) -> Column:

@@ -113,6 +113,15 @@ def test_typed_papers_accept_lists_and_strings(spark):
     assert "[CATEGORIES] a, b" in row.document and "[AUTHORS] A, B, C, D, E\n" in row.document
 
 
+def test_fields_of_a_record_named_like_one_of_them(spark):
+    df = spark.createDataFrame([('{"text": "x", "meta": {"arxiv_id": "1"}}',)], "line string").select(
+        F.try_parse_json("line").alias("redpajama")
+    )
+    fields = A.paper_fields(F.col("redpajama"))
+    row = df.select(*(c.alias(n) for n, c in fields.items())).first()
+    assert (row.redpajama, row.text, row.meta_id) == (True, "x", "1")
+
+
 def test_chunk_metadata(spark):
     df = spark.createDataFrame(
         [("f", 0, 1, 2, "t" * 150, None)],
