@@ -54,10 +54,7 @@ def squeeze(col: Column) -> Column:
 
 def words(col: Column) -> Column:
     """Whitespace-separated words; an all-blank text has none."""
-    squeezed = squeeze(col)
-    return F.when(squeezed == "", F.array().cast("array<string>")).otherwise(
-        F.split(squeezed, " ")
-    )
+    return F.array_remove(F.split(squeeze(col), " "), "")
 
 
 def cap(col: Column, limit: int) -> Column:

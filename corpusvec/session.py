@@ -4,23 +4,34 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-# Largest side, in rows, that is ever broadcast on purpose.
-MAX_BROADCAST_ROWS = 200_000
+# Largest side that is ever broadcast on purpose.  Such sides have a few short
+# columns, about 100 bytes a row, so this stays around 200 MB.
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="corpusvec-")
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only if the session names none."""
+    """The folder all executors share, as the session names it.
+
+    Only a session on one machine may go without; it gets a temporary folder.
+    """
     root = spark.conf.get(CHECKPOINT_CONF, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="corpusvec-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
+    return _local_root()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -28,6 +39,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/corpusvec/{name}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Compute a small table once: written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting; past the bound Spark picks the join.
 

@@ -7,7 +7,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusvec.session import broadcast_if_small
+from corpusvec.session import broadcast_if_small, settle
 
 # The file kinds of a corpus directory, by suffix.
 LINES, TABLES = "jsonl", "parquet"
@@ -41,17 +41,18 @@ def _with_file_index(rows: DataFrame, files: DataFrame) -> DataFrame:
 # Line files ----------------------------------------------------------------
 
 
-def with_line_numbers(lines: DataFrame, spark_ids: str = "_position") -> DataFrame:
+def with_line_numbers(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Number the lines of every file from 0, without shuffling them.
 
-    Expects ``source``, ``_split`` (where the file split starts) and the scan's
-    ``monotonically_increasing_id``.  A line's number is its place in its split
-    plus the lines of the splits before; only one row per split is shuffled.
-    Should the two passes over the scan disagree on the splits, the job fails
-    rather than lose lines.
+    Expects ``source``, ``_split`` (where the file split starts) and
+    ``_position``, the scan's ``monotonically_increasing_id``.  A line's number
+    is its place in its split plus the lines of the splits before.  Only one row
+    per split is shuffled; those are counted once, kept, and looked up.  ``files``
+    adds the file index on the way.  Should the two passes over the scan disagree
+    on the splits, the job fails rather than lose lines.
     """
     splits = lines.groupBy("source", "_split").agg(
-        F.count(F.lit(1)).alias("_n"), F.min(spark_ids).alias("_first")
+        F.count(F.lit(1)).alias("_n"), F.min("_position").alias("_first")
     )
     before = (
         Window.partitionBy("source")
@@ -64,15 +65,18 @@ def with_line_numbers(lines: DataFrame, spark_ids: str = "_position") -> DataFra
         "_first",
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
     )
-    number = F.col("_before") + F.col(spark_ids) - F.col("_first")
+    if files is not None:
+        starts = starts.join(files.select("source", "file_index"), "source")
+    number = F.col("_before") + F.col("_position") - F.col("_first")
     checked = F.when(
         number.isNull() | (number < 0),
         F.raise_error(F.lit("file splits changed between passes")).cast("long"),
     ).otherwise(number)
+    kept = broadcast_if_small(settle(starts, "splits"))
     return (
-        lines.join(broadcast_if_small(starts), ["source", "_split"], "left")
+        lines.join(kept, ["source", "_split"], "left")
         .withColumn("row", checked)
-        .drop("_split", "_first", "_before", spark_ids)
+        .drop("_split", "_first", "_before", "_position")
     )
 
 
@@ -99,8 +103,7 @@ def scan_jsonl(
     """
     if files is None:
         files = discover_files(spark, path, (suffix, TABLES))
-    numbered = with_line_numbers(_lines(spark, path, f"*.{suffix}"))
-    return _with_file_index(numbered, files).select(
+    return with_line_numbers(_lines(spark, path, f"*.{suffix}"), files).select(
         "value",
         F.try_parse_json(F.trim(F.col("value"))).alias("v"),
         "source",
