@@ -136,16 +136,18 @@ def chunk_quality(chunks: DataFrame, documents: DataFrame, key: str = "doc_id")
     mid-word break is a chunk with an edge that is not clean; a self-contained
     chunk has two clean edges, is long enough, and is valid UTF-8.
     """
-    sources = documents.select(key, T.squeeze(F.col("document")).alias("_document"))
-    paired = chunks.select(key, "text").join(sources, key)
-    body = T.squeeze(F.col("text"))
-    edges = paired.select(
-        F.contains(
-            F.concat(F.lit(" "), "_document", F.lit(" ")),
-            F.concat(F.lit(" "), body, F.lit(" ")),
-        ).alias("clean"),
-        (F.length(body) >= MIN_CHUNK_CHARS).alias("long_enough"),
-        F.is_valid_utf8("text").alias("valid"),
+    def padded(text: str) -> Column:
+        return F.concat(F.lit(" "), T.squeeze(F.col(text)), F.lit(" "))
+
+    # Both sides are prepared before the join, each document once.
+    sources = documents.select(key, padded("document").alias("_document"))
+    pieces = chunks.select(
+        key, padded("text").alias("_piece"), F.is_valid_utf8("text").alias("valid")
+    )
+    edges = pieces.join(sources, key).select(
+        F.contains("_document", "_piece").alias("clean"),
+        (F.length("_piece") - 2 >= MIN_CHUNK_CHARS).alias("long_enough"),
+        "valid",
     )
     rates = edges.agg(
         F.count(F.lit(1)).alias("chunks"),

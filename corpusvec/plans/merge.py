@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusvec.operators.ordinals import assign_vec_ids
+from corpusvec.sinks.publish import publish_verified
 from corpusvec.sources.index_store import Index, IndexNotFound, load_index
 
 log = logging.getLogger(__name__)
@@ -79,8 +80,6 @@ def merge_splits(
     source_path: str = "",
 ) -> Index:
     """Merge the split indexes at ``paths`` into one published index at ``path``."""
-    from corpusvec.sinks.publish import publish_verified
-
     splits = load_splits(spark, paths)
     summaries = [s.summary.first().asDict() for s in splits.values()]
     forms = {(s["embedding_model"], s["embedding_dimension"]) for s in summaries}
@@ -97,6 +96,9 @@ def merge_splits(
         dimension=dimension,
         source_path=source_path,
         expected_chunks=spark.range(1).select(F.lit(total).alias("n_expected")),
+        # The splits' files hold runs of consecutive ids, and still do under new
+        # ids, so the vectors are rewritten where they are read.
+        clustered=True,
         split_merge=True,
         num_splits=len(splits),
     )
