@@ -6,19 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusvec.llm import simhash
+from corpusvec.llm import chat, packing, quality, simhash
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.judge(table(spark, sf, "documents"))
+
+
+def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
+    turns = chat.with_probe(table(spark, sf, "conversations"))
+    return chat.digests(chat.format_conversations(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
+    "op5_quality": op5_quality,
+    "op9_chat": op9_chat,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_packing": packing.sql(),
+    "op5_quality": quality.sql(),
+    "op9_chat": chat.SQL,
+}
