@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusvec.llm import chat, packing, quality, simhash
+from corpusvec.llm import chat, lines, packing, quality, simhash
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def op3_lines(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    return lines.remove_boilerplate(docs)
+
+
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
 
@@ -33,12 +38,14 @@ def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
+    "op3_lines": op3_lines,
     "op5_quality": op5_quality,
     "op9_chat": op9_chat,
 }
 
 ORACLES: dict[str, str] = {
     "op1_packing": packing.sql(),
+    "op3_lines": lines.sql(),
     "op5_quality": quality.sql(),
     "op9_chat": chat.SQL,
 }
