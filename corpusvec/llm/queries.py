@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusvec.llm import chat, lines, packing, quality, simhash
+from corpusvec.llm import chat, language, lines, packing, quality, simhash
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
 
 
+def op8_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(table(spark, sf, "documents"))
+
+
 def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
     turns = chat.with_probe(table(spark, sf, "conversations"))
     return chat.digests(chat.format_conversations(turns))
@@ -40,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_lines": op3_lines,
     "op5_quality": op5_quality,
+    "op8_language": op8_language,
     "op9_chat": op9_chat,
 }
 
