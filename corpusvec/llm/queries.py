@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusvec.llm import chat, language, lines, packing, quality, simhash
+from corpusvec.llm import chat, language, lines, packing, quality, recipes, simhash
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
 
 
+def op6_recipes(spark: SparkSession, sf: str) -> DataFrame:
+    return recipes.exact_duplicates(table(spark, sf, "documents"))
+
+
 def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(table(spark, sf, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_lines": op3_lines,
     "op5_quality": op5_quality,
+    "op6_recipes": op6_recipes,
     "op8_language": op8_language,
     "op9_chat": op9_chat,
 }
@@ -52,5 +57,6 @@ ORACLES: dict[str, str] = {
     "op1_packing": packing.sql(),
     "op3_lines": lines.sql(),
     "op5_quality": quality.sql(),
+    "op6_recipes": recipes.SQL,
     "op9_chat": chat.SQL,
 }
