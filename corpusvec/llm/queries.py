@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusvec.llm import chat, language, lines, packing, quality, recipes, simhash
+from corpusvec.llm import chat, language, lines, packing, quality, recipes, simhash, suffixes
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op9_chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digests(chat.format_conversations(turns))
 
 
+def op10_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_recipes": op6_recipes,
     "op8_language": op8_language,
     "op9_chat": op9_chat,
+    "op10_suffixes": op10_suffixes,
 }
 
 ORACLES: dict[str, str] = {
