@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusvec.llm import chat, language, lines, packing, quality, recipes, simhash, suffixes
+from corpusvec.llm import chat, language, lattice, lines, packing, quality, recipes, simhash, suffixes
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_lines(spark: SparkSession, sf: str) -> DataFrame:
     return lines.remove_boilerplate(docs)
 
 
+def op4_lattice(spark: SparkSession, sf: str) -> DataFrame:
+    return lattice.score_documents(table(spark, sf, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
     "op3_lines": op3_lines,
+    "op4_lattice": op4_lattice,
     "op5_quality": op5_quality,
     "op6_recipes": op6_recipes,
     "op8_language": op8_language,
