@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusvec.llm import chat, language, lattice, lines, packing, quality, recipes, simhash, suffixes
+from corpusvec.llm import chat, language, lattice, lines, packing, pieces, quality, recipes, simhash, suffixes
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -38,6 +38,11 @@ def op6_recipes(spark: SparkSession, sf: str) -> DataFrame:
     return recipes.exact_duplicates(table(spark, sf, "documents"))
 
 
+def op7_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    decoded = pieces.decode(pieces.encode(table(spark, sf, "documents")))
+    return decoded.withColumn("text", decoded["text"].cast("string"))
+
+
 def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(table(spark, sf, "documents"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lattice": op4_lattice,
     "op5_quality": op5_quality,
     "op6_recipes": op6_recipes,
+    "op7_pieces": op7_pieces,
     "op8_language": op8_language,
     "op9_chat": op9_chat,
     "op10_suffixes": op10_suffixes,

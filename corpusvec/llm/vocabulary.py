@@ -17,6 +17,11 @@ DEFAULT_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 # Fixed value: stands for a blank inside pieces.
 MARK = "▁"
 
+# Bytes spell what no piece does; each costs this much more than the worst piece.
+# Scores below PLACED belong to pieces that the file keeps out of the ranking.
+BYTE_PENALTY = 10.0
+PLACED = -1e8
+
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -47,17 +52,17 @@ def load(path: str) -> Vocabulary:
     from sentencepiece import SentencePieceProcessor
 
     model = SentencePieceProcessor(model_file=path)
-    pieces, bytes_found, byte_score = {}, {}, 0.0
+    pieces, bytes_found = {}, {}
     for i in range(len(model)):
         piece = model.id_to_piece(i)
         if model.is_byte(i):
             bytes_found[int(piece[3:5], 16)] = i
-            byte_score = model.get_score(i)
         elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
             if MARK in piece.lstrip(MARK):
                 raise ValueError(f"piece {piece!r} has a blank inside")
             pieces[piece] = (i, model.get_score(i))
     if len(bytes_found) != 256:
         raise ValueError("the vocabulary has no piece for every byte")
+    byte_score = min(s for _, s in pieces.values() if s > PLACED) - BYTE_PENALTY
     byte_ids = tuple(bytes_found[b] for b in range(256))
     return Vocabulary(pieces, byte_ids, byte_score, len(model), max(map(len, pieces)))
