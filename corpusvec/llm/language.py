@@ -7,7 +7,9 @@ rejects the answer.
 
 Texts are lower-cased and reduced to their letters, and go through whole, in
 blocks: long texts would otherwise learn from themselves and dilute what the
-dictionaries say.
+dictionaries say.  A text of under ``SHORT_BYTES`` is too small to compress at all, so
+it goes behind a probe, words dealt from the dictionary; what it adds to the probe's
+size counts.
 
 The dictionaries are the only thing learned.  They come from a bounded sample:
 per language, the ``DICT_DOCS`` distinct training texts with the smallest hashes
@@ -38,6 +40,7 @@ MIN_MARGIN = 0.01
 DICT_DOCS, DICT_PIECE, DICT_BYTES = 256, 1024, 1 << 16
 LEVEL = 6
 BLOCK_BYTES = 2048
+SHORT_BYTES, PROBE_WORDS, PROBE_STEP = 256, 80, 7
 
 _NOT_LETTERS = r"[^\p{L}\p{M}]+"
 _RESULT = "struct<lang: string, score: double>"
@@ -85,36 +88,43 @@ def learn(docs: DataFrame, docs_per_language: int = DICT_DOCS) -> dict[str, byte
     }
 
 
-def compressors(dictionaries: dict[str, bytes]) -> dict[str, zstandard.ZstdCompressor]:
-    built = {}
-    for lang in sorted(dictionaries):
-        raw = zstandard.ZstdCompressionDict(
-            dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT
-        )
+class Compressor:
+    """Sizes of texts under one language's dictionary."""
+
+    def __init__(self, dictionary: bytes):
+        raw = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         raw.precompute_compress(level=LEVEL)
-        built[lang] = zstandard.ZstdCompressor(
+        self.compress = zstandard.ZstdCompressor(
             level=LEVEL,
             dict_data=raw,
             write_content_size=False,
             write_checksum=False,
             write_dict_id=False,
+        ).compress
+        self.probe = b" ".join(dictionary.split()[::PROBE_STEP][-PROBE_WORDS:]) + b" "
+        self.probe_size = len(self.compress(self.probe))
+
+    def size(self, text: bytes) -> int:
+        if len(text) < SHORT_BYTES:
+            return max(0, len(self.compress(self.probe + text)) - self.probe_size)
+        compress = self.compress
+        return sum(
+            [len(compress(text[at : at + BLOCK_BYTES])) for at in range(0, len(text), BLOCK_BYTES)]
         )
-    return built
 
 
-def classify(text: bytes | None, by_lang: dict[str, zstandard.ZstdCompressor]) -> tuple[str, float]:
+def compressors(dictionaries: dict[str, bytes]) -> dict[str, Compressor]:
+    return {lang: Compressor(dictionaries[lang]) for lang in sorted(dictionaries)}
+
+
+def classify(text: bytes | None, by_lang: dict[str, Compressor]) -> tuple[str, float]:
     """Language and margin of one text of letters."""
     if not text or not by_lang:
         return UNKNOWN, 0.0
-    blocks = [text[at : at + BLOCK_BYTES] for at in range(0, len(text), BLOCK_BYTES)]
-    sizes = []
-    for lang, compressor in by_lang.items():
-        compress = compressor.compress
-        sizes.append((sum([len(compress(block)) for block in blocks]), lang))
-    sizes.sort()
+    sizes = sorted((compressor.size(text), lang) for lang, compressor in by_lang.items())
     if len(sizes) == 1:
         return sizes[0][1], 1.0
-    return sizes[0][1], 1 - sizes[0][0] / sizes[1][0]
+    return sizes[0][1], (sizes[1][0] - sizes[0][0]) / max(1, sizes[1][0])
 
 
 def language(text: Column, dictionaries: dict[str, bytes]) -> Column:
