@@ -550,8 +550,12 @@ def result_lookup(spark, sf):
     return rounded(search.result_lookup(hits, docs))
 
 
-def score_all_pairs(spark, sf):
-    return rounded(search.score_all_pairs(exemplars(spark, sf), vectors(spark, sf)))
+def score_pairs(spark, sf):
+    """Every vector with its own label's query and the next label's."""
+    index = vectors(spark, sf)
+    label = F.col("label").cast("long")
+    pairs = index.select("vec_id", F.explode(F.array(label, (label + 1) % 10)).alias("query_id"))
+    return rounded(search.score_pairs(pairs, exemplars(spark, sf), index))
 
 
 # Search --------------------------------------------------------------------
@@ -749,7 +753,7 @@ QUERIES = {
         chunk_words, chunk_words_overlap, chunk_stats,
         embed_chunks, l2_normalize, inner_product, cosine_similarity,
         vector_validation, vector_precision_cast, embedder_udf,
-        align_triple, alignment_audit, result_lookup, score_all_pairs,
+        align_triple, alignment_audit, result_lookup, score_pairs,
         topk_single, topk_batch, topk_with_sources, topk_filtered, score_bands,
         topk_per_index, topk_block,
         estimate_chunks_by_length, estimate_chunks_by_rows, chunks_per_document,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from corpusvec.functions.text import bind
+
 
 def to_double(vector: Column) -> Column:
     return vector.cast("array<double>")
@@ -28,10 +30,12 @@ def l2_norm(vector: Column) -> Column:
 
 def l2_normalize(vector: Column) -> Column:
     """Unit length; a zero vector stays as it is."""
-    norm = l2_norm(vector)
-    return F.when(norm == 0, to_double(vector)).otherwise(
-        F.transform(to_double(vector), lambda x: x / norm)
-    )
+
+    def scaled(x: Column, norm: Column) -> Column:
+        return F.when(norm == 0, x).otherwise(F.transform(x, lambda y: y / norm))
+
+    # Vector and norm are each evaluated once, whatever the dimension.
+    return bind(to_double(vector), lambda x: bind(l2_norm(x), lambda norm: scaled(x, norm)))
 
 
 def cosine(a: Column, b: Column) -> Column:

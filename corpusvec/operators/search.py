@@ -1,9 +1,11 @@
 """Exact inner-product search over a table of vectors.
 
-Scoring runs as blocked matrix products inside Arrow batches.  Each task keeps
-its own best k per query, so what leaves a task is bounded by k times the
-queries, never by the vectors it read.  Ranking is by descending score and
-then ascending vector id.
+Scoring runs as blocked matrix products inside Arrow batches.  Vectors never
+move: a block of queries goes to the tasks that scan the index, and a larger query
+set is several blocks, one scan each.  Each task keeps its own best k per query,
+so what leaves a task is bounded by k times the queries, never by the vectors it
+read.  Ranking is by descending score and then ascending vector id.  NULL, ragged
+and non-finite vectors have no rank and are an error.
 """
 
 from __future__ import annotations
@@ -12,13 +14,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusvec.functions import text as T
 from corpusvec.functions import vectors as V
-from corpusvec.operators.ordinals import shard_of, spread
-from corpusvec.session import MAX_BROADCAST_ROWS
+from corpusvec.operators.ordinals import shard_of
+from corpusvec.session import MAX_BROADCAST_ROWS, settle
 
 DEFAULT_K = 10
 
@@ -27,14 +30,13 @@ DEFAULT_K = 10
 # ranks do not depend on batches or partitions.
 SCORE_DECIMALS = 9
 
-# Query matrices up to this size travel with the task; larger sets are blocked.
-MAX_QUERY_BYTES = 64 << 20
-# One side of a block pair when both sides are blocked.
-BLOCK_BYTES = 32 << 20
+# Queries that travel with the tasks at a time, as a matrix.
+BLOCK_BYTES = 64 << 20
 # Cells of the score matrix held at a time.
 _SCORE_CELLS = 4_000_000
-# Per-index states one task keeps before it hands them on.
-_MAX_OPEN_INDEXES = 64
+# Hits of all indexes that one task holds before it hands them on.
+_OPEN_BYTES = 64 << 20
+_HIT_BYTES = 24
 
 # Lower bounds of the score bands.
 SCORE_BANDS = (
@@ -56,10 +58,16 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
         raise ValueError("a vector is NULL; validate the vectors before searching")
     if len(vectors) == 0:
         return np.zeros((0, 0))
-    flat = vectors.flatten().to_numpy(zero_copy_only=False)
-    if len(flat) % len(vectors):
+    sizes = pc.list_value_length(vectors)
+    if pc.min(sizes).as_py() != pc.max(sizes).as_py():
         raise ValueError("vectors differ in dimension")
-    return flat.astype(np.float64).reshape(len(vectors), -1)
+    flat = vectors.flatten()
+    if flat.null_count:
+        raise ValueError("a vector has a NULL component")
+    matrix = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
+    if not np.isfinite(matrix).all():
+        raise ValueError("a vector has a component that is not finite")
+    return matrix
 
 
 def _rounded(scores: np.ndarray) -> np.ndarray:
@@ -92,6 +100,8 @@ class _TopK:
         self.score = np.zeros(0)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        if len(ids) and vectors.shape[1] != self.queries.shape[1]:
+            raise ValueError("queries and vectors differ in dimension")
         step = max(1, _SCORE_CELLS // max(1, len(self.queries)))
         for at in range(0, len(ids), step):
             self._merge(ids[at : at + step], self.queries @ vectors[at : at + step].T)
@@ -138,24 +148,22 @@ def _query_type(queries: DataFrame) -> str:
     return queries.schema["query_id"].dataType.simpleString()
 
 
-def bounded_queries(queries: DataFrame, max_bytes: int) -> pa.Table | None:
-    """The query set if its matrix fits the bound, else None.
-
-    Never fetches more rows than fit.
-    """
-    selected = queries.select("query_id", V.to_double(F.col("vector")).alias("vector"))
-    most = max_bytes // (8 * _dimension(queries))
-    fetched = selected.limit(most + 1).toArrow()
-    return fetched if fetched.num_rows <= most else None
-
-
 def _dimension(queries: DataFrame) -> int:
     first = queries.select(F.size("vector").alias("dim")).head()
     return 1 if first is None else max(1, first["dim"])
 
 
-def _blocks(rows: int, row_bytes: int, block_bytes: int) -> int:
-    return max(1, -(-rows * row_bytes // block_bytes))
+def _query_blocks(queries: DataFrame, block_bytes: int) -> Iterator[pa.Table]:
+    """The query set in blocks of about ``block_bytes``, one at a time on the driver.
+
+    Queries are stored first, so their vectors are computed once.
+    """
+    selected = queries.select("query_id", V.to_double(F.col("vector")).alias("vector"))
+    kept = settle(selected, "queries")
+    blocks = max(1, -(-kept.count() * 8 * _dimension(kept) // block_bytes))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    for i in range(blocks):
+        yield kept.filter(block == i).toArrow()
 
 
 def _one_array(column: pa.ChunkedArray) -> pa.Array:
@@ -201,7 +209,7 @@ def _local_hits(index: DataFrame, queries: pa.Table, query_type: str, k: int) ->
                 mine = codes == code
                 best = open_states.setdefault(index_id, _TopK(k, query_matrix))
                 best.add(ids[mine], vectors[mine])
-            if len(open_states) > _MAX_OPEN_INDEXES:
+            if sum(len(best.ids) for best in open_states.values()) * _HIT_BYTES > _OPEN_BYTES:
                 yield from flush()
         yield from flush()
 
@@ -209,63 +217,25 @@ def _local_hits(index: DataFrame, queries: pa.Table, query_type: str, k: int) ->
     return index.select(*columns).mapInArrow(search, _hit_schema(query_type, with_index))
 
 
-def _blocked_hits(
-    index: DataFrame, queries: DataFrame, k: int | None, block_bytes: int
-) -> DataFrame:
-    """Hits of every (vector block, query block) pair, for large query sets.
+def _hits(index: DataFrame, queries: DataFrame, k: int, block_bytes: int) -> DataFrame:
+    """Best k per query (and index) of every task, for query sets of any size.
 
-    Blocks are drawn by hashing unique ids, so all have about the same size
-    whatever the data looks like, and neither side is ever held whole.  With
-    ``k`` None every score is kept.
+    Every block of queries is one scan of the index.  Blocks after the first are
+    searched only when the hits of the one before are stored, so one block at a
+    time takes up the driver.
     """
-    if k is not None:
-        _check_k(k)
-    with_index = "index_id" in index.columns
+    _check_k(k)
     query_type = _query_type(queries)
-    # Sizes come from the ids alone, so vectors are not computed for a count.
-    row_bytes = 8 * _dimension(queries)
-    vector_blocks = _blocks(index.select("vec_id").count(), row_bytes, block_bytes)
-    query_blocks = _blocks(queries.select("query_id").count(), row_bytes, block_bytes)
-
-    def blocks_of(df: DataFrame, key: str, own: str, n: int, other: str, m: int) -> DataFrame:
-        every_other = F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other)
-        mine = F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(own)
-        return spread(df.select("*", mine).select("*", every_other), "vb", "qb")
-
-    columns = ["vec_id", "vector"] + (["index_id"] if with_index else [])
-    left = blocks_of(index.select(*columns), "vec_id", "vb", vector_blocks, "qb", query_blocks)
-    right = blocks_of(
-        queries.select("query_id", "vector"), "query_id", "qb", query_blocks, "vb", vector_blocks
-    )
-
-    def score_pair(vectors: pa.Table, block: pa.Table) -> pa.Table:
-        query_ids = _one_array(block["query_id"])
-        query_matrix = _matrix(block["vector"])
-        ids = vectors["vec_id"].to_numpy()
-        matrix = _matrix(vectors["vector"])
-        parts: list[pa.RecordBatch] = []
-        if with_index:
-            coded = _one_array(vectors["index_id"]).dictionary_encode()
-            codes = coded.indices.to_numpy(zero_copy_only=False)
-            groups = [(name, codes == c) for c, name in enumerate(coded.dictionary.to_pylist())]
-        else:
-            groups = [(None, np.ones(len(ids), dtype=bool))]
-        if len(ids) and len(query_ids):
-            for index_id, mine in groups:
-                best = _TopK(int(mine.sum()) if k is None else k, query_matrix)
-                best.add(ids[mine], matrix[mine])
-                parts.append(_hits_batch(query_ids, best, index_id))
-        schema = pa.schema(
-            [("query_id", query_ids.type), ("vec_id", pa.int64()), ("score", pa.float64())]
-            + ([("index_id", pa.string())] if with_index else [])
-        )
-        return pa.Table.from_batches(parts, schema=schema)
-
-    return (
-        left.groupBy("vb", "qb")
-        .cogroup(right.groupBy("vb", "qb"))
-        .applyInArrow(score_pair, _hit_schema(query_type, with_index))
-    )
+    found: DataFrame | None = None
+    stored = False
+    for block in _query_blocks(queries, block_bytes):
+        if found is not None and not stored:
+            found, stored = settle(found, "hits"), True
+        hits = _local_hits(index, block, query_type, k)
+        if stored:
+            hits = settle(hits, "hits")
+        found = hits if found is None else found.unionByName(hits)
+    return found
 
 
 def _rank(hits: DataFrame, k: int) -> DataFrame:
@@ -283,45 +253,25 @@ def _rank(hits: DataFrame, k: int) -> DataFrame:
 
 
 def topk_batch(
-    index: DataFrame,
-    queries: DataFrame,
-    k: int = DEFAULT_K,
-    max_query_bytes: int = MAX_QUERY_BYTES,
+    index: DataFrame, queries: DataFrame, k: int = DEFAULT_K, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """``query_id, vec_id, score, rank``: the k best vectors of every query.
 
     ``index`` has ``vec_id, vector`` and ``queries`` has ``query_id, vector``;
-    vectors are taken as they are.  A query set beyond the bound is blocked.
+    vectors are taken as they are.
     """
-    bounded = bounded_queries(queries, max_query_bytes)
-    if bounded is None:
-        return topk_block(index, queries, k)
-    plain = index.select("vec_id", "vector")
-    return _rank(_local_hits(plain, bounded, _query_type(queries), k), k)
+    return _rank(_hits(index.select("vec_id", "vector"), queries, k, block_bytes), k)
 
 
-def topk_block(
-    index: DataFrame,
-    queries: DataFrame,
-    k: int = DEFAULT_K,
-    block_bytes: int = BLOCK_BYTES,
-) -> DataFrame:
-    """Same result as ``topk_batch`` with both sides blocked."""
-    plain = index.select("vec_id", "vector")
-    return _rank(_blocked_hits(plain, queries, k, block_bytes), k)
+# The same search under the name of its use with several blocks of queries.
+topk_block = topk_batch
 
 
 def topk_per_index(
-    index: DataFrame,
-    queries: DataFrame,
-    k: int = DEFAULT_K,
-    max_query_bytes: int = MAX_QUERY_BYTES,
+    index: DataFrame, queries: DataFrame, k: int = DEFAULT_K, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Ranks inside each ``index_id``; scores of two indexes are never compared."""
-    bounded = bounded_queries(queries, max_query_bytes)
-    if bounded is None:
-        return _rank(_blocked_hits(index, queries, k, BLOCK_BYTES), k)
-    return _rank(_local_hits(index, bounded, _query_type(queries), k), k)
+    return _rank(_hits(index, queries, k, block_bytes), k)
 
 
 def topk_single(index: DataFrame, vector: Sequence[float], k: int = DEFAULT_K) -> DataFrame:
@@ -343,45 +293,24 @@ def topk_filtered(
     queries: DataFrame,
     k: int,
     condition: Column,
-    max_query_bytes: int = MAX_QUERY_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Only vectors meeting the condition compete; it reaches the scan as a filter."""
-    return topk_batch(index.filter(condition), queries, k, max_query_bytes)
+    return topk_batch(index.filter(condition), queries, k, block_bytes)
 
 
-def score_all_pairs(
-    queries: DataFrame, index: DataFrame, max_query_bytes: int = MAX_QUERY_BYTES
-) -> DataFrame:
-    """``query_id, vec_id, score`` for every query and vector.
+def score_pairs(pairs: DataFrame, queries: DataFrame, index: DataFrame) -> DataFrame:
+    """``pairs`` of ``query_id, vec_id`` with the ``score`` of each.
 
-    Each vector is read once and scored against the whole (bounded) query set
-    in one matrix product; a larger query set is blocked.
+    A pair whose query or vector is not there has a NULL score.
     """
-    bounded = bounded_queries(queries, max_query_bytes)
-    if bounded is None:
-        return _blocked_hits(index.select("vec_id", "vector"), queries, None, BLOCK_BYTES)
-    query_ids = _one_array(bounded["query_id"])
-    query_matrix = _matrix(bounded["vector"])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = max(1, _SCORE_CELLS // max(1, len(query_ids)))
-        for batch in batches:
-            for at in range(0, batch.num_rows, step):
-                part = batch.slice(at, step)
-                scores = _rounded(_matrix(part.column("vector")) @ query_matrix.T)
-                rows, cols = np.indices(scores.shape)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "query_id": query_ids.take(pa.array(cols.ravel())),
-                        "vec_id": part.column("vec_id").take(pa.array(rows.ravel())),
-                        "score": pa.array(scores.ravel()),
-                    }
-                )
-
-    if bounded.num_rows == 0:
-        index = index.limit(0)
-    return index.select("vec_id", "vector").mapInArrow(
-        score, _hit_schema(_query_type(queries), False)
+    vectors = index.select("vec_id", "vector")
+    asked = queries.select("query_id", F.col("vector").alias("_query"))
+    score = F.round(V.inner_product(F.col("vector"), F.col("_query")), SCORE_DECIMALS) + 0.0
+    return (
+        pairs.join(vectors, "vec_id", "left")
+        .join(asked, "query_id", "left")
+        .select(*pairs.columns, score.alias("score"))
     )
 
 
@@ -393,23 +322,26 @@ def result_lookup(
 ) -> DataFrame:
     """The hits with the text and provenance of the vectors they name.
 
-    ``max_hits`` is the caller's bound on the number of hits (k x queries); with
-    one, the hits are broadcast.  ``shard_size`` is the one a stored index was
+    A hit that the index has no entry for stays, with NULLs.  ``max_hits`` is the
+    caller's bound on the number of hits (k x queries); with one, the hits are
+    broadcast to find the entries.  ``shard_size`` is the one a stored index was
     written with; given it, only shards with a hit are read.
     """
+    hits = settle(hits, "hits")
+    wanted = hits.select("vec_id").distinct()
     keys = ["vec_id"]
     if shard_size is not None:
         # Ids are never negative; it takes a comparison for Spark to consider
         # pruning the index's partitions by the hits.
-        hits = hits.filter(F.col("vec_id") >= 0).withColumn(
+        wanted = wanted.filter(F.col("vec_id") >= 0).withColumn(
             "shard_id", shard_of(F.col("vec_id"), shard_size)
         )
         keys.append("shard_id")
-    bounded = max_hits is not None and max_hits <= MAX_BROADCAST_ROWS
-    small = F.broadcast(hits) if bounded else hits
-    if shard_size is None:
+    else:
         index = index.drop("shard_id")
-    return index.drop("vector").join(small, keys).drop("shard_id")
+    bounded = max_hits is not None and max_hits <= MAX_BROADCAST_ROWS
+    found = index.drop("vector").join(F.broadcast(wanted) if bounded else wanted, keys)
+    return hits.join(found.drop("shard_id"), "vec_id", "left")
 
 
 def topk_with_sources(
@@ -417,18 +349,12 @@ def topk_with_sources(
     queries: DataFrame,
     k: int = DEFAULT_K,
     preview: int = T.PREVIEW_CHARS,
-    max_query_bytes: int = MAX_QUERY_BYTES,
+    block_bytes: int = BLOCK_BYTES,
     shard_size: int | None = None,
 ) -> DataFrame:
     """Hits with a one-line preview of their text and where they came from."""
-    bounded = bounded_queries(queries, max_query_bytes)
-    if bounded is None:
-        hits, max_hits = topk_block(index, queries, k), None
-    else:
-        plain = index.select("vec_id", "vector")
-        hits = _rank(_local_hits(plain, bounded, _query_type(queries), k), k)
-        max_hits = k * bounded.num_rows
-    found = result_lookup(hits, index, max_hits, shard_size)
+    hits = settle(topk_batch(index, queries, k, block_bytes), "hits")
+    found = result_lookup(hits, index, hits.count(), shard_size)
     return found.withColumn("preview", T.preview(F.col("text"), preview)).drop("text")
 
 

@@ -25,12 +25,16 @@ def publish_verified(
     expected_chunks: DataFrame | None = None,
     shard_size: int = SHARD_VECTORS,
     clustered: bool = False,
+    previous: dict | None = None,
+    through_batch: int | None = None,
     **extra: str | int | bool,
 ) -> Index:
     """Stage the entries, check them as written, then let readers see them.
 
     Staging has a directory of its own per run, so no run finds another's
-    files.  A failing check raises and publishes nothing.
+    files.  A failing check raises and publishes nothing.  ``previous`` is the
+    pointer row of an index that the entries are added to; their ids go on where
+    its ids end, and its runs stay as they are.
     """
     run = uuid.uuid4().hex
     at = run_path(path, run)
@@ -47,23 +51,23 @@ def publish_verified(
         )
     )
     checked = validate_vectors(staged, dimension).first()
-    # Embedders leave a text without words at the origin, hence the lower bound.
-    if checked["vectors"] and (
-        checked["null_vectors"]
-        or {checked["min_dim"], checked["max_dim"]} != {dimension}
-        or checked["max_norm"] > 1 + 1e-3
-    ):
+    if checked["vectors"] and not checked["valid"]:
         raise IntegrityError(f"vectors do not match the declared form: {checked.asDict()}")
-    write_summary(
-        summary_row(
-            staged, dataset, source_path, model, dimension, True, shard_size=shard_size, **extra
-        ),
-        f"{at}/summary",
+    summary = summary_row(
+        staged, dataset, source_path, model, dimension, True, shard_size=shard_size, **extra
     )
+    earlier = []
+    if previous is not None:
+        earlier = [*(previous["earlier"] or []), previous["run"]]
+        before = spark.read.json(f"{run_path(path, previous['run'])}/summary").first()["total_vectors"]
+        summary = summary.withColumn("total_vectors", F.col("total_vectors") + before)
+    write_summary(summary, f"{at}/summary")
     newest = newest_run(spark, path)
+    if previous is not None and newest["run"] != previous["run"]:
+        raise IntegrityError(f"{path} was published anew while entries were added to it")
     version = 0 if newest is None else newest["version"] + 1
     (
-        spark.createDataFrame([(version, run, now())], POINTER_SCHEMA)
+        spark.createDataFrame([(version, run, earlier, through_batch, now())], POINTER_SCHEMA)
         .coalesce(1)
         .write.mode("append")
         .json(f"{path.rstrip('/')}/published")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corpusvec.session import broadcast_if_small, settle
 
@@ -13,6 +16,9 @@ from corpusvec.session import broadcast_if_small, settle
 LINES, TABLES = "jsonl", "parquet"
 KINDS = (LINES, TABLES)
 
+# Footers read at a time.
+FOOTER_THREADS = 16
+
 
 def discover_files(
     spark: SparkSession, path: str, kinds: tuple[str, ...] = KINDS
@@ -90,6 +96,19 @@ def _lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
     )
 
 
+def parse_lines(spark: SparkSession, line: Column) -> Column:
+    """JSON lines as VARIANT, read as leniently as common parsers do.
+
+    Of a repeated key the last value counts, which is a setting of the session;
+    lines with NaN or Infinity are read by the slower parser that knows them.
+    NULL if a line is no JSON.
+    """
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    text = F.trim(line)
+    lenient = F.from_json(text, "variant", {"allowNonNumericNumbers": "true"})
+    return F.coalesce(F.try_parse_json(text), F.when(text.rlike("NaN|Infinity"), lenient))
+
+
 def scan_jsonl(
     spark: SparkSession,
     path: str,
@@ -105,7 +124,7 @@ def scan_jsonl(
         files = discover_files(spark, path, (suffix, TABLES))
     return with_line_numbers(_lines(spark, path, f"*.{suffix}"), files).select(
         "value",
-        F.try_parse_json(F.trim(F.col("value"))).alias("v"),
+        parse_lines(spark, F.col("value")).alias("v"),
         "source",
         "file_index",
         "row",
@@ -132,6 +151,26 @@ def scan_parquet(
     return scan if columns is None else scan.select(*columns)
 
 
+def _scans_by_schema(spark: SparkSession, path: str, names: list[str]) -> list[DataFrame]:
+    """The named Parquet files, one scan per distinct schema.
+
+    Files of a directory may differ in columns and in their types, so none is
+    read with another's schema.  Only footers are read to tell.
+    """
+
+    def schema_of(name: str) -> tuple[str, str]:
+        return spark.read.parquet(f"{path.rstrip('/')}/{name}").schema.json(), name
+
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        for schema, name in pool.map(schema_of, names):
+            groups.setdefault(schema, []).append(f"{path.rstrip('/')}/{name}")
+    return [
+        spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*paths)
+        for schema, paths in groups.items()
+    ]
+
+
 def scan_directory(spark: SparkSession, path: str, line_suffix: str = LINES) -> DataFrame:
     """``v, source, file_index, row`` of a directory of JSONL and Parquet files."""
     files = discover_files(spark, path, (line_suffix, TABLES))
@@ -140,10 +179,12 @@ def scan_directory(spark: SparkSession, path: str, line_suffix: str = LINES) ->
     if line_suffix in kinds:
         parts.append(scan_jsonl(spark, path, files, line_suffix).drop("value"))
     if TABLES in kinds:
-        scan = spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
-        record = F.to_variant_object(F.struct(*scan.columns)).alias("v")
-        rows = widen(with_row_numbers(scan).select(record, "source", "row"), "row")
-        parts.append(_with_file_index(rows, files).select("v", "source", "file_index", "row"))
+        names = [r["source"] for r in files.filter(F.col("kind") == TABLES).collect()]
+        for scan in _scans_by_schema(spark, path, names):
+            record = F.to_variant_object(F.struct(*scan.columns)).alias("v")
+            place = (F.col("_metadata.file_name").alias("source"), F.col("_metadata.row_index").alias("row"))
+            rows = widen(scan.select(record, *place), "row")
+            parts.append(_with_file_index(rows, files).select("v", "source", "file_index", "row"))
     if not parts:
         raise FileNotFoundError(f"no corpus files in {path}")
     union = parts[0]

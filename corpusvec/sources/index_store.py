@@ -6,8 +6,9 @@ An index lives below one root:
     runs/<run>/summary/                the manifest, one JSON row
     published/                         one small JSON row per published run
 
-Readers follow the newest row of ``published``, so they only ever see a run
-that was complete and verified.
+Readers follow the newest row of ``published``, so they only ever see runs that
+were complete and verified.  An index that grew has several runs: each added the
+entries behind those of the runs before, and rewrote none of them.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-POINTER_SCHEMA = "version BIGINT, run STRING, published_at STRING"
+POINTER_SCHEMA = (
+    "version BIGINT, run STRING, earlier ARRAY<STRING>, through_batch BIGINT, published_at STRING"
+)
 _NOT_METADATA = ("vec_id", "shard_id", "vector", "text")
 
 
@@ -61,7 +64,8 @@ def newest_run(spark: SparkSession, path: str) -> dict | None:
     """The newest pointer row, or None if nothing was published."""
     try:
         pointers = spark.read.schema(POINTER_SCHEMA).json(f"{path.rstrip('/')}/published")
-        row = pointers.orderBy(F.desc("version")).first()
+        # Should two writers have taken the same version, all readers see the same one.
+        row = pointers.orderBy(F.desc("version"), F.desc("run")).first()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
@@ -73,10 +77,9 @@ def load_index(spark: SparkSession, path: str) -> Index:
     newest = newest_run(spark, path)
     if newest is None:
         raise IndexNotFound(path)
-    at = run_path(path, newest["run"])
-    return Index(
-        path,
-        newest["run"],
-        spark.read.parquet(f"{at}/entries"),
-        spark.read.json(f"{at}/summary"),
-    )
+    entries: DataFrame | None = None
+    for run in [*(newest["earlier"] or []), newest["run"]]:
+        part = spark.read.parquet(f"{run_path(path, run)}/entries")
+        entries = part if entries is None else entries.unionByName(part, allowMissingColumns=True)
+    summary = spark.read.json(f"{run_path(path, newest['run'])}/summary")
+    return Index(path, newest["run"], entries, summary)

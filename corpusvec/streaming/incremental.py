@@ -3,7 +3,9 @@
 The stream's checkpoint remembers the files it has seen.  A batch writes to a
 directory named after its number and overwrites it, so a replayed batch leaves
 the same rows behind once.  Rows are keyed by batch, file, row and chunk; dense
-vector ids are only given when the increments are published.
+vector ids are only given when the increments are published, which adds the new
+batches behind those published before.  Records that cannot be used are kept, with
+the reason.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 from pyspark.sql.streaming import StreamingQuery
@@ -22,8 +24,11 @@ from corpusvec.operators.ordinals import SHARD_VECTORS, assign_vec_ids, shard_of
 from corpusvec.plans.build import assemble_records, documents_to_chunks
 from corpusvec.sinks.artifacts import now
 from corpusvec.sinks.publish import publish_verified
-from corpusvec.sources.files import LINES, with_line_numbers
-from corpusvec.sources.index_store import Index
+from corpusvec.sources.files import LINES, parse_lines, with_line_numbers
+from corpusvec.sources.index_store import Index, load_index, newest_run
+
+# The source would otherwise pass over files a week older than the newest one.
+ANY_AGE = "36500d"
 
 PROGRESS_SCHEMA = "batch_id BIGINT, vectors BIGINT, rows BIGINT, rejected BIGINT, timestamp STRING"
 
@@ -44,7 +49,9 @@ def incremental_index(
 
     ``file_format`` is jsonl, or parquet with the files' ``schema``.
     """
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_batch)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_batch).option(
+        "maxFileAge", ANY_AGE
+    )
     if file_format == "jsonl":
         stream = (
             reader.format("text")
@@ -87,7 +94,7 @@ def _same(batch: DataFrame) -> DataFrame:
 def _line_records(batch: DataFrame) -> DataFrame:
     placed = batch.withColumn("_position", F.monotonically_increasing_id())
     return with_line_numbers(placed).select(
-        F.try_parse_json(F.trim(F.col("value"))).alias("v"), "source", "row"
+        parse_lines(batch.sparkSession, F.col("value")).alias("v"), "value", "source", "row"
     )
 
 
@@ -99,21 +106,21 @@ def _batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = records(batch)
+        # Rows are counted on their way to the entries.
+        seen = Observation()
+        parsed = records(batch).observe(seen, F.count(F.lit(1)).alias("rows"))
         good, bad = Q.quarantine_malformed(parsed, kind)
         chunks = documents_to_chunks(assemble_records(good, kind))
         entries = embed_chunks(chunks, embedder)
         at = f"{path}/increments/batch_id={batch_id}"
         entries.write.mode("overwrite").parquet(at)
-        # Rows are tallied in one pass; vectors are those really written.
-        tally = parsed.agg(F.count(F.lit(1)).alias("rows"))
-        rejected = bad.agg(F.count(F.lit(1)).alias("rejected"))
-        written = spark.read.parquet(at).agg(F.count(F.lit(1)).alias("vectors"))
+        apart = f"{path}/rejected/batch_id={batch_id}"
+        bad.write.mode("overwrite").parquet(apart)
         row = (
             batch_id,
-            written.first()["vectors"],
-            tally.first()["rows"],
-            rejected.first()["rejected"],
+            spark.read.parquet(at).count(),
+            seen.get["rows"],
+            spark.read.parquet(apart).count(),
             now(),
         )
         (
@@ -137,6 +144,13 @@ def increments(spark: SparkSession, path: str) -> DataFrame:
     return added.join(committed, "batch_id", "left_semi")
 
 
+def rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Source, row and reason of every record the committed batches set aside."""
+    committed = _progress(spark, path).select("batch_id")
+    apart = spark.read.parquet(f"{path}/rejected")
+    return apart.join(committed, "batch_id", "left_semi")
+
+
 def _progress(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(PROGRESS_SCHEMA).json(f"{path}/progress/*")
@@ -169,17 +183,20 @@ def progress_log(
     )
 
 
-def number_increments(spark: SparkSession, path: str) -> DataFrame:
-    """The increments under dense vector ids, in (batch, file name, row) order.
+def number_increments(
+    spark: SparkSession, path: str, after_batch: int = -1, first_file: int = 0
+) -> DataFrame:
+    """The batches after a given one under dense vector ids, in (batch, file name, row) order.
 
-    Files are numbered by batch and name; the listing has one row per file.
+    Files are numbered from ``first_file`` by batch and name; the listing has one
+    row per file.
     """
-    added = increments(spark, path)
+    added = increments(spark, path).filter(F.col("batch_id") > after_batch)
     order = Window.orderBy("batch_id", "source")
     files = (
         added.select("batch_id", "source")
         .distinct()
-        .withColumn("file_index", F.row_number().over(order) - 1)
+        .withColumn("file_index", F.row_number().over(order) + F.lit(first_file - 1))
     )
     return assign_vec_ids(added.join(files, ["batch_id", "source"])).drop("batch_id")
 
@@ -191,16 +208,38 @@ def publish_increments(
     model: str,
     dimension: int,
     source_path: str = "",
+    shard_size: int = SHARD_VECTORS,
 ) -> Index:
-    """Publish all increments so far as one verified index at the same path."""
+    """Add the batches not yet published to the index at the same path, verified.
+
+    What was published stays where it is; new entries get the ids behind it.
+    Without new batches the index stays as it is.
+    """
+    previous = newest_run(spark, path)
+    published, first_id, first_file = -1, 0, 0
+    if previous is not None:
+        published = previous["through_batch"]
+        if published is None:
+            raise ValueError(f"the index at {path} was not published from increments")
+        before = load_index(spark, path)
+        first_id = before.summary.first()["total_vectors"]
+        first_file = (before.entries.agg(F.max("file_index")).first()[0] or 0) + 1
+    newest = _progress(spark, path).agg(F.max("batch_id")).first()[0]
+    if previous is not None and newest <= published:
+        return before
+    numbered = number_increments(spark, path, published, first_file)
+    new = increments(spark, path).filter(F.col("batch_id") > published)
     return publish_verified(
         spark,
-        number_increments(spark, path),
+        numbered.withColumn("vec_id", F.col("vec_id") + first_id),
         path,
         dataset=dataset,
         model=model,
         dimension=dimension,
         source_path=source_path,
-        expected_chunks=increments(spark, path).agg(F.count(F.lit(1)).alias("n_expected")),
+        expected_chunks=new.agg(F.count(F.lit(1)).alias("n_expected")),
+        shard_size=shard_size,
+        previous=previous,
+        through_batch=newest,
         resume_mode=True,
     )

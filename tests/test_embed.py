@@ -79,6 +79,9 @@ def test_vector_arithmetic(spark):
         ([[1.0, 0.0], [1.0]], False),
         ([[1.0, 0.0], None], False),
         ([[1.0, None]], False),
+        ([[1.0, 0.0], [float("nan"), 0.0]], False),
+        ([[1.0, 0.0], [0.3, 0.0]], False),
+        ([[1.0, 0.0], [0.0, 0.0]], True),
         ([], False),
     ],
 )

@@ -116,3 +116,25 @@ def test_shards_and_texts(spark, tmp_path):
     assert [tuple(r) for r in files.scan_text_dir(spark, str(tmp_path)).collect()] == [
         ("one.txt", "first\n\nsecond")
     ]
+
+
+def test_a_directory_of_mixed_schemas(spark, tmp_path):
+    answers = {"plain": ["one"], "nested": [{"body": "one"}]}
+    spark.createDataFrame([("t1", "q1", ["x"])], "title string, question string, answers array<string>").coalesce(
+        1
+    ).write.parquet(str(tmp_path / "w1"))
+    spark.createDataFrame(
+        [("t2", "b2", [("y",)])], "Title string, body string, answers array<struct<body: string>>"
+    ).coalesce(1).write.parquet(str(tmp_path / "w2"))
+    root = tmp_path / "in"
+    root.mkdir()
+    for name in ("w1", "w2"):
+        (part,) = (tmp_path / name).glob("part-*")
+        (root / f"{name}.parquet").write_bytes(part.read_bytes())
+    lines = ['{"title": "a", "title": "b", "text": "t"}', '{"title": "c", "text": "u", "score": NaN}', "{broken NaN"]
+    (root / "z.jsonl").write_text("\n".join([*lines, json.dumps(answers)]) + "\n")
+    rows = {(r.source, r.row): r.j for r in files.scan_directory(spark, str(root)).withColumn("j", F.to_json("v")).collect()}
+    assert json.loads(rows["w1.parquet", 0]) == {"title": "t1", "question": "q1", "answers": ["x"]}
+    assert json.loads(rows["w2.parquet", 0]) == {"Title": "t2", "body": "b2", "answers": [{"body": "y"}]}
+    assert json.loads(rows["z.jsonl", 0])["title"] == "b" and json.loads(rows["z.jsonl", 1])["text"] == "u"
+    assert rows["z.jsonl", 2] is None and json.loads(rows["z.jsonl", 3]) == answers

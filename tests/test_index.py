@@ -202,3 +202,19 @@ def test_estimates(spark):
     assert quality.estimate_total(build.dry_run(df), "documents").first().asDict() == {
         "documents": 3, "estimated_chunks": 4,
     }
+
+
+@pytest.mark.parametrize(
+    "bad", [[float("nan"), 0.0], [1.0, None], [0.3, 0.0], [1.0], None]
+)
+def test_vectors_of_the_wrong_form_are_not_published(spark, tmp_path, bad):
+    rows = [(0, [1.0, 0.0], "a", "s"), (1, [0.0, 0.0], "b", "s"), (2, bad, "c", "s")]
+    entries = spark.createDataFrame(rows, "vec_id long, vector array<float>, text string, source string")
+    path = str(tmp_path / "index")
+    with pytest.raises(alignment.IntegrityError):
+        publish_verified(spark, entries, path, dataset="d", model="m", dimension=2)
+    with pytest.raises(IndexNotFound):
+        load_index(spark, path)
+    assert publish_verified(
+        spark, entries.filter("vec_id < 2"), path, dataset="d", model="m", dimension=2
+    ).entries.count() == 2

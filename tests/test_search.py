@@ -68,12 +68,20 @@ def test_a_query_set_past_the_bound_is_blocked(spark, data):
     vectors, queries = data
     index, qs = frame(spark, "vec_id", vectors), frame(spark, "query_id", queries)
     few = 8 * DIM * 3
-    assert S.bounded_queries(qs, few) is None
-    assert ranked(S.topk_batch(index, qs, 4, max_query_bytes=few)) == brute(vectors, queries, 4)
+    assert len(list(S._query_blocks(qs, few))) > 3
+    assert ranked(S.topk_batch(index, qs, 4, block_bytes=few)) == brute(vectors, queries, 4)
     both = index.withColumn("index_id", (F.col("vec_id") % 2).cast("string"))
-    bounded = S.topk_per_index(both, qs, 4).collect()
-    blocked = S.topk_per_index(both, qs, 4, max_query_bytes=few).collect()
-    assert set(map(tuple, bounded)) == set(map(tuple, blocked))
+    whole = S.topk_per_index(both, qs, 4).collect()
+    blocked = S.topk_per_index(both, qs, 4, block_bytes=few).collect()
+    assert set(map(tuple, whole)) == set(map(tuple, blocked))
+
+
+def test_vectors_are_not_shuffled(spark, data):
+    vectors, queries = data
+    index, qs = frame(spark, "vec_id", vectors), frame(spark, "query_id", queries)
+    plan = S.topk_batch(index, qs, 4)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Cogroup" not in plan
+    assert not any("Exchange" in line and "vector" in line for line in plan.splitlines())
 
 
 def test_small_score_cells(spark, data, monkeypatch):
@@ -115,12 +123,14 @@ def test_many_indexes_in_one_task(spark, data):
     assert len(rows) == 300 * len(queries)
 
 
-def test_all_pairs(spark, data):
+def test_given_pairs(spark, data):
     vectors, queries = data
     index, qs = frame(spark, "vec_id", vectors), frame(spark, "query_id", queries)
-    once = {tuple(r) for r in S.score_all_pairs(qs, index).collect()}
-    blocked = {tuple(r) for r in S.score_all_pairs(qs, index, max_query_bytes=8 * DIM).collect()}
-    assert len(once) == 300 * 17 and once == blocked
+    pairs = spark.createDataFrame([(0, 3), (0, 3), (5, 7), (99, 1), (1, 999)], "query_id long, vec_id long")
+    got = sorted(map(tuple, S.score_pairs(pairs, qs, index).collect()))
+    scores = {(q, v): score for q, v, score in got}
+    assert len(got) == 5 and scores[99, 1] is None and scores[1, 999] is None
+    assert scores[5, 7] == pytest.approx(float(queries[5].astype(float) @ vectors[7].astype(float)), abs=1e-8)
 
 
 def test_empty_sides(spark, data):
@@ -128,7 +138,6 @@ def test_empty_sides(spark, data):
     index, qs = frame(spark, "vec_id", vectors), frame(spark, "query_id", queries)
     assert S.topk_batch(index, qs.limit(0), 3).count() == 0
     assert S.topk_batch(index.limit(0), qs, 3).count() == 0
-    assert S.score_all_pairs(qs.limit(0), index).count() == 0
     assert S.topk_block(index.limit(0), qs, 3).count() == 0
 
 
@@ -139,12 +148,36 @@ def test_string_query_ids(spark, data):
     assert {(int(r.query_id[1:]), r.vec_id, r["rank"]) for r in rows} == brute(vectors, queries, 2)
 
 
-def test_a_null_vector_is_an_error(spark):
-    index = spark.createDataFrame([(0, None)], "vec_id long, vector array<float>")
-    with pytest.raises(Exception, match="NULL"):
+@pytest.mark.parametrize("k", [1, 5])
+@pytest.mark.parametrize(
+    "bad, message",
+    [(None, "NULL"), ([1.0, None], "NULL"), ([float("nan"), 1.0], "finite"),
+     ([1.0, float("inf")], "finite"), ([1.0], "dimension"), ([1.0] * 3, "dimension")],
+)
+def test_what_has_no_rank_is_an_error(spark, bad, message, k):
+    rows = [(i, [1.0, 0.5]) for i in range(3)] + [(9, bad)]
+    good = spark.createDataFrame(rows[:3], "vec_id long, vector array<float>")
+    mixed = spark.createDataFrame(rows, "vec_id long, vector array<float>").coalesce(1)
+    with pytest.raises(Exception, match=message):
+        S.topk_single(mixed, [1.0, 1.0], k).collect()
+    with pytest.raises(Exception, match=message):
+        S.topk_batch(good, mixed.withColumnRenamed("vec_id", "query_id"), k).collect()
+
+
+def test_queries_of_another_dimension_are_an_error(spark):
+    index = spark.createDataFrame([(0, [1.0, 0.0])], "vec_id long, vector array<float>")
+    with pytest.raises(Exception, match="dimension"):
         S.topk_single(index, [1.0], 1).collect()
 
 
+def test_lookup_keeps_hits_without_an_entry(spark):
+    index = spark.createDataFrame([(1, "a")], "vec_id long, text string")
+    hits = spark.createDataFrame([(0, 1), (0, 2)], "query_id long, vec_id long")
+    for bound in (None, 5):
+        got = S.result_lookup(hits, index, max_hits=bound).collect()
+        assert {r.vec_id: r.text for r in got} == {1: "a", 2: None}
+
+
 def test_lookup_prunes_shards(spark, tmp_path):
     from corpusvec.sinks.artifacts import write_vector_shards
 

@@ -1,4 +1,5 @@
 import json
+import os
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
@@ -45,6 +46,9 @@ def test_only_new_files_are_added(spark, tmp_path):
     assert log[-1].vectors_count == len(everything)
     assert (log[-1].shard_index, log[-1].shard_vectors) == divmod(len(everything), 4)
 
+    bad = {(r.source, r.row): (r.reason, r.value) for r in I.rejects(spark, str(path)).collect()}
+    assert bad == {(f"{n}.jsonl", i): ("malformed JSON", "{broken") for n, i in (("a", 3), ("b", 2), ("c", 1))}
+
     index = I.publish_increments(spark, str(path), "d", "m", 8)
     rows = index.entries.orderBy("vec_id").collect()
     assert [r.vec_id for r in rows] == list(range(len(everything)))
@@ -84,3 +88,33 @@ def test_parquet_stream(spark, tmp_path):
     spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(source))
     run(spark, source, path, file_format="parquet", schema=schema)
     assert {r.row for r in I.increments(spark, str(path)).collect()} == set(range(5))
+
+
+def test_a_second_publish_only_adds(spark, tmp_path):
+    source, path = tmp_path / "in", str(tmp_path / "out")
+    add_lines(source, "b", 3)
+    run(spark, source, path)
+    first = I.publish_increments(spark, path, "d", "m", 8, shard_size=4)
+    before = {r.vec_id: tuple(r) for r in first.entries.drop("shard_id").collect()}
+    assert I.publish_increments(spark, path, "d", "m", 8).run == first.run
+    add_lines(source, "a", 2)
+    run(spark, source, path)
+    second = I.publish_increments(spark, path, "d", "m", 8, shard_size=4)
+    rows = {r.vec_id: tuple(r) for r in second.entries.drop("shard_id").collect()}
+    assert sorted(rows) == list(range(len(rows))) and len(rows) > len(before)
+    assert {i: rows[i] for i in before} == before
+    added = spark.read.parquet(f"{path}/runs/{second.run}/entries")
+    assert added.count() == len(rows) - len(before) and added.select("source").distinct().collect() == [("a.jsonl",)]
+    assert added.agg(F.min("file_index")).first()[0] == 1
+    assert second.summary.first().total_vectors == len(rows)
+
+
+def test_old_files_are_read(spark, tmp_path):
+    source, path = tmp_path / "in", tmp_path / "out"
+    add_lines(source, "new", 1)
+    run(spark, source, path)
+    add_lines(source, "old", 1)
+    month_ago = (source / "new.jsonl").stat().st_mtime - 30 * 86_400
+    os.utime(source / "old.jsonl", (month_ago, month_ago))
+    run(spark, source, path)
+    assert {k[0] for k in keys(I.increments(spark, str(path)))} == {"new.jsonl", "old.jsonl"}
