@@ -58,18 +58,19 @@ ARTICLES = f"""
                '[CONTENT]' || {NL} || {strip('text')}) END AS document
     FROM (SELECT *, {first_line('text')} AS title FROM documents)"""
 
-QA = f"""
+def qa(question_cap: int, accepted_cap: int, answer_cap: int) -> str:
+    return f"""
     SELECT conv_id, 'conversations' AS source, 0 AS file_index, conv_id AS row, title,
            concat_ws({BREAK},
                {section('TAGS', 'tags')},
                {section('QUESTION_TITLE', strip('title'))},
-               {section('QUESTION', cap(strip('question'), 200), NL)},
-               {section('ACCEPTED_ANSWER', cap(strip('accepted'), 150), NL)},
+               {section('QUESTION', cap(strip('question'), question_cap), NL)},
+               {section('ACCEPTED_ANSWER', cap(strip('accepted'), accepted_cap), NL)},
                {section('OTHER_ANSWERS', 'others', NL)}) AS document
     FROM (
         SELECT conv_id, tags, question, {first_line('question')} AS title, replies[1] AS accepted,
                array_to_string(list_transform(list_filter(replies[2:4], lambda a: {strip('a')} <> ''),
-                   lambda a: '- ' || {cap(strip('a'), 100)}), {NL}) AS others
+                   lambda a: '- ' || {cap(strip('a'), answer_cap)}), {NL}) AS others
         FROM (
             SELECT conv_id, max(CASE WHEN turn = 0 THEN text END) AS question,
                    array_to_string(list_sort(list_distinct(list(role))), ', ') AS tags,
@@ -77,6 +78,10 @@ QA = f"""
             FROM conversations GROUP BY conv_id))"""
 
 
+QA = qa(200, 150, 100)
+QA_WHOLE = qa(5000, 3000, 2000)
+
+
 def chunk_ctes(source: str, carried: str = "", lim: int = 1500, first: int = 1499) -> str:
     """CTEs ending in ``chunks``: greedy packing, one chunk per step.
 
@@ -222,7 +227,7 @@ LONG_ENOUGH = f"length({strip('text')}) >= 20"
 CORPORA = f"""{chunk_ctes(f'''
         SELECT 'articles' AS index_id, doc_id, file_index, row, document FROM ({ARTICLES})
         UNION ALL
-        SELECT 'questions', conv_id, file_index, row, document FROM ({QA}) WHERE document <> \'\'
+        SELECT 'questions', conv_id, file_index, row, document FROM ({QA_WHOLE}) WHERE document <> \'\'
     ''', 'index_id, file_index, row')},
     kept AS (SELECT * FROM chunks WHERE {LONG_ENOUGH})"""
 
@@ -239,7 +244,9 @@ ORACLES = {
     "file_range_split": """
         SELECT doc_id, (doc_id % 75)::INT AS file_index, ((doc_id % 75) // 15)::INT AS split_id
         FROM documents""",
-    "concat_shards": "SELECT lang AS shard, count(*) AS lines FROM documents GROUP BY ROLLUP (lang)",
+    "concat_shards": """
+        SELECT lang AS shard, count(*) AS lines, sum(length(text))::BIGINT AS chars
+        FROM documents GROUP BY ROLLUP (lang)""",
     "scan_text_corpus": f"SELECT 'txt' AS suffix, {strip('text')} AS text FROM benchmark",
     "load_index": f"""
         WITH RECURSIVE {NUMBERED}
@@ -253,13 +260,17 @@ ORACLES = {
         SELECT vec_id AS position, source, file_index, row, chunk, title FROM numbered""",
     "write_vector_shards": """
         SELECT (vec_id // 200)::INT AS shard_id, count(*) AS vectors, min(vec_id) AS first_id,
-               max(vec_id) AS last_id
+               max(vec_id) AS last_id,
+               round(sum(list_sum(list_transform(embedding, lambda x, i: x::DOUBLE * i))), 4) AS weighted,
+               0::BIGINT AS disordered, least(count(*), 50) - 1 AS last_row
         FROM embeddings GROUP BY 1""",
     "write_summary": f"""
-        SELECT 'embeddings' AS dataset_name, count(*) AS total_vectors,
-               'signed word hashing' AS embedding_model, {DIM}::BIGINT AS embedding_dimension,
-               'VERIFIED' AS integrity_status
-        FROM embeddings""",
+        SELECT dataset_name, count(*) AS total_vectors, 'signed word hashing' AS embedding_model,
+               {DIM}::BIGINT AS embedding_dimension,
+               CASE WHEN dataset_name = 'whole' OR (count(*) = (SELECT count(*) FROM documents)
+                         AND count(*) = (SELECT count(*) FROM labels)) THEN 'VERIFIED' ELSE 'UNVERIFIED' END
+                   AS integrity_status
+        FROM embeddings, (VALUES ('whole'), ('torn')) t(dataset_name) GROUP BY 1""",
     "artifact_manifest": """
         SELECT 'texts' AS artifact, strlen(text) + 1 AS bytes, sha256(text || chr(10)) AS sha256
         FROM benchmark""",
@@ -422,8 +433,10 @@ ORACLES = {
         JOIN (SELECT source, count(*) AS actual_chunks FROM numbered GROUP BY 1) USING (source)""",
     "integrity_gate": f"""
         WITH RECURSIVE {NUMBERED}
-        SELECT count(*) AS n_vectors, count(*) AS n_chunks, count(*) AS n_metadata, count(*) AS n_expected,
-               'PASSED' AS status FROM numbered""",
+        SELECT n_vectors, n_chunks, n_vectors AS n_metadata, n_vectors AS n_expected,
+               CASE WHEN n_chunks = n_vectors THEN 'PASSED' ELSE 'FAILED' END AS status
+        FROM (SELECT (SELECT count(*) FROM numbered) AS n_vectors, (SELECT count(*) FROM numbered) AS n_chunks
+              UNION ALL SELECT (SELECT count(*) FROM numbered), (SELECT count(*) FROM chunks))""",
     "manifest_match": """
         SELECT *, n_vectors = n_chunks AS chunks_match, n_vectors = n_declared AS manifest_matches,
                n_vectors = n_metadata AS metadata_match
@@ -443,12 +456,14 @@ ORACLES = {
     "assign_vec_ids": f"WITH RECURSIVE {NUMBERED} SELECT vec_id, doc_id, chunk FROM numbered",
     "sample_limit": f"""
         WITH RECURSIVE {NUMBERED}
-        SELECT vec_id, doc_id, chunk FROM numbered ORDER BY vec_id LIMIT 6500""",
+        SELECT vec_id, doc_id, chunk FROM numbered ORDER BY vec_id LIMIT 150""",
     "merge_splits": f"""
-        WITH RECURSIVE {NUMBERED}
+        WITH RECURSIVE {TEXT_VECTORS}
         SELECT row_number() OVER (ORDER BY file_index // 15, file_index, row, chunk) - 1 AS vec_id,
-               (file_index // 15)::INT AS split_id, doc_id, chunk
-        FROM numbered""",
+               (file_index // 15 + (file_index >= 30)::INT)::INT AS split_id, doc_id, chunk,
+               round(v[8], 6) AS component, true AS split_merge, 5::BIGINT AS num_splits,
+               count(*) OVER () AS total_vectors
+        FROM numbered JOIN index_vectors USING (vec_id)""",
     "multi_corpus_union": f"""
         WITH RECURSIVE {CORPORA}
         SELECT index_id, row_number() OVER (PARTITION BY index_id ORDER BY file_index, row, chunk) - 1 AS vec_id,
@@ -460,6 +475,14 @@ ORACLES = {
             '[TITLE] ' || doc_id || {BREAK} || '[CONTENT]' || {NL} || {strip('text')} AS document
             FROM documents WHERE {strip('text')} <> \'\'''')}
         SELECT doc_id::VARCHAR AS title, chunk, text FROM chunks WHERE {LONG_ENOUGH}""",
+    "incremental_rejects": f"""
+        SELECT reason, count(*) AS records, sum(chars)::BIGINT AS chars FROM (
+            SELECT CASE lang WHEN 'de' THEN 'malformed JSON' WHEN 'es' THEN 'not an object'
+                             WHEN 'fr' THEN 'ill-typed title' END AS reason,
+                   length(to_json({{title: CASE WHEN lang <> 'fr' THEN 't' END, text: text}})::VARCHAR)
+                       + CASE lang WHEN 'de' THEN -1 WHEN 'es' THEN 2 ELSE 0 END AS chars
+            FROM documents WHERE lang <> 'en')
+        WHERE reason IS NOT NULL GROUP BY 1""",
     "progress_log": f"""
         WITH RECURSIVE {chunk_ctes(f'''SELECT doc_id,
             '[TITLE] ' || doc_id || {BREAK} || '[CONTENT]' || {NL} || {strip('text')} AS document

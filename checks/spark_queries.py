@@ -88,9 +88,12 @@ def qa_records(spark: SparkSession, sf: str) -> DataFrame:
     return replies.withColumn("title", first_line(F.col("question")))
 
 
-def qa_documents(spark: SparkSession, sf: str) -> DataFrame:
-    # Tighter limits than the defaults, so that these texts run into them.
-    assembled = assemble.assemble_qa(qa_records(spark, sf), caps=(200, 150, 100))
+# Tighter limits than the defaults, so that these texts run into them.
+TIGHT_CAPS = (200, 150, 100)
+
+
+def qa_documents(spark: SparkSession, sf: str, **caps: tuple[int, int, int]) -> DataFrame:
+    assembled = assemble.assemble_qa(qa_records(spark, sf), **caps)
     return assembled.select(
         "conv_id",
         F.lit("conversations").alias("source"),
@@ -283,10 +286,15 @@ def concat_shards(spark, sf):
     lines = docs.select("lang", F.to_json(F.struct("doc_id", "text")).alias("value"))
     lines.write.partitionBy("lang").text(path)
     # The last shard is not there, and is skipped.
-    names = [f"lang={lang}" for lang in ("de", "en", "es", "fr", "xx")]
+    found = [r["lang"] for r in docs.select("lang").distinct().collect()]
+    names = [f"lang={lang}" for lang in (*sorted(found), "absent")]
     read = files.concat_shards(spark, path, names, pattern="part-*")
     plain = read.withColumn("shard", F.substring_index("shard", "=", -1))
-    return files.shard_line_counts(plain)
+    characters = plain.rollup("shard").agg(F.sum(F.length(F.get_json_object("value", "$.text"))).alias("chars"))
+    counted = files.shard_line_counts(plain)
+    return counted.join(
+        characters.withColumnRenamed("shard", "_shard"), F.col("shard").eqNullSafe(F.col("_shard"))
+    ).drop("_shard")
 
 
 def scan_text_corpus(spark, sf):
@@ -345,22 +353,44 @@ def write_metadata(spark, sf):
 def write_vector_shards(spark, sf):
     path = scratch_path(spark, "shards")
     artifacts.write_vector_shards(vectors(spark, sf), path, shard_size=200, file_vectors=50)
+    placed = spark.read.parquet(path).select(
+        F.col("shard_id").cast("int").alias("shard_id"),
+        "vec_id",
+        F.aggregate(
+            F.transform(V.to_double(F.col("vector")), lambda x, i: x * (i + 1)),
+            F.lit(0.0),
+            lambda total, x: total + x,
+        ).alias("weighted"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("at"),
+    )
+    before = F.lag("vec_id").over(Window.partitionBy("file").orderBy("at"))
     return (
-        spark.read.parquet(path)
-        .groupBy(F.col("shard_id").cast("int").alias("shard_id"))
+        placed.withColumn("disordered", before + 1 != F.col("vec_id"))
+        .groupBy("shard_id")
         .agg(
             F.count(F.lit(1)).alias("vectors"),
             F.min("vec_id").alias("first_id"),
             F.max("vec_id").alias("last_id"),
+            F.round(F.sum("weighted"), 4).alias("weighted"),
+            F.count_if("disordered").alias("disordered"),
+            F.max("at").alias("last_row"),
         )
     )
 
 
 def write_summary(spark, sf):
-    path = scratch_path(spark, "summary")
-    row = artifacts.summary_row(vectors(spark, sf), "embeddings", "given", MODEL, DIM, True)
-    artifacts.write_summary(row, path)
-    return spark.read.json(path).select(
+    """Manifests of an index whose parts fit together, and of one whose parts do not."""
+    index = vectors(spark, sf).select("vec_id")
+    _, chunks, metadata = _parts(spark, sf)
+    written = None
+    for name, parts in (("whole", (index, index, index)), ("torn", (index, chunks, metadata))):
+        path = scratch_path(spark, "summary")
+        passed = alignment.integrity_gate(*parts).first()["status"] == "PASSED"
+        artifacts.write_summary(artifacts.summary_row(index, name, "given", MODEL, DIM, passed), path)
+        one = spark.read.json(path)
+        written = one if written is None else written.unionByName(one)
+    return written.select(
         "dataset_name", "total_vectors", "embedding_model", "embedding_dimension",
         "integrity_status",
     )
@@ -396,7 +426,7 @@ def assemble_articles(spark, sf):
 
 
 def assemble_qa(spark, sf):
-    return qa_documents(spark, sf).select("conv_id", "document")
+    return qa_documents(spark, sf, caps=TIGHT_CAPS).select("conv_id", "document")
 
 
 def assemble_papers_redpajama(spark, sf):
@@ -520,8 +550,13 @@ def embedder_udf(spark, sf):
 
 def _load_letter_counter():
     def encode(texts: list[str]) -> np.ndarray:
-        alphabet = [chr(ord("a") + i) for i in range(26)]
-        return np.array([[t.count(c) for c in alphabet] for t in texts], dtype=float)
+        """Letters a to z of each text, counted over the bytes of the whole batch."""
+        raw = [t.encode() for t in texts]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        owner = np.repeat(np.arange(len(raw)), [len(r) for r in raw])
+        letter = (data >= ord("a")) & (data <= ord("z"))
+        cells = owner[letter] * 26 + (data[letter] - ord("a"))
+        return np.bincount(cells, minlength=len(raw) * 26).reshape(len(raw), 26).astype(float)
 
     return encode
 
@@ -601,7 +636,7 @@ def topk_per_index(spark, sf):
 
 def topk_block(spark, sf):
     index = stored(entries(spark, sf).select("vec_id", "vector"), "vectors")
-    return rounded(search.topk_block(index, text_queries(spark, sf), 10, block_bytes=1 << 20))
+    return rounded(search.topk_block(index, text_queries(spark, sf), 10, block_bytes=8 << 10))
 
 
 # Counts and gates ----------------------------------------------------------
@@ -656,11 +691,15 @@ def estimate_vs_actual(spark, sf):
 
 
 def integrity_gate(spark, sf):
+    """A corpus whose parts fit together, and the same with its short chunks left in one part."""
     docs = plain_documents(spark, sf)
     chunks = build.documents_to_chunks(docs)
-    return alignment.integrity_gate(
-        chunks, chunks.select("text"), assemble.chunk_metadata(chunks), build.expected_chunks(docs)
-    )
+    texts, metadata = chunks.select("text"), assemble.chunk_metadata(chunks)
+    expected = build.expected_chunks(docs)
+    every = chunk.chunk_words(docs).select("text")
+    whole = alignment.integrity_gate(chunks, texts, metadata, expected)
+    torn = alignment.integrity_gate(chunks, every, metadata, expected)
+    return whole.unionByName(torn)
 
 
 def manifest_match(spark, sf):
@@ -686,21 +725,31 @@ def assign_vec_ids(spark, sf):
 
 
 def sample_limit(spark, sf):
-    return ordinals.sample_limit(numbered_chunks(spark, sf), 6500).select("vec_id", "doc_id", "chunk")
+    return ordinals.sample_limit(numbered_chunks(spark, sf), 150).select("vec_id", "doc_id", "chunk")
 
 
 def merge_splits(spark, sf):
-    chunks = build.documents_to_chunks(plain_documents(spark, sf)).withColumn(
-        "split", files.split_of_file(F.col("file_index"), FILES_PER_SPLIT)
-    )
-    path = scratch_path(spark, "splits")
-    chunks.write.partitionBy("split").parquet(path)
-    written = spark.read.parquet(path)
-    splits = {
-        i: ordinals.assign_vec_ids(written.filter(F.col("split") == i).drop("split"))
-        for i in range(N_FILES // FILES_PER_SPLIT)
-    }
-    return merge.merge_entries(splits).select("vec_id", "split_id", "doc_id", "chunk")
+    """Five stored split indexes and one that is not there, merged with their vectors."""
+    root = scratch_path(spark, "splits")
+    docs = stored(plain_documents(spark, sf), "documents")
+    paths = []
+    for i in range(N_FILES // FILES_PER_SPLIT):
+        part = files.split_by_file_range(docs, i * FILES_PER_SPLIT, (i + 1) * FILES_PER_SPLIT)
+        paths.append(f"{root}/split{i}")
+        build.build_index(spark, part, paths[-1], EMBEDDER, f"split{i}", MODEL, shard_size=SHARD)
+    paths.insert(2, f"{root}/absent")
+    merged = merge.merge_splits(spark, paths, f"{root}/merged", "merged")
+    summary = merged.summary.select("split_merge", "num_splits", "total_vectors").first()
+    return merged.entries.select(
+        "vec_id",
+        "split_id",
+        "doc_id",
+        "chunk",
+        F.round(F.get(V.to_double(F.col("vector")), 7), 6).alias("component"),
+        F.lit(summary["split_merge"]).alias("split_merge"),
+        F.lit(summary["num_splits"]).cast("long").alias("num_splits"),
+        F.lit(summary["total_vectors"]).alias("total_vectors"),
+    )
 
 
 def multi_corpus_union(spark, sf):
@@ -731,6 +780,18 @@ def incremental_index(spark, sf):
     return numbered.select("title", "chunk", "text")
 
 
+def incremental_rejects(spark, sf):
+    """Lines that the stream set aside, with their reasons."""
+    source, path = scratch_path(spark, "arriving"), scratch_path(spark, "increments")
+    raw_lines(spark, sf).select("value").write.text(source)
+    incremental.incremental_index(
+        spark, source, path, f"{path}/checkpoint", "article", EMBEDDER, line_suffix="txt"
+    ).awaitTermination()
+    return incremental.rejects(spark, path).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("records"), F.sum(F.length("value")).alias("chars")
+    )
+
+
 def progress_log(spark, sf):
     log = incremental.progress_log(spark, _streamed(spark, sf))
     return log.agg(
@@ -760,6 +821,6 @@ QUERIES = {
         corpus_totals, ingest_counts, shard_accounting, estimate_vs_actual,
         integrity_gate, manifest_match, chunk_quality,
         assign_vec_ids, sample_limit, merge_splits, multi_corpus_union,
-        incremental_index, progress_log,
+        incremental_index, incremental_rejects, progress_log,
     )
 }
