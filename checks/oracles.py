@@ -133,14 +133,18 @@ OVERLAP = f"""
 
 CARRIED = "source, file_index, row, title"
 
-# Kept chunks of the plain documents, numbered.
-NUMBERED = f"""{chunk_ctes(PLAIN, CARRIED)},
+def numbered_ctes(source: str) -> str:
+    """Kept chunks of the documents of a source, numbered."""
+    return f"""{chunk_ctes(source, CARRIED)},
     kept AS (SELECT * FROM chunks WHERE length({strip('text')}) >= 20),
     numbered AS (
         SELECT row_number() OVER (ORDER BY file_index, row, chunk) - 1 AS vec_id, *
         FROM kept)"""
 
 
+NUMBERED = numbered_ctes(PLAIN)
+
+
 def hashed(name: str, source: str, key: str) -> str:
     """A CTE of unit vectors (key, list) for prefixed texts (key, input)."""
     return f"""
@@ -159,14 +163,23 @@ def hashed(name: str, source: str, key: str) -> str:
         USING ({key}) GROUP BY 1)"""
 
 
-TEXT_VECTORS = f"""{NUMBERED},
+def text_vectors(numbered: str) -> str:
+    return f"""{numbered},
     {hashed('index_vectors', "SELECT vec_id, 'passage: ' || text AS input FROM numbered", 'vec_id')}"""
-TEXT_SEARCH = f"""{TEXT_VECTORS},
+
+
+def text_search(numbered: str, where: str = "true") -> str:
+    return f"""{text_vectors(numbered)},
     {hashed('query_vectors', "SELECT item_id AS query_id, 'query: ' || text AS input FROM benchmark", 'query_id')},
     ranked AS (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
         FROM (SELECT query_id, vec_id, round(list_inner_product(q.v, i.v), 9) AS score
-              FROM query_vectors q CROSS JOIN index_vectors i))"""
+              FROM query_vectors q CROSS JOIN (SELECT i.* FROM index_vectors i JOIN numbered USING (vec_id)
+                                               WHERE {where}) i))"""
+
+
+TEXT_VECTORS = text_vectors(NUMBERED)
+TEXT_SEARCH = text_search(NUMBERED)
 
 EXEMPLARS = """
     exemplars AS (
@@ -384,8 +397,8 @@ ORACLES = {
                replace(left(text, 100), chr(10), ' ') AS preview, source, file_index, row, chunk
         FROM ranked JOIN numbered USING (vec_id) WHERE rank <= 3""",
     "topk_filtered": f"""
-        WITH {SCORED}, {best(10, 'label < 5')}
-        SELECT query_id, vec_id, round(score, 6) + 0.0 AS score, rank FROM hits""",
+        WITH RECURSIVE {text_search(numbered_ctes(ARTICLES), "source = 'src3'")}
+        SELECT query_id, vec_id, round(score, 6) + 0.0 AS score, rank FROM ranked WHERE rank <= 10""",
     "score_bands": f"""
         WITH {SCORED}, {best(10)}
         SELECT CASE WHEN score >= 0.9 THEN 'near-identical' WHEN score >= 0.8 THEN 'strongly related'

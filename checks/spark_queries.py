@@ -619,10 +619,25 @@ def topk_with_sources(spark, sf):
 
 
 def topk_filtered(spark, sf):
-    hits = search.topk_filtered(
-        vectors(spark, sf), exemplars(spark, sf), 10, F.col("label") < 5
+    """Search among the articles of one category in a published index."""
+    category = F.array("lang", "source").alias("categories")
+    records = documents(spark, sf).select(
+        "source",
+        (F.col("doc_id") % N_FILES).cast("int").alias("file_index"),
+        ordinals.whole_parts(F.col("doc_id"), N_FILES).alias("row"),
+        F.to_variant_object(F.struct(first_line(F.col("text")).alias("title"), "text", category)).alias("v"),
+    )
+    index = build.build_index(
+        spark,
+        stored(build.assemble_records(records, "article"), "articles"),
+        scratch_path(spark, "index"),
+        EMBEDDER,
+        dataset="articles",
+        model=MODEL,
+        shard_size=SHARD,
     )
-    return rounded(hits)
+    chosen = F.array_contains("categories", "src3")
+    return rounded(search.topk_filtered(index.entries, text_queries(spark, sf), 10, chosen))
 
 
 def score_bands(spark, sf):

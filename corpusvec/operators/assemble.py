@@ -57,6 +57,7 @@ def article_fields(record: Column) -> dict[str, Column]:
         "title": V.text_of(V.field(record, "title")),
         "text": V.text_of(V.field(record, "text")),
         "categories": V.display_list(V.field(record, "categories")),
+        "is_featured": V.is_truthy(V.field(record, "is_featured")),
     }
 
 
@@ -219,6 +220,10 @@ def paper_fields(record: Column, max_authors: int = MAX_AUTHORS) -> dict[str, Co
         "yymm": scalar(V.field(meta, "yymm")),
         "arxiv_id": V.display(V.first_truthy(record, "id", "arxiv_id")),
         "categories": list_or_scalar(None, "categories", "category"),
+        "category_list": T.bind(
+            V.first_truthy(record, "categories", "category"),
+            lambda v: F.coalesce(V.display_list(v), F.when(v.isNotNull(), F.array(V.display(v)))),
+        ),
         "title": V.text_of(V.field(record, "title")),
         "authors": list_or_scalar(max_authors, "authors", "author"),
         "abstract": V.text_of(V.field(record, "abstract")),

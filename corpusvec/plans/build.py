@@ -18,19 +18,20 @@ PROVENANCE = ("source", "file_index", "row")
 
 
 def assemble_records(records: DataFrame, kind: str) -> DataFrame:
-    """``source, file_index, row, title[, arxiv_id], document`` of parsed records.
+    """``source, file_index, row, title[, arxiv_id], labels, document`` of parsed records.
 
-    ``kind`` is article, qa or paper.  A record without a document keeps its
-    row, with a NULL document.
+    ``kind`` is article, qa or paper.  The labels a search can be restricted by
+    are ``categories`` and ``is_featured``, ``tags``, or ``categories``.  A record
+    without a document keeps its row, with a NULL document.
     """
     v = F.col("v")
     carried = [c for c in PROVENANCE if c in records.columns]
     if kind == "article":
-        fields, assemble, kept = A.article_fields(v), A.assemble_articles, ["title"]
+        fields, assemble, kept = A.article_fields(v), A.assemble_articles, ["title", "categories", "is_featured"]
     elif kind == "qa":
-        fields, assemble, kept = A.qa_fields(v), A.assemble_qa, ["title"]
+        fields, assemble, kept = A.qa_fields(v), A.assemble_qa, ["title", "tags"]
     elif kind == "paper":
-        fields, assemble, kept = A.paper_fields(v), A.assemble_papers, ["title", "arxiv_id"]
+        fields, assemble, kept = A.paper_fields(v), A.assemble_papers, ["title", "arxiv_id", F.col("category_list").alias("categories")]
     else:
         raise ValueError(f"unknown kind of record: {kind}")
     typed = records.select(*carried, *(c.alias(n) for n, c in fields.items()))

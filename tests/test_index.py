@@ -218,3 +218,16 @@ def test_vectors_of_the_wrong_form_are_not_published(spark, tmp_path, bad):
     assert publish_verified(
         spark, entries.filter("vec_id < 2"), path, dataset="d", model="m", dimension=2
     ).entries.count() == 2
+
+
+def test_labels_reach_the_index(spark):
+    records = {
+        "article": '{"title": "a", "text": "t", "categories": ["x", "y"], "is_featured": true}',
+        "qa": '{"title": "q", "question": "t", "Tags": ["python"]}',
+        "paper": '{"id": "1", "title": "p", "abstract": "t", "category": "cs.LG"}',
+    }
+    for kind, labels in (("article", (["x", "y"], True)), ("qa", (["python"],)), ("paper", (["cs.LG"],))):
+        rows = spark.createDataFrame([(records[kind], "s", 0, 0)], "j string, source string, file_index int, row long")
+        got = build.assemble_records(rows.withColumn("v", F.parse_json("j")), kind).first().asDict()
+        names = {"article": ("categories", "is_featured"), "qa": ("tags",), "paper": ("categories",)}[kind]
+        assert tuple(got[n] for n in names) == labels and got["document"]
