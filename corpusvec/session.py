@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,14 +30,27 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
     return _local_root()
 
 
+@cache
+def _session_folder(root: str, application: str) -> str:
+    """This session's part of the shared folder; it goes when the driver ends."""
+    folder = f"{root}/corpusvec/{application}"
+    context = SparkContext._active_spark_context
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; every run gets its own."""
-    return f"{shared_root(spark)}/corpusvec/{name}-{uuid.uuid4().hex}"
+    folder = _session_folder(shared_root(spark), spark.sparkContext.applicationId)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

@@ -1,3 +1,6 @@
+import subprocess
+import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -20,6 +23,8 @@ def test_only_a_local_session_may_go_without():
     assert session.shared_root(fake("local[2]", None)) == session.shared_root(fake("local[8]", None))
     with pytest.raises(RuntimeError):
         session.shared_root(fake("yarn", None))
+    with pytest.raises(RuntimeError):
+        session.shared_root(fake("local-cluster[2,1,1024]", None))
 
 
 def test_scratch_paths_are_fresh(spark):
@@ -36,3 +41,17 @@ def test_small_tables_are_settled_and_hinted(spark):
 
 def test_settling_nothing(spark):
     assert session.settle(spark.range(0), "none").count() == 0
+
+
+def test_scratch_tables_go_with_the_session(tmp_path):
+    code = f"""
+from pyspark.sql import SparkSession
+from corpusvec import session
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config(
+    "spark.checkpoint.dir", "{tmp_path}").getOrCreate()
+session.settle(spark.range(3), "few")
+assert any(p.name.startswith("few-") for p in __import__("pathlib").Path("{tmp_path}").rglob("*"))
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parent.parent, timeout=300)
+    assert not [p for p in tmp_path.rglob("*") if p.is_file()]
