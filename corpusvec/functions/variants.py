@@ -49,7 +49,7 @@ def items_of(value: Column) -> Column:
 
 
 def is_truthy(value: Column) -> Column:
-    """False for missing, null, false, zero, and empty strings, lists and objects."""
+    """False for missing, null, false, zero, and empty strings, bytes, lists and objects."""
 
     def test(x: Column, shape: Column) -> Column:
         return (
@@ -61,6 +61,8 @@ def is_truthy(value: Column) -> Column:
             )
             .when(shape.startswith("OBJECT"), F.to_json(x) != "{}")
             .when(shape == "BOOLEAN", F.try_variant_get(x, "$", "boolean"))
+            .when(shape.isin("DATE", "TIMESTAMP", "TIMESTAMP_NTZ"), F.lit(True))
+            .when(shape == "BINARY", F.octet_length(F.try_variant_get(x, "$", "binary")) > 0)
             .otherwise(F.try_variant_get(x, "$", "double") != 0)
         )
 

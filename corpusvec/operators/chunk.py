@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusvec.functions import text as T
 
+# Sizes of chunks, of their overlap, and of what is too short.
 CHUNK_CHARS = 1500
 OVERLAP_CHARS = 200
 MIN_CHUNK_CHARS = 20

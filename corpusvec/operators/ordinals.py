@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Source rows per block.  Ranking happens inside a block, so this bounds what
 # one task has to order; about one vector shard's worth of chunks.
 BLOCK_ROWS = 65_536
+# Fixed value: vectors in a shard.
 SHARD_VECTORS = 200_000
 # Vectors per part file; keeps a file of 1024-dimensional entries well below
 # the 2 GB a binary column can hold.

@@ -10,6 +10,7 @@ from corpusvec.functions import variants as V
 from corpusvec.operators.chunk import CHUNK_CHARS, MIN_CHUNK_CHARS, word_chunks
 from corpusvec.operators.ordinals import SHARD_VECTORS, shard_of, whole_parts
 
+# Chunks guessed per row, and the bounds that quality has to meet.
 CHUNKS_PER_ROW = 1.5
 MAX_MID_WORD_BREAKS = 0.02
 MIN_SELF_CONTAINED = 0.95
@@ -144,8 +145,9 @@ def chunk_quality(chunks: DataFrame, documents: DataFrame, key: str = "doc_id")
     pieces = chunks.select(
         key, padded("text").alias("_piece"), F.is_valid_utf8("text").alias("valid")
     )
-    edges = pieces.join(sources, key).select(
-        F.contains("_document", "_piece").alias("clean"),
+    # A chunk whose document is not there has no clean edge.
+    edges = pieces.join(sources, key, "left").select(
+        F.coalesce(F.contains("_document", "_piece"), F.lit(False)).alias("clean"),
         (F.length("_piece") - 2 >= MIN_CHUNK_CHARS).alias("long_enough"),
         "valid",
     )

@@ -68,6 +68,7 @@ def summary_row(
     **extra: str | int | bool,
 ) -> DataFrame:
     """The manifest as a one-row DataFrame; its count comes from the entries."""
+    # The manifest's field names and date format.
     fixed = {
         "dataset_name": dataset,
         "raw_dataset_path": source_path,

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from corpusvec.functions import variants as V
 from corpusvec.operators import assemble as A
 from corpusvec.operators import quality as Q
 from corpusvec.plans.build import assemble_records
@@ -141,3 +142,12 @@ def test_filter_by_label(spark):
     assert ids("tags", ["b", "q"]) == [1]
     assert ids("kind", ["y"]) == [2]
     assert ids("flag", True) == [1]
+
+
+def test_dates_and_bytes_are_truthy(spark):
+    row = spark.sql(
+        """SELECT to_variant_object(named_struct('d', DATE'2020-01-01', 't', TIMESTAMP'2020-01-01 00:00:00',
+           'b', X'00', 'e', X'', 'n', 0, 's', '')) AS v"""
+    )
+    got = row.select(*(V.is_truthy(V.field(F.col("v"), n)).alias(n) for n in "dtbens")).first()
+    assert tuple(got) == (True, True, True, False, False, False)
