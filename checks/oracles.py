@@ -375,7 +375,7 @@ ORACLES = {
     "result_lookup": f"""
         WITH {SCORED}, {best(10)}
         SELECT vec_id, lang, n_chars, query_id, round(score, 6) + 0.0 AS score, rank
-        FROM hits JOIN documents ON vec_id = doc_id""",
+        FROM hits LEFT JOIN documents ON vec_id = doc_id""",
     "score_pairs": f"""
         WITH {SCORED}
         SELECT query_id, vec_id, round(score, 6) + 0.0 AS score FROM scored
