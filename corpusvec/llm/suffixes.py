@@ -394,7 +394,11 @@ def find_repeats(
         "suffix-texts",
     )
     each = distinct.select("key", F.inline("samples"))
-    names = each.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
+    # Stored, so that a name with very many samples can be split in the join.
+    names = settle(
+        each.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"),
+        "suffix-names",
+    )
     shared = settle(each.join(names, "name", "left_semi"), "suffix-shared")
     classes = settle(
         shared.groupBy("name", "whole").agg(
@@ -403,7 +407,10 @@ def find_repeats(
         "suffix-classes",
     )
     # One sample of every class takes part in a bucket of several classes.
-    open_names = classes.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
+    open_names = settle(
+        classes.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"),
+        "suffix-open",
+    )
     edges = (
         classes.join(open_names, "name", "left_semi")
         .select("name", "one.*")
