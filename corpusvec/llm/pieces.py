@@ -16,7 +16,7 @@ that every chunk is traced back by itself.
 
 No piece of the vocabulary has a blank behind another character, so no piece
 reaches over the front of a run of blanks.  Between two such cuts the best pieces are
-independent of all else; a task computes them once per distinct stretch.  A chunk
+independent of all else; a task works them out once per distinct stretch.  A chunk
 without any cut is computed in full.  Scores are whole numbers for the vocabularies
 at hand, so sums are exact; between equal sums a stretch takes the longer last
 piece, a boundary the shorter reach.
@@ -32,10 +32,13 @@ each on its own.  Other columns take no part.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +48,7 @@ from corpusvec.session import settle
 CHUNK_CHARS = 1 << 16
 BLOCK = 256
 # Distinct stretches a task remembers, and how long they may be.
-CACHE, CACHE_CHARS = 200_000, 64
+CACHE, CACHE_CHARS = 300_000, 64
 
 _NONE = -np.inf
 # Takes the place of a literal mark in a text, which is no blank; no piece has it.
@@ -58,19 +61,42 @@ def marked(text: str) -> str:
     return text.replace(MARK, HIDDEN_MARK).replace(" ", MARK)
 
 
+# What lies between cuts: a run of marks and what follows it up to the next run.
+_STRETCH = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+
+
+class _Memory(dict):
+    """Results per stretch, worked out when first asked for."""
+
+    def __init__(self, work: Callable[[str], object]):
+        self.work = work
+
+    def __missing__(self, text: str) -> object:
+        found = self.work(text)
+        if len(text) <= CACHE_CHARS:
+            if len(self) >= CACHE:
+                self.clear()
+            self[text] = found
+        return found
+
+
 class Encoder:
     """Best segmentations of strings over one vocabulary."""
 
     def __init__(self, vocabulary: Vocabulary):
-        # Every prefix of a piece is a key, so that a search ends where no piece goes on.
-        self.ahead: dict[str, tuple[int, float] | bool] = {}
-        for piece in vocabulary.pieces:
-            for end in range(1, len(piece)):
-                self.ahead.setdefault(piece[:end], False)
-        self.ahead |= vocabulary.pieces
+        self.single = {p for p in vocabulary.pieces if len(p) == 1}
+        # A tree of pieces: next character to (what may follow, id or -1, score).
+        self.root: dict = {}
+        for piece in sorted(vocabulary.pieces):
+            below = self.root
+            for character in piece[:-1]:
+                below = below.setdefault(character, ({}, -1, 0.0))[0]
+            below[piece[-1]] = (below.get(piece[-1], ({},))[0], *vocabulary.pieces[piece])
         self.vocabulary = vocabulary
         self.states = vocabulary.longest
-        self.cache: dict[str, tuple[float, list[int]]] = {}
+        # Ids of a stretch as 32-bit integers, and its score.
+        self.ids = _Memory(lambda text: array("i", self.path(text, 0, len(text))[1]).tobytes())
+        self.scores = _Memory(lambda text: self.path(text, 0, len(text))[0])
         self.spelt: dict[str, tuple[float, list[int]]] = {}
 
     def spell(self, character: str) -> tuple[float, list[int]]:
@@ -82,52 +108,40 @@ class Encoder:
             found = self.spelt[character] = (len(ids) * self.vocabulary.byte_score, ids)
         return found
 
-    def best(self, text: str) -> tuple[float, list[int]]:
-        """Best score and ids of a stretch."""
-        found = self.cache.get(text)
-        if found is None:
-            found = self.path(text, 0, len(text))
-            if len(text) <= CACHE_CHARS:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[text] = found
-        return found
-
     def path(self, text: str, start: int, end: int) -> tuple[float, list[int]]:
         """Best score and ids from one position to another."""
-        n = end - start
+        text = text[start:end]
+        n, root = len(text), self.root
         score, back = [0.0] + [_NONE] * n, [0] * (n + 1)
-        get = self.ahead.get
+        used: list[int | list[int]] = [0] * (n + 1)
         for i in range(n):
             here = score[i]
-            at = start + i
-            found = get(text[at])
-            j = i + 1
-            if not found:
-                cost = here + self.spell(text[at])[0]
-                if cost > score[j]:
-                    score[j], back[j] = cost, i
-            while found is not None:
-                if found:
-                    total = here + found[1]
-                    if total > score[j]:
-                        score[j], back[j] = total, i
-                j += 1
-                if j > n:
+            below, j = root, i
+            for character in text[i : i + self.states]:
+                node = below.get(character)
+                if node is None:
                     break
-                found = get(text[at : start + j])
-        ids: list[int] = []
+                j += 1
+                below, piece, worth = node
+                if piece >= 0:
+                    total = here + worth
+                    if total > score[j]:
+                        score[j], back[j], used[j] = total, i, piece
+            if text[i] not in self.single:
+                cost, ids = self.spell(text[i])
+                if here + cost > score[i + 1]:
+                    score[i + 1], back[i + 1], used[i + 1] = here + cost, i, ids
+        found: list[int] = []
         j = n
         while j:
-            i = back[j]
-            piece = get(text[start + i : start + j])
-            if piece:
-                ids.append(piece[0])
+            piece = used[j]
+            if type(piece) is int:
+                found.append(piece)
             else:
-                ids += reversed(self.spell(text[start + i])[1])
-            j = i
-        ids.reverse()
-        return score[n], ids
+                found += reversed(piece)
+            j = back[j]
+        found.reverse()
+        return score[n], found
 
     def cuts(self, text: str, end: int) -> list[int]:
         """Positions before ``end`` in front of a run of marks."""
@@ -146,39 +160,33 @@ class Encoder:
         n = end - start
         scores = np.full(n + self.states, _NONE)
         scores[0] = 0.0
-        get = self.ahead.get
         for i in range(n):
             here = scores[i]
             if here == _NONE:
                 continue
-            at = start + i
-            if not get(text[at]):
-                scores[i + 1] = max(scores[i + 1], here + self.spell(text[at])[0])
-            j = at + 1
-            while j <= len(text):
-                found = get(text[at:j])
-                if found is None:
+            below, j = self.root, i
+            for character in text[start + i : start + i + self.states]:
+                node = below.get(character)
+                if node is None:
                     break
-                if found and here + found[1] > scores[j - start]:
-                    scores[j - start] = here + found[1]
                 j += 1
+                below, piece, worth = node
+                if piece >= 0 and here + worth > scores[j]:
+                    scores[j] = here + worth
+            if text[start + i] not in self.single:
+                scores[i + 1] = max(scores[i + 1], here + self.spell(text[start + i])[0])
         return scores[n : n + self.states]
 
-    def parts(self, text: str, size: int) -> tuple[list[int], list[str]]:
-        """First and last cut of a chunk, if any, and the stretches between them."""
-        cuts = self.cuts(text, size)
-        return cuts, [text[a:b] for a, b in zip(cuts, cuts[1:])]
-
     def transfer(self, text: str, size: int) -> np.ndarray:
         """The matrix of a chunk of ``size`` characters; ``text`` has what follows as well."""
         n = self.states
         matrix = np.full((n, n), _NONE)
-        cuts, between = self.parts(text, size)
+        cuts = self.cuts(text, size)
         if cuts:
             into = np.full(n, _NONE)
             for i in range(min(n, cuts[0] + 1)):
                 into[i] = self.path(text, i, cuts[0])[0]
-            middle = sum([self.best(s)[0] for s in between])
+            middle = sum([self.scores[text[a:b]] for a, b in zip(cuts, cuts[1:])])
             return (into + middle)[:, None] + self.spread(text, cuts[-1], size)[None, :]
         for i in range(min(n, size + 1)):
             matrix[i] = self.spread(text, i, size)
@@ -186,19 +194,12 @@ class Encoder:
             matrix[i, i - size] = 0.0
         return matrix
 
-    def trace(self, text: str, size: int, start: int, reach: int) -> list[int]:
-        """The ids of a chunk between two states."""
-        end = size + reach
-        if start >= end:
-            return []
-        cuts, between = self.parts(text, size)
-        if not cuts or cuts[0] < start:
-            return self.path(text, start, end)[1]
-        ids = list(self.best(text[start : cuts[0]])[1])
-        for s in between:
-            ids += self.best(s)[1]
-        ids += self.best(text[cuts[-1] : end])[1]
-        return ids
+    def trace(self, text: str, size: int, start: int, reach: int) -> bytes:
+        """The ids of a chunk between two states, as 32-bit integers.
+
+        Both ends are on the path, so the stretches between them stand alone.
+        """
+        return b"".join(map(self.ids.__getitem__, _STRETCH.findall(text[start : size + reach])))
 
 
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -350,15 +351,20 @@ def _encoded(parts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 1024):
                 part = batch.slice(first, 1024)
-                flat, offsets = [], [0]
-                for body, size, start, reach in zip(*(part.column(c).to_pylist() for c in columns)):
-                    flat.append(np.array(encoder.trace(marked(body), size, start, reach), np.int32))
-                    offsets.append(offsets[-1] + len(flat[-1]))
-                ids = pa.ListArray.from_arrays(
-                    pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32))
-                )
+                found = [
+                    encoder.trace(marked(body), size, start, reach)
+                    for body, size, start, reach in zip(*(part.column(c).to_pylist() for c in columns))
+                ]
+                counts = np.array([len(f) // 4 for f in found], np.int32)
+                offsets = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+                values = pa.Array.from_buffers(pa.int32(), int(counts.sum()), [None, pa.py_buffer(b"".join(found))])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("chunk"), pa.array(np.diff(offsets), pa.int32()), ids],
+                    [
+                        part.column("doc_id"),
+                        part.column("chunk"),
+                        pa.array(counts),
+                        pa.ListArray.from_arrays(offsets, values),
+                    ],
                     ["doc_id", "chunk", "n_pieces", "ids"],
                 )
 
@@ -395,12 +401,19 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     goes on with it, so texts are put together from bytes.
     """
     vocabulary = load(path or vocabulary_path())
-    spelling = {i: p.replace(MARK, " ").encode() for p, (i, _) in vocabulary.pieces.items()}
-    spelling |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+    spelling = [b""] * vocabulary.size
+    for piece, (i, _) in vocabulary.pieces.items():
+        spelling[i] = piece.replace(MARK, " ").encode()
+    for b, i in enumerate(vocabulary.byte_ids):
+        spelling[i] = bytes([b])
 
     @F.arrow_udf("binary")
     def spell(ids: pa.Array) -> pa.Array:
-        texts = [b"".join([spelling[i] for i in one.as_py() or ()]) for one in ids]
+        values = ids.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+        texts = [
+            b"".join(map(spelling.__getitem__, values[a:b].tolist())) for a, b in zip([0, *ends], ends)
+        ]
         return pa.array(texts, pa.binary())
 
     return encoded.withColumn("text", spell("ids"))
