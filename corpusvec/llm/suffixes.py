@@ -26,7 +26,7 @@ length; the same to the left; a window repeats if another sample of its bucket
 agrees with it on both sides.  A bucket beyond ``bucket_rows`` is never gathered: the
 same classes are counted by the hashes of both sides at each shift.
 
-Copies.  Whole texts that are equal stand for each other: they meet by SHA-256, a
+Copies.  Whole texts that are equal stand for each other: they meet by half of their SHA-256, a
 text of ``length`` bytes or more with copies goes altogether, and one of them takes
 part in the rest.  So a group of copies costs one text.
 
@@ -42,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusvec.llm.common import as_bytes, null_safe_join, slices
@@ -58,6 +58,9 @@ TASK_ROWS = 16_384
 # Bytes of one text that are sampled at a time.
 BLOCK_BYTES = 2 << 20
 
+# Bytes of a text's SHA-256 by which its samples name it.
+KEY_BYTES = 16
+
 _SAMPLE = "struct<name: long, whole: long, at: int, first: int, last: int>"
 
 
@@ -121,7 +124,7 @@ def _named(text: bytes, length: int) -> list[dict[str, int]]:
 
 
 def sampled(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc_id, key, n_bytes, samples`` per row; ``key`` is the text's SHA-256."""
+    """``doc_id, key, sha256, n_bytes, samples`` per row; ``key`` is half of the SHA-256."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(
@@ -132,10 +135,10 @@ def sampled(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         )
         for batch in batches:
             for part in slices(batch, "text"):
-                keys, sizes, counts, rows = [], [], [0], []
+                sums, sizes, counts, rows = [], [], [0], []
                 for value in as_bytes(part.column("text")):
                     text = value.as_py()
-                    keys.append(hashlib.sha256(text).digest())
+                    sums.append(hashlib.sha256(text))
                     sizes.append(len(text))
                     rows += _named(text, length)
                     counts.append(len(rows))
@@ -149,12 +152,18 @@ def sampled(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 )
                 lists = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), values)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), lists],
-                    ["doc_id", "key", "n_bytes", "samples"],
+                    [
+                        part.column("doc_id"),
+                        pa.array([x.digest()[:KEY_BYTES] for x in sums], pa.binary()),
+                        pa.array([x.hexdigest() for x in sums], pa.string()),
+                        pa.array(sizes, pa.int64()),
+                        lists,
+                    ],
+                    ["doc_id", "key", "sha256", "n_bytes", "samples"],
                 )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, key binary, n_bytes long, samples array<{_SAMPLE}>"
+    schema = f"doc_id {id_type}, key binary, sha256 string, n_bytes long, samples array<{_SAMPLE}>"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -377,6 +386,11 @@ def _cut(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("key", "text", "marks").mapInArrow(run, _CUT)
 
 
+def _key(text: Column) -> Column:
+    digest = F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+    return F.unhex(F.left(digest, F.lit(2 * KEY_BYTES)))
+
+
 def find_repeats(
     docs: DataFrame, length: int = LENGTH, bucket_rows: int = BUCKET_ROWS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -426,7 +440,7 @@ def find_repeats(
     keyed = docs.select(
         "doc_id",
         F.coalesce("text", F.lit("")).alias("text"),
-        F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("key"),
+        _key(F.col("text")).alias("key"),
     )
     texts = settle(null_safe_join(keyed, candidates, ["doc_id", "key"], "inner"), "suffix-candidates")
     # A repeated row would otherwise meet itself.
@@ -481,7 +495,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, bucket_rows: int = BUC
         .alias("n_removed"),
         F.when(F.col("copied"), 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(F.col("copied"), F.lit(empty))
-        .otherwise(F.coalesce("kept_sha256", F.lower(F.hex("key"))))
+        .otherwise(F.coalesce("kept_sha256", "sha256"))
         .alias("kept_sha256"),
     )
 
@@ -496,7 +510,7 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         rows.select("key", "n_bytes").distinct(), copies, cut.select("key", "kept_text"), length
     ).filter(F.col("copied") | F.col("kept_text").isNotNull())
     changed = changed.select("key", F.when(F.col("copied"), "").otherwise(F.col("kept_text")).alias("__new_text"))
-    keyed = docs.withColumn("__key", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)))
+    keyed = docs.withColumn("__key", _key(F.col("text")))
     joined = keyed.join(changed.withColumnRenamed("key", "__key"), "__key", "left")
     return joined.select(
         *(
