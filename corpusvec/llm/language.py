@@ -38,6 +38,7 @@ UNKNOWN = "und"
 MIN_MARGIN = 0.01
 
 DICT_DOCS, DICT_PIECE, DICT_BYTES = 256, 1024, 1 << 16
+SAMPLE_PARTS = 16
 LEVEL = 6
 BLOCK_BYTES = 2048
 SHORT_BYTES, PROBE_WORDS, PROBE_STEP = 256, 80, 7
@@ -67,14 +68,13 @@ def learn(docs: DataFrame, docs_per_language: int = DICT_DOCS) -> dict[str, byte
     usable = docs.filter(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     ).select("lang", "text", F.xxhash64("text").alias("hash"))
-    order = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
-    chosen = (
-        usable.select("lang", "hash")
-        .distinct()
-        .withColumn("n", order)
-        .filter(F.col("n") <= docs_per_language)
-        .drop("n")
-    )
+    # The smallest of every part, then the smallest of those: a language with most
+    # of the texts is many parts, and what meets in the end has a fixed size.
+    parted = usable.select("lang", "hash", F.pmod("hash", F.lit(SAMPLE_PARTS)).alias("part")).distinct()
+    for group in (["lang", "part"], ["lang"]):
+        order = F.row_number().over(Window.partitionBy(*group).orderBy("hash"))
+        parted = parted.withColumn("n", order).filter(F.col("n") <= docs_per_language).drop("n")
+    chosen = parted.drop("part")
     pieces = (
         usable.join(chosen, ["lang", "hash"], "left_semi")
         .select("lang", "hash", F.left(letters(F.col("text")), F.lit(DICT_PIECE)).alias("piece"))
