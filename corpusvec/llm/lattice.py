@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusvec.llm.common import as_bytes, null_safe_join, slices
-from corpusvec.llm.vocabulary import MARK, Vocabulary, load, vocabulary_path
+from corpusvec.llm.vocabulary import MARK, RANK_OFFSET, Vocabulary, load, vocabulary_path
 from corpusvec.session import settle
 
 FOLDS, HELD_OUT = 7, 2
@@ -42,8 +42,6 @@ HEAD_WORDS, HEAD_WORD_BYTES = 100_000, 64
 EM_ROUNDS = 1
 # Added to every piece's expected count.
 SMOOTHING = 0.1
-# A piece that starts with weight 1 / (rank + RANK_OFFSET).
-RANK_OFFSET = 10.0
 # Words counted before a task hands its counts on, and words to a task of the lattice.
 OPEN_WORDS = 200_000
 TASK_WORDS = 50_000
@@ -143,9 +141,10 @@ class Lattice:
 
 
 def starting_weights(vocabulary: Vocabulary) -> np.ndarray:
-    """Log probabilities from the vocabulary's scores alone, which are ranks."""
+    """Log probabilities from the file's scores alone, which are ranks: the weight that a
+    piece starts with is 1 / (rank + RANK_OFFSET)."""
     weights = np.zeros(vocabulary.size)
-    for i, score in vocabulary.pieces.values():
+    for i, score in vocabulary.file_scores.items():
         weights[i] = 1.0 / (RANK_OFFSET - score)
     weights[list(vocabulary.byte_ids)] = 1.0 / (RANK_OFFSET + vocabulary.size)
     return _logs(weights / weights.sum())

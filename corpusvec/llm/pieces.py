@@ -1,8 +1,11 @@
 """SentencePiece encoding by a max-plus parallel scan, and decoding.
 
 The encoding of a text is the segmentation into vocabulary pieces with the highest
-sum of scores (Viterbi).  A character that is no piece is spelt in byte pieces, so
-there always is one, and decoding gives back the very text.
+sum of scores (Viterbi).  The scores are log weights made from the vocabulary's ranks;
+the vocabulary's own encoder merges by rank instead, and now and then finds other pieces.
+As there, a text that is not empty has one blank put ahead, which decoding takes off.
+A character that is no piece is spelt in byte pieces, so there always is an encoding,
+and decoding gives back the very text.
 
 A document is cut into chunks of ``chunk_chars``, so one giant document is the work
 of many tasks.  A piece may reach over a chunk's end by less than the longest
@@ -17,9 +20,9 @@ that every chunk is traced back by itself.
 No piece of the vocabulary has a blank behind another character, so no piece
 reaches over the front of a run of blanks.  Between two such cuts the best pieces are
 independent of all else; a task works them out once per distinct stretch.  A chunk
-without any cut is computed in full.  Scores are whole numbers for the vocabularies
-at hand, so sums are exact; between equal sums a stretch takes the longer last
-piece, a boundary the shorter reach.
+without any cut is computed in full.  Scores are multiples of one small step, so sums
+are exact; between equal sums a stretch takes the longer last piece, a boundary the
+shorter reach.
 
 A chunk is at most 2 ** 31 / ``chunk_chars`` of a document's, since a string has no more
 characters, and a block has ``BLOCK`` of them: no group of the scan can be larger than
@@ -57,7 +60,11 @@ HIDDEN_MARK = "\uffff"
 
 
 def marked(text: str) -> str:
-    """The text as pieces see it: blanks are marks."""
+    """A whole text as pieces see it: one blank is put ahead, and blanks are marks."""
+    return _as_marks(f" {text}" if text else "")
+
+
+def _as_marks(text: str) -> str:
     return text.replace(MARK, HIDDEN_MARK).replace(" ", MARK)
 
 
@@ -228,10 +235,12 @@ def states_of(matrices: list[np.ndarray], start: np.ndarray, end: int) -> list[i
 def chunks(docs: DataFrame, states: int, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """``doc_id, copy, chunk, last, size, body``: the chunks of every row.
 
-    ``body`` is a chunk with the characters that a piece may reach into.
+    ``body`` is a chunk with the characters that a piece may reach into.  The blank ahead
+    of the text is a character of the first chunk.
     """
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.select("doc_id", text.alias("text"), F.sha2(text.cast("binary"), 256).alias("text_key"))
+    ahead = F.when(text == "", text).otherwise(F.concat(F.lit(" "), text))
+    keyed = docs.select("doc_id", ahead.alias("text"), F.sha2(text.cast("binary"), 256).alias("text_key"))
     last = F.greatest(F.lit(0), F.floor((F.length("text") - 1) / chunk_chars)).cast("int")
     at = F.col("chunk") * chunk_chars
     return keyed.select(
@@ -257,7 +266,7 @@ def _matrices(long: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         encoder = Encoder(vocabulary)
         for batch in batches:
             found = [
-                encoder.transfer(marked(body), size).tobytes()
+                encoder.transfer(_as_marks(body), size).tobytes()
                 for body, size in zip(batch.column("body").to_pylist(), batch.column("size").to_pylist())
             ]
             yield pa.RecordBatch.from_arrays(
@@ -352,7 +361,7 @@ def _encoded(parts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             for first in range(0, batch.num_rows, 1024):
                 part = batch.slice(first, 1024)
                 found = [
-                    encoder.trace(marked(body), size, start, reach)
+                    encoder.trace(_as_marks(body), size, start, reach)
                     for body, size, start, reach in zip(*(part.column(c).to_pylist() for c in columns))
                 ]
                 counts = np.array([len(f) // 4 for f in found], np.int32)
@@ -395,7 +404,8 @@ def encode(
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """``encoded`` with ``text``, the bytes that its ids stand for, as a binary column.
+    """``encoded`` with ``text``, the bytes that its ids stand for, as a binary column;
+    the first chunk's without the blank put ahead.
 
     A chunk may end inside a character that is spelt in bytes only if the next one
     goes on with it, so texts are put together from bytes.
@@ -408,15 +418,16 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
         spelling[i] = bytes([b])
 
     @F.arrow_udf("binary")
-    def spell(ids: pa.Array) -> pa.Array:
+    def spell(ids: pa.Array, chunk: pa.Array) -> pa.Array:
         values = ids.flatten().to_numpy(zero_copy_only=False)
         ends = np.cumsum(pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False)).tolist()
         texts = [
-            b"".join(map(spelling.__getitem__, values[a:b].tolist())) for a, b in zip([0, *ends], ends)
+            b"".join(map(spelling.__getitem__, values[a:b].tolist()))[c == 0 :]
+            for a, b, c in zip([0, *ends], ends, chunk.to_pylist())
         ]
         return pa.array(texts, pa.binary())
 
-    return encoded.withColumn("text", spell("ids"))
+    return encoded.withColumn("text", spell("ids", "chunk"))
 
 
 def decoded_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:

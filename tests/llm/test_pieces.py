@@ -95,3 +95,36 @@ def test_query_gives_the_texts_back(spark, sf, vocabulary):
         texts[r["doc_id"]] = texts.get(r["doc_id"], "") + r["text"]
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
     assert texts == {r["doc_id"]: r["text"] for r in docs}
+
+
+COMMON = ["the", "language", "government", "international", "have", "people", "system"]
+
+
+def own_ids(texts):
+    from sentencepiece import SentencePieceProcessor
+
+    return [list(ids) for ids in SentencePieceProcessor(model_file=vocabulary_path()).encode(texts)]
+
+
+def ids_of(spark, texts, **options):
+    df = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], SCHEMA)
+    found = [[] for _ in texts]
+    for r in sorted(pieces.encode(df, **options).collect(), key=lambda r: (r["doc_id"], r["chunk"])):
+        found[r["doc_id"]] += r["ids"]
+    return found
+
+
+@pytest.mark.parametrize("chunk_chars", [1 << 16, 7])
+def test_frequent_words_are_the_pieces_of_the_model(spark, chunk_chars):
+    texts = [*COMMON, " ".join(COMMON), "the  people", " the people", "", "日本 🙂", "the"]
+    got = ids_of(spark, texts, chunk_chars=chunk_chars)
+    assert got == own_ids(texts)
+    assert all(len(ids) == 1 for ids in got[: len(COMMON)])
+
+
+def test_most_words_are_the_pieces_of_the_model(spark, sf):
+    words = sorted({w for r in spark.read.parquet(f"{sf}/documents.parquet").collect() for w in r["text"].split()})
+    got, want = ids_of(spark, words), own_ids(words)
+    assert sum(a == b for a, b in zip(got, want)) > 0.6 * len(words)
+    # Neither split up nor run together: the number of pieces is the model's within 3 %.
+    assert sum(map(len, got)) == pytest.approx(sum(map(len, want)), rel=0.03)
