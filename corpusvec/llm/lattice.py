@@ -46,9 +46,9 @@ SMOOTHING = 0.1
 OPEN_WORDS = 200_000
 TASK_WORDS = 50_000
 
-# Takes the place of a literal mark inside a word, which is no blank.  It is no
-# character, and no piece has it.
-HIDDEN_MARK = "\uffff"
+# Takes the place of a literal mark inside a word, which is no blank.  Half of a
+# surrogate pair is in no UTF-8 text, and no piece has it.
+HIDDEN_MARK = "\ud800"
 
 _LN10 = math.log(10)
 

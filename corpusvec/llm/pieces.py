@@ -55,8 +55,8 @@ CACHE, CACHE_CHARS = 300_000, 64
 
 _NONE = -np.inf
 # Takes the place of a literal mark in a text, which is no blank; no piece has it.
-# It is no character; a text that has it all the same gets a literal mark back.
-HIDDEN_MARK = "\uffff"
+# Half of a surrogate pair is in no UTF-8 text, so no text is changed by it.
+HIDDEN_MARK = "\ud800"
 
 
 def marked(text: str) -> str:

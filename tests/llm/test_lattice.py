@@ -53,6 +53,17 @@ def test_word_against_all_segmentations(vocabulary, word):
     assert np.allclose(expected, want)
 
 
+def test_no_character_stands_for_a_literal_mark(vocabulary):
+    # Bytes of unlike weights, so that the two characters cannot have one score.
+    logs = lattice.starting_weights(vocabulary)
+    logs[list(vocabulary.byte_ids)] -= np.arange(256) / 100
+    model = lattice.Lattice(vocabulary, logs)
+    for word in ("\uffff", f"x\uffff{MARK}y"):
+        ways = every_segmentation(model, word)
+        assert model.log_probability(word) == pytest.approx(math.log(sum(math.exp(p) for p, _ in ways)), rel=1e-12)
+    assert model.log_probability("\uffff") != model.log_probability(MARK)
+
+
 def test_long_word_keeps_its_probability(vocabulary):
     model = lattice.Lattice(vocabulary, lattice.starting_weights(vocabulary))
     assert -math.inf < model.log_probability("abcde" * 20_000) < -100_000

@@ -128,3 +128,11 @@ def test_most_words_are_the_pieces_of_the_model(spark, sf):
     assert sum(a == b for a, b in zip(got, want)) > 0.6 * len(words)
     # Neither split up nor run together: the number of pieces is the model's within 3 %.
     assert sum(map(len, got)) == pytest.approx(sum(map(len, want)), rel=0.03)
+
+
+@pytest.mark.parametrize("chunk_chars", [1 << 16, 7])
+def test_no_character_stands_for_a_literal_mark(spark, vocabulary, chunk_chars):
+    texts = ["\uffff", f"a\uffff b {MARK}\uffff{MARK} c", f"{MARK}", "\ufffe\uffff" * 9, "\U0010ffff"]
+    df = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], SCHEMA)
+    encoded = pieces.encode(df, chunk_chars=chunk_chars)
+    assert {r["doc_id"]: r["text"] for r in pieces.decoded_documents(encoded).collect()} == dict(enumerate(texts))
