@@ -19,6 +19,17 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SLICE_BYTES = 4 << 20
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores ahead as tell it from the columns."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

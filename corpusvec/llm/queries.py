@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusvec.llm import chat, language, lattice, lines, packing, pieces, quality, recipes, simhash, suffixes
+from corpusvec.llm import (
+    chat, codes, fingerprints, language, lattice, lines, middle, packing, pieces, quality, recipes,
+    simhash, suffixes,
+)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -56,6 +59,18 @@ def op10_suffixes(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf, "documents"))
 
 
+def op11_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return codes.compress(table(spark, sf, "embeddings"))
+
+
+def op12_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return middle.digests(middle.rearrange(table(spark, sf, "documents")))
+
+
+def op13_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.compare_edited(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_simhash": op2_simhash,
@@ -67,6 +82,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_chat": op9_chat,
     "op10_suffixes": op10_suffixes,
+    "op11_codes": op11_codes,
+    "op12_middle": op12_middle,
+    "op13_fingerprints": op13_fingerprints,
 }
 
 ORACLES: dict[str, str] = {
@@ -75,4 +93,6 @@ ORACLES: dict[str, str] = {
     "op5_quality": quality.sql(),
     "op6_recipes": recipes.SQL,
     "op9_chat": chat.SQL,
+    "op11_codes": codes.sql(),
+    "op12_middle": middle.sql(),
 }
