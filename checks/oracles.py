@@ -181,14 +181,13 @@ def text_search(numbered: str, where: str = "true") -> str:
 TEXT_VECTORS = text_vectors(NUMBERED)
 TEXT_SEARCH = text_search(NUMBERED)
 
-EXEMPLARS = """
-    exemplars AS (
-        SELECT label::BIGINT AS query_id, arg_min(embedding, vec_id)::DOUBLE[] AS q
-        FROM embeddings GROUP BY label)"""
-SCORED = f"""{EXEMPLARS},
+TWENTIETH = """
+    queries AS (
+        SELECT vec_id AS query_id, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 20 = 0)"""
+SCORED = f"""{TWENTIETH},
     scored AS (
         SELECT query_id, vec_id, label, round(list_inner_product(q, embedding::DOUBLE[]), 9) AS score
-        FROM exemplars CROSS JOIN embeddings)"""
+        FROM queries CROSS JOIN embeddings)"""
 
 
 def best(k: int, where: str = "true", group: str = "query_id") -> str:
@@ -200,6 +199,9 @@ def best(k: int, where: str = "true", group: str = "query_id") -> str:
         WHERE rank <= {k})"""
 
 
+WEIGHTED = "list_sum(list_transform(v, lambda x, i: x * i))"
+ENGLISH_SRC3 = "source = 'src3' AND (SELECT lang FROM documents d WHERE d.doc_id = numbered.doc_id) = 'en'"
+
 SCALED = "list_transform(embedding, lambda x: x::DOUBLE * (label + 1))"
 
 
@@ -330,13 +332,13 @@ ORACLES = {
                          sqrt(list_inner_product({SCALED}, {SCALED})) AS n FROM embeddings)""",
     ),
     "inner_product": f"""
-        WITH {EXEMPLARS}
+        WITH {TWENTIETH}
         SELECT vec_id, round(list_inner_product({SCALED}, q), 6) + 0.0 AS score
-        FROM embeddings JOIN exemplars ON label = query_id""",
+        FROM embeddings JOIN queries ON vec_id - vec_id % 20 = query_id""",
     "cosine_similarity": f"""
-        WITH {EXEMPLARS}
+        WITH {TWENTIETH}
         SELECT vec_id, round(list_cosine_similarity({SCALED}, q), 6) + 0.0 AS score
-        FROM embeddings JOIN exemplars ON label = query_id""",
+        FROM embeddings JOIN queries ON vec_id - vec_id % 20 = query_id""",
     "vector_validation": f"""
         SELECT *, null_vectors = 0 AND wrong_norms = 0 AND min_dim = {DIM} AND max_dim = {DIM} AS valid
         FROM (SELECT count(*) AS vectors, count(*) - count(embedding) AS null_vectors,
@@ -378,8 +380,9 @@ ORACLES = {
         FROM hits LEFT JOIN documents ON vec_id = doc_id""",
     "score_pairs": f"""
         WITH {SCORED}
-        SELECT query_id, vec_id, round(score, 6) + 0.0 AS score FROM scored
-        WHERE query_id IN (label, (label + 1) % 10)""",
+        SELECT p.query_id, p.vec_id, round(score, 6) + 0.0 AS score
+        FROM (SELECT vec_id, vec_id - vec_id % 20 + unnest([0, 20]) AS query_id FROM embeddings) p
+        LEFT JOIN scored s ON s.query_id = p.query_id AND s.vec_id = p.vec_id""",
     # search
     "topk_single": """
         SELECT vec_id, round(score, 6) + 0.0 AS score, rank FROM (
@@ -397,7 +400,7 @@ ORACLES = {
                replace(left(text, 100), chr(10), ' ') AS preview, source, file_index, row, chunk
         FROM ranked JOIN numbered USING (vec_id) WHERE rank <= 3""",
     "topk_filtered": f"""
-        WITH RECURSIVE {text_search(numbered_ctes(ARTICLES), "source = 'src3'")}
+        WITH RECURSIVE {text_search(numbered_ctes(ARTICLES), ENGLISH_SRC3)}
         SELECT query_id, vec_id, round(score, 6) + 0.0 AS score, rank FROM ranked WHERE rank <= 10""",
     "score_bands": f"""
         WITH {SCORED}, {best(10)}
@@ -462,9 +465,15 @@ ORACLES = {
         SELECT *, mid_word_breaks < 0.02 AND self_contained > 0.95 AS passed FROM (
             SELECT count(*) AS chunks, round(avg((NOT clean)::INT), 6) AS mid_word_breaks,
                    round(avg((clean AND long_enough)::INT), 6) AS self_contained
-            FROM (SELECT contains(' ' || {squeeze('document')} || ' ', ' ' || {squeeze('text')} || ' ') AS clean,
+            FROM (SELECT (start = 0 OR substr(whole, start, 1) = ' ')
+                         AND (start + length(text) = length(whole) OR substr(whole, start + length(text) + 1, 1) = ' ')
+                             AS clean,
                          length({squeeze('text')}) >= 20 AS long_enough
-                  FROM chunks JOIN src USING (doc_id)))""",
+                  FROM (SELECT text, CASE WHEN length(document) > 1500 THEN {squeeze('document')} ELSE document END AS whole,
+                               coalesce(sum(length(text) + 1) OVER (
+                                   PARTITION BY doc_id ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+                               ), 0)::BIGINT AS start
+                        FROM chunks JOIN src USING (doc_id))))""",
     # ordinals and merging
     "assign_vec_ids": f"WITH RECURSIVE {NUMBERED} SELECT vec_id, doc_id, chunk FROM numbered",
     "sample_limit": f"""
@@ -474,9 +483,20 @@ ORACLES = {
         WITH RECURSIVE {TEXT_VECTORS}
         SELECT row_number() OVER (ORDER BY file_index // 15, file_index, row, chunk) - 1 AS vec_id,
                (file_index // 15 + (file_index >= 30)::INT)::INT AS split_id, doc_id, chunk,
-               round(v[8], 6) AS component, true AS split_merge, 5::BIGINT AS num_splits,
+               round({WEIGHTED}, 5) AS weighted, true AS split_merge, 5::BIGINT AS num_splits,
                count(*) OVER () AS total_vectors
         FROM numbered JOIN index_vectors USING (vec_id)""",
+    "mini_index": f"""
+        WITH RECURSIVE {OVERLAP},
+        numbered AS (SELECT row_number() OVER () AS vec_id, * FROM chunks WHERE text <> ''),
+        {hashed('index_vectors', "SELECT vec_id, 'passage: ' || text AS input FROM numbered", 'vec_id')}
+        SELECT text, chunk AS chunk_index, count(*) OVER (PARTITION BY doc_id) AS chunk_count,
+               length(text) AS char_count, len(string_split(text, ' ')) AS word_count, true AS named,
+               round({WEIGHTED}, 5) AS weighted, 'VERIFIED' AS status, count(*) OVER () AS vector_count,
+               {DIM} AS dimensions, (SELECT count(DISTINCT doc_id) FROM numbered) AS documents,
+               round((SELECT avg((length(text) >= 20)::INT) FROM numbered), 6) AS self_contained,
+               0.0 AS mid_word_breaks
+        FROM numbered JOIN index_vectors USING (vec_id)""",
     "multi_corpus_union": f"""
         WITH RECURSIVE {CORPORA}
         SELECT index_id, row_number() OVER (PARTITION BY index_id ORDER BY file_index, row, chunk) - 1 AS vec_id,

@@ -183,14 +183,10 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").withColumnRenamed("embedding", "vector")
 
 
-def exemplars(spark: SparkSession, sf: str) -> DataFrame:
-    """One query per label: its first vector."""
-    return (
-        vectors(spark, sf)
-        .groupBy("label")
-        .agg(F.min_by("vector", "vec_id").alias("vector"))
-        .select(F.col("label").cast("long").alias("query_id"), "vector")
-    )
+def twentieth(spark: SparkSession, sf: str) -> DataFrame:
+    """The queries of the searches: every vector whose id is divisible by 20."""
+    index = vectors(spark, sf).filter(F.col("vec_id") % 20 == 0)
+    return index.select(F.col("vec_id").alias("query_id"), "vector")
 
 
 def scaled(spark: SparkSession, sf: str) -> DataFrame:
@@ -326,21 +322,21 @@ def _lines_in_order(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_chunks(spark, sf):
-    path = scratch_path(spark, "chunks")
-    artifacts.write_chunks(numbered_chunks(spark, sf), path)
-    return _lines_in_order(spark, path).select(
+    path = scratch_path(spark, "artifacts")
+    artifacts.write_lines(numbered_chunks(spark, sf), path)
+    return _lines_in_order(spark, f"{path}/chunks").select(
         "position", F.variant_get("v", "$.text", "string").alias("text")
     )
 
 
 def write_metadata(spark, sf):
-    path = scratch_path(spark, "metadata")
-    artifacts.write_metadata(numbered_chunks(spark, sf), path)
+    path = scratch_path(spark, "artifacts")
+    artifacts.write_lines(numbered_chunks(spark, sf), path)
 
     def get(name: str, kind: str) -> Column:
         return F.variant_get("v", f"$.{name}", kind).alias(name)
 
-    return _lines_in_order(spark, path).select(
+    return _lines_in_order(spark, f"{path}/metadata").select(
         "position",
         get("source", "string"),
         get("file_index", "int"),
@@ -356,11 +352,7 @@ def write_vector_shards(spark, sf):
     placed = spark.read.parquet(path).select(
         F.col("shard_id").cast("int").alias("shard_id"),
         "vec_id",
-        F.aggregate(
-            F.transform(V.to_double(F.col("vector")), lambda x, i: x * (i + 1)),
-            F.lit(0.0),
-            lambda total, x: total + x,
-        ).alias("weighted"),
+        weighted("vector").alias("weighted"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("at"),
     )
@@ -510,21 +502,20 @@ def l2_normalize(spark, sf):
 
 
 def _paired(left: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
-    queries = exemplars(spark, sf).select(
-        F.col("query_id").alias("label"), F.col("vector").alias("exemplar")
-    )
-    return left.join(queries, "label")
+    """Every vector beside the query with the largest id up to its own."""
+    queries = twentieth(spark, sf).withColumnRenamed("vector", "query")
+    return left.withColumn("query_id", F.col("vec_id") - F.col("vec_id") % 20).join(queries, "query_id")
 
 
 def inner_product(spark, sf):
     paired = _paired(scaled(spark, sf), spark, sf)
-    score = V.inner_product(F.col("vector"), F.col("exemplar"))
+    score = V.inner_product(F.col("vector"), F.col("query"))
     return rounded(paired.select("vec_id", score.alias("score")))
 
 
 def cosine_similarity(spark, sf):
     paired = _paired(scaled(spark, sf), spark, sf)
-    score = V.cosine(F.col("vector"), F.col("exemplar"))
+    score = V.cosine(F.col("vector"), F.col("query"))
     return rounded(paired.select("vec_id", score.alias("score")))
 
 
@@ -580,17 +571,17 @@ def alignment_audit(spark, sf):
 
 
 def result_lookup(spark, sf):
-    hits = search.topk_batch(vectors(spark, sf), exemplars(spark, sf), 10)
+    hits = search.topk_batch(vectors(spark, sf), twentieth(spark, sf), 10)
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "lang", "n_chars")
     return rounded(search.result_lookup(hits, docs))
 
 
 def score_pairs(spark, sf):
-    """Every vector with its own label's query and the next label's."""
+    """Every vector with the queries before and behind it; the last has none behind."""
     index = vectors(spark, sf)
-    label = F.col("label").cast("long")
-    pairs = index.select("vec_id", F.explode(F.array(label, (label + 1) % 10)).alias("query_id"))
-    return rounded(search.score_pairs(pairs, exemplars(spark, sf), index))
+    before = F.col("vec_id") - F.col("vec_id") % 20
+    pairs = index.select("vec_id", F.explode(F.array(before, before + 20)).alias("query_id"))
+    return rounded(search.score_pairs(pairs, twentieth(spark, sf), index))
 
 
 # Search --------------------------------------------------------------------
@@ -603,16 +594,13 @@ def topk_single(spark, sf):
 
 
 def topk_batch(spark, sf):
-    return rounded(search.topk_batch(vectors(spark, sf), exemplars(spark, sf), 10))
+    return rounded(search.topk_batch(vectors(spark, sf), twentieth(spark, sf), 10))
 
 
 def topk_with_sources(spark, sf):
-    hits = query.search_text(
-        stored(entries(spark, sf), "entries"),
-        table(spark, sf, "benchmark").withColumnRenamed("item_id", "query_id"),
-        EMBEDDER,
-        k=3,
-    )
+    """Every benchmark text asked of a published index of the documents."""
+    asked = table(spark, sf, "benchmark").withColumnRenamed("item_id", "query_id")
+    hits = query.search_index(published(spark, sf), asked, EMBEDDER, k=3)
     return rounded(hits).select(
         "query_id", "rank", "score", "vec_id", "preview", "source", "file_index", "row", "chunk"
     )
@@ -635,18 +623,19 @@ def topk_filtered(spark, sf):
         dataset="articles",
         model=MODEL,
         shard_size=SHARD,
+        labels=["categories"],
     )
-    chosen = F.array_contains("categories", "src3")
-    return rounded(search.topk_filtered(index.entries, text_queries(spark, sf), 10, chosen))
+    chosen = index_store.labelled(index, all_of=[("categories", "src3"), ("categories", "en")])
+    return rounded(search.topk_batch(chosen, text_queries(spark, sf), 10))
 
 
 def score_bands(spark, sf):
-    return search.score_bands(search.topk_batch(vectors(spark, sf), exemplars(spark, sf), 10))
+    return search.score_bands(search.topk_batch(vectors(spark, sf), twentieth(spark, sf), 10))
 
 
 def topk_per_index(spark, sf):
     index = vectors(spark, sf).withColumn("index_id", F.col("label").cast("string"))
-    return rounded(search.topk_per_index(index, exemplars(spark, sf), 5))
+    return rounded(search.topk_per_index(index, twentieth(spark, sf), 5))
 
 
 def topk_block(spark, sf):
@@ -725,8 +714,11 @@ def manifest_match(spark, sf):
 
 
 def chunk_quality(spark, sf):
-    docs = plain_documents(spark, sf)
-    rates = quality.chunk_quality(chunk.chunk_words(docs), docs)
+    document = F.col("document")
+    spanned = plain_documents(spark, sf).select(
+        chunk.chunked_text(document).alias("document"), chunk.word_spans(document).alias("spans")
+    )
+    rates = quality.chunk_quality(spanned)
     return rates.withColumn("mid_word_breaks", F.round("mid_word_breaks", 6)).withColumn(
         "self_contained", F.round("self_contained", 6)
     )
@@ -743,8 +735,8 @@ def sample_limit(spark, sf):
     return ordinals.sample_limit(numbered_chunks(spark, sf), 150).select("vec_id", "doc_id", "chunk")
 
 
-def merge_splits(spark, sf):
-    """Five stored split indexes and one that is not there, merged with their vectors."""
+def split_indexes(spark: SparkSession, sf: str) -> list[str]:
+    """Five stored split indexes and one that is not there."""
     root = scratch_path(spark, "splits")
     docs = stored(plain_documents(spark, sf), "documents")
     paths = []
@@ -753,20 +745,62 @@ def merge_splits(spark, sf):
         paths.append(f"{root}/split{i}")
         build.build_index(spark, part, paths[-1], EMBEDDER, f"split{i}", MODEL, shard_size=SHARD)
     paths.insert(2, f"{root}/absent")
-    merged = merge.merge_splits(spark, paths, f"{root}/merged", "merged")
+    return paths
+
+
+def weighted(vector: str) -> Column:
+    """A number that depends on every component and its place."""
+    return F.aggregate(
+        F.transform(V.to_double(F.col(vector)), lambda x, i: x * (i + 1)),
+        F.lit(0.0),
+        lambda total, x: total + x,
+    )
+
+
+def merge_splits(spark, sf):
+    """Split indexes merged without their vectors, and read as one."""
+    return read_merged(spark, split_indexes(spark, sf))
+
+
+def read_merged(spark: SparkSession, paths: list[str]) -> DataFrame:
+    merged = merge.merge_splits(spark, paths, scratch_path(spark, "merged"), "merged")
     summary = merged.summary.select("split_merge", "num_splits", "total_vectors").first()
     return merged.entries.select(
         "vec_id",
         "split_id",
         "doc_id",
         "chunk",
-        F.round(F.get(V.to_double(F.col("vector")), 7), 6).alias("component"),
+        F.round(weighted("vector"), 5).alias("weighted"),
         F.lit(summary["split_merge"]).alias("split_merge"),
         F.lit(summary["num_splits"]).cast("long").alias("num_splits"),
         F.lit(summary["total_vectors"]).alias("total_vectors"),
     )
 
 
+def mini_index(spark, sf):
+    """A directory with a text file for every document, indexed in overlapping chunks."""
+    source, path = scratch_path(spark, "texts"), scratch_path(spark, "mini")
+    texts = table(spark, sf, "documents").select("text")
+    # A file for every text; a carriage return would end a line.
+    lines = texts.select(F.regexp_replace("text", r"[\r\n]", " ").alias("value"))
+    lines.write.option("maxRecordsPerFile", 1).text(source)
+    index = build.index_texts(spark, source, path, EMBEDDER, "texts", MODEL, shard_size=SHARD)
+    summary = build.text_index_summary(index).first()
+    number = F.split("chunk_id", "__chunk_")[1]
+    return index.entries.select(
+        "text",
+        "chunk_index",
+        "chunk_count",
+        "char_count",
+        "word_count",
+        (number == T.padded(F.col("chunk_index"), 3)).alias("named"),
+        F.round(weighted("vector"), 5).alias("weighted"),
+        *(F.lit(summary[c]).alias(c) for c in ("status", "vector_count", "dimensions", "documents")),
+        F.lit(round(summary["quality"]["self_contained"], 6)).alias("self_contained"),
+        F.lit(round(summary["quality"]["mid_word_breaks"], 6)).alias("mid_word_breaks"),
+    )
+
+
 def multi_corpus_union(spark, sf):
     numbered = {name: ordinals.assign_vec_ids(c) for name, c in _corpora(spark, sf).items()}
     return merge.union_corpora(numbered).select("index_id", "vec_id", "text")
@@ -835,7 +869,7 @@ QUERIES = {
         estimate_chunks_by_length, estimate_chunks_by_rows, chunks_per_document,
         corpus_totals, ingest_counts, shard_accounting, estimate_vs_actual,
         integrity_gate, manifest_match, chunk_quality,
-        assign_vec_ids, sample_limit, merge_splits, multi_corpus_union,
+        assign_vec_ids, sample_limit, merge_splits, mini_index, multi_corpus_union,
         incremental_index, incremental_rejects, progress_log,
     )
 }

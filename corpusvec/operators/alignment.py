@@ -91,6 +91,17 @@ def require_passed(gate: DataFrame) -> dict:
     return row
 
 
+def require_counts(
+    n_vectors: int, n_chunks: int, n_metadata: int, n_expected: int | None = None
+) -> None:
+    """The same gate over counts that are known already; an error if they differ."""
+    counts = {"n_vectors": n_vectors, "n_chunks": n_chunks, "n_metadata": n_metadata}
+    if n_expected is not None:
+        counts["n_expected"] = n_expected
+    if len(set(counts.values())) != 1:
+        raise IntegrityError(f"integrity gate failed: {counts}")
+
+
 def manifest_match(
     summary: DataFrame, vectors: DataFrame, chunks: DataFrame, metadata: DataFrame
 ) -> DataFrame:

@@ -9,6 +9,8 @@ from corpusvec.functions import text as T
 
 # Sizes of chunks, of their overlap, and of what is too short.
 CHUNK_CHARS = 1500
+# Lengths that are summed up one after another.
+SUM_BLOCK = 256
 OVERLAP_CHARS = 200
 MIN_CHUNK_CHARS = 20
 
@@ -36,15 +38,97 @@ def word_chunks(document: Column, max_len: int = CHUNK_CHARS) -> Column:
     return F.when(document.isNotNull(), F.coalesce(whole, packed))
 
 
-def overlapping_chunks(
+def _sums_before(lengths: Column) -> Column:
+    """For each length, the sum of those before it; in blocks, so nearly linear."""
+    block = F.lit(SUM_BLOCK)
+    starts = F.sequence(F.lit(1), F.greatest(F.size(lengths), F.lit(1)), block)
+
+    def added(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0), lambda total, n: total + n)
+
+    def before(blocks: Column) -> Column:
+        return F.aggregate(
+            blocks,
+            F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("all")),
+            lambda t, values: F.struct(
+                (t["sum"] + added(values)).alias("sum"), F.array_append(t["all"], t["sum"]).alias("all")
+            ),
+            lambda t: t["all"],
+        )
+
+    def inside(values: Column, base: Column) -> Column:
+        return F.transform(values, lambda _, i: base + added(F.slice(values, 1, i)))
+
+    return T.bind(
+        F.transform(starts, lambda at: F.slice(lengths, at, block)),
+        lambda blocks: F.flatten(F.zip_with(blocks, before(blocks), inside)),
+    )
+
+
+_CHUNK_SPANS = "array<struct<start:int,end:int,text:string>>"
+
+
+def _spanned(texts: Column, starts: Column) -> Column:
+    return F.zip_with(
+        texts,
+        starts,
+        lambda text, start: F.struct(
+            start.alias("start"), (start + F.length(text)).alias("end"), text.alias("text")
+        ),
+    ).cast(_CHUNK_SPANS)
+
+
+def word_spans(document: Column, max_len: int = CHUNK_CHARS) -> Column:
+    """``word_chunks`` with where each begins and ends in ``chunked_text``."""
+    return T.bind(
+        word_chunks(document, max_len),
+        # One space lies between a chunk and the next.
+        lambda texts: _spanned(texts, _sums_before(F.transform(texts, lambda t: F.length(t) + 1))),
+    )
+
+
+def chunked_text(document: Column, max_len: int = CHUNK_CHARS) -> Column:
+    """What ``word_chunks`` are cut from: a document within the limit as it is, others squeezed."""
+    return F.when(F.length(document) <= max_len, document).otherwise(T.squeeze(document))
+
+
+def overlapping_spans(
     document: Column, max_len: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS
 ) -> Column:
-    """Array of single-spaced chunks, each opening with the end of the one before.
+    """Single-spaced chunks, each opening with the end of the one before, with where they
+    begin and end in the squeezed document.
 
     One pass over the words keeps where the current chunk starts and how long
     it is.  Only at a cut does it look back, and never past the words that
     could fit into the overlap, so the work stays linear in the document.
     """
+
+    def cut(tokens: Column) -> Column:
+        spans = _cut_with_overlap(tokens, max_len, overlap)
+        starts = _sums_before(F.transform(tokens, lambda t: F.length(t) + 1))
+        return T.bind(
+            starts,
+            lambda first: T.bind(
+                spans,
+                lambda s: _spanned(
+                    F.transform(s, lambda x: F.array_join(F.slice(tokens, x["start"] + 1, x["stop"] - x["start"]), " ")),
+                    F.transform(s, lambda x: F.get(first, x["start"])),
+                ),
+            ),
+        )
+
+    return T.bind(
+        T.squeeze(document),
+        lambda squeezed: F.when(
+            F.length(squeezed) <= max_len, _spanned(F.array(squeezed), F.array(F.lit(0)))
+        ).otherwise(T.bind(F.split(squeezed, " "), cut)),
+    )
+
+
+def overlapping_chunks(
+    document: Column, max_len: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS
+) -> Column:
+    """Array of single-spaced chunks, each opening with the end of the one before."""
     return T.bind(
         T.squeeze(document),
         lambda squeezed: F.when(
@@ -52,7 +136,10 @@ def overlapping_chunks(
         ).otherwise(
             T.bind(
                 F.split(squeezed, " "),
-                lambda tokens: _cut_with_overlap(tokens, max_len, overlap),
+                lambda tokens: F.transform(
+                    _cut_with_overlap(tokens, max_len, overlap),
+                    lambda s: F.array_join(F.slice(tokens, s["start"] + 1, s["stop"] - s["start"]), " "),
+                ),
             )
         ),
     )
@@ -112,18 +199,12 @@ def _cut_with_overlap(tokens: Column, max_len: int, overlap: int) -> Column:
         overfull = opened & (size + 1 + F.length(word) > max_len)
         return F.when(overfull, cut).otherwise(grown)
 
-    spans = F.aggregate(
+    return F.aggregate(
         tokens,
         state(F.lit(0), F.lit(0), F.lit(0), F.array().cast(_SPANS)),
         step,
         lambda acc: F.array_append(acc["cuts"], _span(acc["start"], acc["i"])),
     )
-    return F.transform(
-        spans,
-        lambda s: F.array_join(
-            F.slice(tokens, s["start"] + 1, s["stop"] - s["start"]), " "
-        ),
-    )
 
 
 def _explode_chunks(df: DataFrame, document: str, chunks: Column) -> DataFrame:
@@ -159,20 +240,23 @@ def chunk_stats(
     document: str = "document",
     max_len: int = CHUNK_CHARS,
     overlap: int = OVERLAP_CHARS,
+    spans: str | None = None,
 ) -> DataFrame:
     """Overlapping chunks with their id, position and size.
 
     The per-document count is the size of the chunk array, attached to every
-    chunk before the explode, so it needs no shuffle.
+    chunk before the explode, so it needs no shuffle.  ``spans`` is a column that has
+    the chunks already.
     """
+    found = overlapping_spans(F.col(document), max_len, overlap) if spans is None else F.col(spans)
     sized = T.bind(
-        overlapping_chunks(F.col(document), max_len, overlap),
+        found,
         lambda chunks: F.transform(
             chunks,
-            lambda text, i: F.struct(
+            lambda c, i: F.struct(
                 i.alias("chunk_index"),
                 F.size(chunks).alias("chunk_count"),
-                text.alias("text"),
+                c["text"].alias("text"),
             ),
         ),
     )

@@ -202,18 +202,7 @@ def validate_vectors(df: DataFrame, dim: int, vector: str = "vector", eps: float
     measured = df.select(
         F.size(vector).alias("dim"), V.l2_norm(F.col(vector)).alias("norm")
     )
-    # NaN is larger than any number here, so it fails the comparison.
-    unit = F.abs(F.col("norm") - 1) <= eps
-    stats = measured.agg(
-        F.count(F.lit(1)).alias("vectors"),
-        F.count_if(F.col("norm").isNull()).alias("null_vectors"),
-        F.count_if(F.col("norm") == 0).alias("zero_vectors"),
-        F.count_if(~unit & (F.col("norm") != 0)).alias("wrong_norms"),
-        F.min("dim").alias("min_dim"),
-        F.max("dim").alias("max_dim"),
-        F.min("norm").alias("min_norm"),
-        F.max("norm").alias("max_norm"),
-    )
+    stats = measured.agg(*vector_figures(F.col("dim"), F.col("norm"), eps))
     ok = (
         (F.col("null_vectors") == 0)
         & (F.col("wrong_norms") == 0)
@@ -221,3 +210,19 @@ def validate_vectors(df: DataFrame, dim: int, vector: str = "vector", eps: float
         & (F.col("max_dim") == dim)
     )
     return stats.withColumn("valid", F.coalesce(ok, F.lit(False)))
+
+
+def vector_figures(dim: Column, norm: Column, eps: float = 1e-3) -> list[Column]:
+    """What ``validate_vectors`` sums up, from the dimension and the norm of each vector."""
+    # NaN is larger than any number here, so it fails the comparison.
+    unit = F.abs(norm - 1) <= eps
+    return [
+        F.count(F.lit(1)).alias("vectors"),
+        F.count_if(norm.isNull()).alias("null_vectors"),
+        F.count_if(norm == 0).alias("zero_vectors"),
+        F.count_if(~unit & (norm != 0)).alias("wrong_norms"),
+        F.min(dim).alias("min_dim"),
+        F.max(dim).alias("max_dim"),
+        F.min(norm).alias("min_norm"),
+        F.max(norm).alias("max_norm"),
+    ]

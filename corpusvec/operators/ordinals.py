@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
+
+from corpusvec.session import settle
 
-# Source rows per block.  Ranking happens inside a block, so this bounds what
-# one task has to order; about one vector shard's worth of chunks.
-BLOCK_ROWS = 65_536
 # Fixed value: vectors in a shard.
 SHARD_VECTORS = 200_000
 # Vectors per part file; keeps a file of 1024-dimensional entries well below
@@ -30,53 +30,94 @@ def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
     return df.repartition(n, *keys)
 
 
+KEYS = ("file_index", "row", "chunk")
+
+
+def _can_hash(kind: ST.DataType) -> bool:
+    if isinstance(kind, ST.ArrayType):
+        return _can_hash(kind.elementType)
+    if isinstance(kind, ST.StructType):
+        return all(_can_hash(f.dataType) for f in kind)
+    return not isinstance(kind, (ST.MapType, ST.VariantType))
+
+
+def _places(keys: tuple[str, ...]) -> list[str]:
+    """The columns that say where a source row stands, all but the last key; never NULL."""
+    return [name for i in range(len(keys) - 1) for name in (f"_known{i}", f"_key{i}")] + ["_extra"]
+
+
+def _placed(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``df`` with its places.
+
+    A NULL key comes before all others.  Rows that lack a key are told apart, and spread, by
+    a hash of what they hold.
+    """
+    contents = F.xxhash64(*(f.name for f in df.schema if _can_hash(f.dataType)))
+    placed, lacking = df, F.lit(False)
+    for i, key in enumerate(keys[:-1]):
+        kind = df.schema[key].dataType
+        least = F.lit("") if isinstance(kind, ST.StringType) else F.lit(0).cast(kind)
+        placed = placed.withColumns(
+            {f"_known{i}": F.col(key).isNotNull(), f"_key{i}": F.coalesce(F.col(key), least)}
+        )
+        lacking = lacking | F.col(key).isNull()
+    return placed.withColumn("_extra", F.when(lacking, contents).otherwise(F.lit(0).cast("long")))
+
+
+def row_sizes(df: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """How many rows of ``df`` each source row has, as its place and ``_n``; stored."""
+    places = _places(keys)
+    return settle(_placed(df, keys).groupBy(*places).agg(F.count(F.lit(1)).alias("_n")), "row-sizes")
+
+
 def running_offsets(sizes: DataFrame) -> DataFrame:
-    """Rows before each block, from ``_file, _block, _n``, in that order.
+    """Rows before each source row, from ``row_sizes``: its place and ``_offset``.
 
-    The global part works on one row per file; the rest is per file.
+    Places are dealt into ranges of even numbers of them.  Sums run inside each range and
+    over the ranges, of which there are as many as shuffle partitions.
     """
+    places = [c for c in sizes.columns if c != "_n"]
+    n = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = settle(
+        sizes.repartitionByRange(n, *places).withColumn("_range", F.spark_partition_id()), "row-ranges"
+    )
     before = Window.unboundedPreceding
-    inner = Window.partitionBy("_file").orderBy("_block").rowsBetween(before, -1)
-    outer = Window.orderBy("_file").rowsBetween(before, -1)
+    outer = Window.orderBy("_range").rowsBetween(before, -1)
+    inner = Window.partitionBy("_range").orderBy(*places).rowsBetween(before, -1)
     totals = (
-        sizes.groupBy("_file")
+        ranged.groupBy("_range")
         .agg(F.sum("_n").alias("_total"))
-        .select("_file", F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_outer"))
+        .select("_range", F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_before"))
     )
-    return sizes.join(totals, "_file").select(
-        "_file",
-        "_block",
-        (F.coalesce(F.sum("_n").over(inner), F.lit(0)) + F.col("_outer")).alias("_offset"),
+    return ranged.join(F.broadcast(totals), "_range").select(
+        *places, (F.coalesce(F.sum("_n").over(inner), F.lit(0)) + F.col("_before")).alias("_offset")
     )
 
 
 def assign_vec_ids(
     df: DataFrame,
-    keys: tuple[str, str, str] = ("file_index", "row", "chunk"),
+    keys: tuple[str, ...] = KEYS,
     out: str = "vec_id",
-    block_rows: int = BLOCK_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Number the rows from 0 in (file, row, chunk) order, without gaps.
+    """Number the rows from 0 in the order of the keys, (file, row, chunk), without gaps.
 
-    Rows are ranked inside blocks of consecutive source rows; block sizes,
-    summed up in a table of one row per block, give each block its offset.  The
-    data itself is shuffled once, by block, and no file is too large for it.
+    Every source row gets the number of rows before it, from sums over a table
+    with one small row each; its own rows are ranked among themselves.  The data
+    itself is shuffled once, by source row, so neither a large file nor a file of long
+    rows is the work of one task.  ``sizes`` is ``row_sizes`` of the same rows, if known.
     """
-    file, row, chunk = keys
-    # Keys that cannot be NULL keep rows without provenance, and add no filter
-    # to one of the two passes, so that Spark can share what they have in common.
-    blocked = df.withColumn("_file", F.coalesce(F.col(file), F.lit(-1))).withColumn(
-        "_block", F.coalesce(whole_parts(F.col(row), block_rows), F.lit(-1))
-    )
-    sizes = blocked.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
-    rank = Window.partitionBy("_file", "_block").orderBy(row, chunk)
+    places = _places(keys)
+    if sizes is None:
+        sizes = row_sizes(df, keys)
+    rank = Window.partitionBy(*places).orderBy(keys[-1])
     # The hint keeps the data where it is and makes the offsets the table that
     # is looked up, one partition at a time.
     offsets = running_offsets(sizes).hint("shuffle_hash")
     return (
-        spread(blocked, "_file", "_block")
+        spread(_placed(df, keys), *places)
         .withColumn("_rank", F.row_number().over(rank))
-        .join(offsets, ["_file", "_block"])
+        .join(offsets, places)
         .withColumn(out, F.col("_offset") + F.col("_rank") - 1)
         .select(out, *df.columns)
     )

@@ -129,29 +129,57 @@ def shard_accounting(entries: DataFrame, shard_size: int = SHARD_VECTORS) -> Dat
 # Chunk quality -------------------------------------------------------------
 
 
-def chunk_quality(chunks: DataFrame, documents: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rates of cut words and of self-contained chunks, and whether they pass.
+def _clean_edges(text: Column, span: Column) -> Column:
+    """Whether whitespace, or an end of the text, lies at either end of a span."""
+
+    def blank(at: Column) -> Column:
+        # Of the character at that position; outside the text there is none.
+        return T.strip(F.substr(text, at, F.lit(1))) == ""
+
+    left = (span["start"] <= 0) | blank(span["start"]) | blank(span["start"] + 1)
+    right = (span["end"] >= F.length(text)) | blank(span["end"] + 1) | blank(span["end"])
+    return (span["start"] < span["end"]) & left & right
 
-    Our definition: an edge of a chunk is clean if the chunk occurs in its
-    document with whitespace (or an end of the document) on that side.  A
-    mid-word break is a chunk with an edge that is not clean; a self-contained
-    chunk has two clean edges, is long enough, and is valid UTF-8.
-    """
-    def padded(text: str) -> Column:
-        return F.concat(F.lit(" "), T.squeeze(F.col(text)), F.lit(" "))
 
-    # Both sides are prepared before the join, each document once.
-    sources = documents.select(key, padded("document").alias("_document"))
-    pieces = chunks.select(
-        key, padded("text").alias("_piece"), F.is_valid_utf8("text").alias("valid")
+def judged_spans(text: Column, spans: Column) -> Column:
+    """``clean, long_enough, valid`` of every span of a text; NULL text has no clean edge.
+
+    Spans that cover a text from word to word are what a chunker should give; one comparison
+    of them all with the text tells.  Only where it fails is each looked at by itself.
+    """
+    # What a span adds behind the end of the one before, and all of them, a space between each.
+    added = F.transform(
+        spans,
+        lambda s, i: F.substr(
+            s["text"],
+            F.greatest(F.coalesce(F.get(spans, i - 1)["end"], F.lit(-1)) + 2 - s["start"], F.lit(1)),
+        ),
     )
-    # A chunk whose document is not there has no clean edge.
-    edges = pieces.join(sources, key, "left").select(
-        F.coalesce(F.contains("_document", "_piece"), F.lit(False)).alias("clean"),
-        (F.length("_piece") - 2 >= MIN_CHUNK_CHARS).alias("long_enough"),
-        "valid",
+    whole = F.coalesce(F.array_join(added, " ") == text, F.lit(False)) & F.forall(
+        spans, lambda s: s["end"] - s["start"] == F.length(s["text"])
     )
-    rates = edges.agg(
+
+    def judge(s: Column, all_clean: Column) -> Column:
+        clean = F.when(all_clean, F.lit(True)).otherwise(F.coalesce(_clean_edges(text, s), F.lit(False)))
+        return F.struct(
+            clean.alias("clean"),
+            (F.length(T.squeeze(s["text"])) >= MIN_CHUNK_CHARS).alias("long_enough"),
+            F.is_valid_utf8(s["text"]).alias("valid"),
+        )
+
+    return T.bind(whole, lambda all_clean: F.transform(spans, lambda s: judge(s, all_clean)))
+
+
+def chunk_quality(documents: DataFrame, text: str = "document", spans: str = "spans") -> DataFrame:
+    """Rates of cut words and of self-contained chunks, and whether they pass.
+
+    ``spans`` has where the chunks of ``text`` begin and end, so each is judged in the row of
+    its own document.  Our definition: an edge of a chunk is clean if whitespace or an end of
+    the text lies there.  A mid-word break is a chunk with an edge that is not clean; a
+    self-contained chunk has two clean edges, is long enough, and is valid UTF-8.
+    """
+    judged = documents.select(F.inline(judged_spans(F.col(text), F.col(spans))))
+    rates = judged.agg(
         F.count(F.lit(1)).alias("chunks"),
         F.avg((~F.col("clean")).cast("int")).alias("mid_word_breaks"),
         F.avg(

@@ -1,8 +1,9 @@
 """Exact inner-product search over a table of vectors.
 
 Scoring runs as blocked matrix products inside Arrow batches.  Vectors never
-move: a block of queries goes to the tasks that scan the index, and a larger query
-set is several blocks, one scan each.  Each task keeps its own best k per query,
+move: queries go to the tasks that scan the index, in blocks that lie on the disk of
+each executor and are read one after another, so that a query set of any size is one
+scan.  Each task keeps its own best k per query,
 so what leaves a task is bounded by k times the queries, never by the vectors it
 read.  Ranking is by descending score and then ascending vector id.  NULL, ragged
 and non-finite vectors have no rank and are an error.
@@ -15,13 +16,14 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusvec.functions import text as T
 from corpusvec.functions import vectors as V
 from corpusvec.operators.ordinals import shard_of
-from corpusvec.session import MAX_BROADCAST_ROWS, settle
+from corpusvec.session import broadcast_if_small, settle
 
 DEFAULT_K = 10
 
@@ -92,19 +94,19 @@ class _TopK:
     is dropped by one comparison.
     """
 
-    def __init__(self, k: int, queries: np.ndarray):
+    def __init__(self, k: int, queries: int):
         self.k, self.queries = k, queries
-        self.bar = np.full(len(queries), -np.inf)
+        self.bar = np.full(queries, -np.inf)
         self.query = np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.int64)
         self.score = np.zeros(0)
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        if len(ids) and vectors.shape[1] != self.queries.shape[1]:
+    def add(self, ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray) -> None:
+        if len(ids) and vectors.shape[1] != queries.shape[1]:
             raise ValueError("queries and vectors differ in dimension")
-        step = max(1, _SCORE_CELLS // max(1, len(self.queries)))
+        step = max(1, _SCORE_CELLS // max(1, self.queries))
         for at in range(0, len(ids), step):
-            self._merge(ids[at : at + step], self.queries @ vectors[at : at + step].T)
+            self._merge(ids[at : at + step], queries @ vectors[at : at + step].T)
 
     def _merge(self, ids: np.ndarray, scores: np.ndarray) -> None:
         bar, n = self.bar, len(ids)
@@ -119,7 +121,7 @@ class _TopK:
         all_scores = np.concatenate([self.score, _rounded(scores[query, column])])
         kept = _best(all_query, all_ids, all_scores, self.k)
         self.query, self.ids, self.score = all_query[kept], all_ids[kept], all_scores[kept]
-        hits = np.bincount(self.query, minlength=len(self.queries))
+        hits = np.bincount(self.query, minlength=self.queries)
         last = np.cumsum(hits) - 1
         full = hits == self.k
         self.bar[full] = self.score[last[full]]
@@ -166,6 +168,19 @@ def _query_blocks(queries: DataFrame, block_bytes: int) -> Iterator[pa.Table]:
         yield kept.filter(block == i).toArrow()
 
 
+def _sent(spark: SparkSession, block: pa.Table) -> Broadcast:
+    """Ids and matrix of a block, on their way to the executors' disks."""
+    return spark.sparkContext.broadcast((_one_array(block["query_id"]), _matrix(block["vector"])))
+
+
+def _received(block: Broadcast, keep: bool) -> tuple[pa.Array, np.ndarray]:
+    """What was sent, read from the executor's disk; it is not held unless it is all there is."""
+    value = block.value
+    if not keep:
+        block.__dict__.pop("_value", None)
+    return value
+
+
 def _one_array(column: pa.ChunkedArray) -> pa.Array:
     merged = column.combine_chunks()
     return pa.concat_arrays(merged.chunks) if isinstance(merged, pa.ChunkedArray) else merged
@@ -179,38 +194,47 @@ def _check_k(k: int) -> None:
 # Local search --------------------------------------------------------------
 
 
-def _local_hits(index: DataFrame, queries: pa.Table, query_type: str, k: int) -> DataFrame:
-    """Best k per query (and index, if there is an index_id) of every task."""
+def _local_hits(index: DataFrame, blocks: Sequence[Broadcast], query_type: str, k: int) -> DataFrame:
+    """Best k per query (and index, if there is an index_id) of every task.
+
+    A batch of vectors meets the blocks of queries one after another.
+    """
     _check_k(k)
     with_index = "index_id" in index.columns
-    query_ids = _one_array(queries["query_id"])
-    query_matrix = _matrix(queries["vector"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_states: dict[str | None, _TopK] = {}
+        # By block and index: the ids of the block's queries, and their best hits.
+        open_states: dict[tuple[int, str | None], tuple[pa.Array, _TopK]] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for index_id, best in open_states.items():
+            for (_, index_id), (query_ids, best) in open_states.items():
                 if len(best.ids):
                     yield _hits_batch(query_ids, best, index_id)
             open_states.clear()
 
+        def add(number: int, block: Broadcast, parts: list[tuple[str | None, np.ndarray, np.ndarray]]) -> None:
+            query_ids, matrix = _received(block, keep=len(blocks) == 1)
+            for index_id, ids, vectors in parts if len(query_ids) else ():
+                state = open_states.setdefault((number, index_id), (query_ids, _TopK(k, len(query_ids))))
+                state[1].add(ids, vectors, matrix)
+
         for batch in batches:
-            if batch.num_rows == 0 or len(query_ids) == 0:
+            if batch.num_rows == 0:
                 continue
             ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
             vectors = _matrix(batch.column("vector"))
-            if not with_index:
-                open_states.setdefault(None, _TopK(k, query_matrix)).add(ids, vectors)
-                continue
-            coded = batch.column("index_id").dictionary_encode()
-            codes = coded.indices.to_numpy(zero_copy_only=False)
-            for code, index_id in enumerate(coded.dictionary.to_pylist()):
-                mine = codes == code
-                best = open_states.setdefault(index_id, _TopK(k, query_matrix))
-                best.add(ids[mine], vectors[mine])
-            if sum(len(best.ids) for best in open_states.values()) * _HIT_BYTES > _OPEN_BYTES:
-                yield from flush()
+            parts = [(None, ids, vectors)]
+            if with_index:
+                coded = batch.column("index_id").dictionary_encode()
+                codes = coded.indices.to_numpy(zero_copy_only=False)
+                parts = [
+                    (index_id, ids[codes == code], vectors[codes == code])
+                    for code, index_id in enumerate(coded.dictionary.to_pylist())
+                ]
+            for number, block in enumerate(blocks):
+                add(number, block, parts)
+                if sum(len(best.ids) for _, best in open_states.values()) * _HIT_BYTES > _OPEN_BYTES:
+                    yield from flush()
         yield from flush()
 
     columns = ["vec_id", "vector"] + (["index_id"] if with_index else [])
@@ -220,22 +244,12 @@ def _local_hits(index: DataFrame, queries: pa.Table, query_type: str, k: int) ->
 def _hits(index: DataFrame, queries: DataFrame, k: int, block_bytes: int) -> DataFrame:
     """Best k per query (and index) of every task, for query sets of any size.
 
-    Every block of queries is one scan of the index.  Blocks after the first are
-    searched only when the hits of the one before are stored, so one block at a
-    time takes up the driver.
+    All blocks of queries are met in one scan of the index.  One block at a time takes up
+    the driver's memory, and a task's.
     """
     _check_k(k)
-    query_type = _query_type(queries)
-    found: DataFrame | None = None
-    stored = False
-    for block in _query_blocks(queries, block_bytes):
-        if found is not None and not stored:
-            found, stored = settle(found, "hits"), True
-        hits = _local_hits(index, block, query_type, k)
-        if stored:
-            hits = settle(hits, "hits")
-        found = hits if found is None else found.unionByName(hits)
-    return found
+    blocks = [_sent(index.sparkSession, block) for block in _query_blocks(queries, block_bytes)]
+    return _local_hits(index, blocks, _query_type(queries), k)
 
 
 def _rank(hits: DataFrame, k: int) -> DataFrame:
@@ -282,7 +296,7 @@ def topk_single(index: DataFrame, vector: Sequence[float], k: int = DEFAULT_K) -
             "vector": pa.array([list(vector)], pa.list_(pa.float64())),
         }
     )
-    hits = _local_hits(index.select("vec_id", "vector"), query, "bigint", k)
+    hits = _local_hits(index.select("vec_id", "vector"), [_sent(index.sparkSession, query)], "bigint", k)
     best = hits.orderBy(F.desc("score"), "vec_id").limit(k)
     order = Window.orderBy(F.desc("score"), "vec_id")
     return best.select("vec_id", "score", F.row_number().over(order).alias("rank"))
@@ -324,11 +338,14 @@ def result_lookup(
 
     A hit that the index has no entry for stays, with NULLs.  ``max_hits`` is the
     caller's bound on the number of hits (k x queries); with one, the hits are
-    broadcast to find the entries.  ``shard_size`` is the one a stored index was
-    written with; given it, only shards with a hit are read.
+    broadcast to find the entries, if their size allows.  ``shard_size`` is the one the
+    shards of a table were written with; given it, only shards with a hit are read.  On
+    a published index, ``index_store.lookup`` reads no more than the files with a hit.
     """
     hits = settle(hits, "hits")
     wanted = hits.select("vec_id").distinct()
+    if max_hits is not None:
+        wanted = broadcast_if_small(settle(wanted, "hit-ids"))
     keys = ["vec_id"]
     if shard_size is not None:
         # Ids are never negative; it takes a comparison for Spark to consider
@@ -339,8 +356,7 @@ def result_lookup(
         keys.append("shard_id")
     else:
         index = index.drop("shard_id")
-    bounded = max_hits is not None and max_hits <= MAX_BROADCAST_ROWS
-    found = index.drop("vector").join(F.broadcast(wanted) if bounded else wanted, keys)
+    found = index.drop("vector").join(wanted, keys)
     return hits.join(found.drop("shard_id"), "vec_id", "left")
 
 

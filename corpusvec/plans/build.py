@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusvec.functions import text as T
 from corpusvec.operators import assemble as A
 from corpusvec.operators import quality as Q
-from corpusvec.operators.chunk import chunk_words, drop_short_chunks
+from corpusvec.operators.chunk import (
+    CHUNK_CHARS,
+    OVERLAP_CHARS,
+    chunk_stats,
+    chunk_words,
+    drop_short_chunks,
+    overlapping_spans,
+)
 from corpusvec.operators.embed import Embedder, embed_chunks
-from corpusvec.operators.ordinals import SHARD_VECTORS, assign_vec_ids, cluster_by_runs
+from corpusvec.operators.ordinals import SHARD_VECTORS, assign_vec_ids, cluster_by_runs, row_sizes
 from corpusvec.sinks.publish import publish_verified
-from corpusvec.sources.files import scan_directory
+from corpusvec.sources.files import scan_directory, scan_text_dir
 from corpusvec.sources.index_store import Index
 
 PROVENANCE = ("source", "file_index", "row")
@@ -44,14 +54,17 @@ def documents_to_chunks(documents: DataFrame) -> DataFrame:
 
 
 def documents_to_entries(
-    documents: DataFrame, embedder: Embedder, shard_size: int | None = None
+    documents: DataFrame,
+    embedder: Embedder,
+    shard_size: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Numbered, embedded chunks; with a shard size, in the layout of its files.
 
     Rows are numbered and laid out before they are embedded, so shuffles carry
-    text but never vectors.
+    text but never vectors.  ``sizes`` is ``row_sizes`` of the chunks, if known.
     """
-    numbered = assign_vec_ids(documents_to_chunks(documents))
+    numbered = assign_vec_ids(documents_to_chunks(documents), sizes=sizes)
     titled = numbered.withColumn(
         "title", F.left(F.coalesce("title", F.lit("")), F.lit(A.TITLE_CHARS))
     )
@@ -76,19 +89,26 @@ def build_index(
     model: str,
     source_path: str = "",
     shard_size: int = SHARD_VECTORS,
+    labels: Sequence[str] = (),
 ) -> Index:
-    """Chunk, number, embed, stage, verify and publish."""
+    """Chunk, number, embed, stage, verify and publish.
+
+    The documents are read twice: for the number of chunks of each, which numbers them
+    and says how many there have to be, and for the chunks.
+    """
+    sizes = row_sizes(documents_to_chunks(documents))
     return publish_verified(
         spark,
-        documents_to_entries(documents, embedder, shard_size),
+        documents_to_entries(documents, embedder, shard_size, sizes),
         path,
         dataset=dataset,
         model=model,
         dimension=embedder.dim,
         source_path=source_path,
-        expected_chunks=expected_chunks(documents),
+        expected_chunks=sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_expected")),
         shard_size=shard_size,
         clustered=True,
+        labels=labels,
         resume_mode=False,
     )
 
@@ -109,6 +129,67 @@ def index_directory(
     return index, bad
 
 
+def index_texts(
+    spark: SparkSession,
+    source_path: str,
+    path: str,
+    embedder: Embedder,
+    dataset: str,
+    model: str,
+    max_len: int = CHUNK_CHARS,
+    overlap: int = OVERLAP_CHARS,
+    shard_size: int = SHARD_VECTORS,
+) -> Index:
+    """Index a directory of ``.txt`` files, a document each, in overlapping chunks.
+
+    Entries have ``chunk_id, doc_id, chunk_index, chunk_count, char_count, word_count`` and the
+    text; they are numbered by document and chunk.  The manifest has the number of documents and
+    the quality of the chunks, which are judged by where they lie in their documents.
+    """
+    texts = scan_text_dir(spark, source_path).select("doc_id", T.squeeze(F.col("text")).alias("document"))
+    spanned = texts.filter(F.col("document") != "").withColumn(
+        "spans", overlapping_spans(F.col("document"), max_len, overlap)
+    )
+    chunks = chunk_stats(spanned, spans="spans").withColumn("source", F.col("doc_id"))
+    keys = ("doc_id", "chunk_index")
+    sizes = row_sizes(chunks, keys)
+    numbered = cluster_by_runs(assign_vec_ids(chunks, keys, sizes=sizes), shard_size)
+    rates = Q.chunk_quality(spanned).first()
+    found = sizes.agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()
+    return publish_verified(
+        spark,
+        embed_chunks(numbered, embedder),
+        path,
+        dataset=dataset,
+        model=model,
+        dimension=embedder.dim,
+        source_path=source_path,
+        expected_chunks=spark.range(1).select(F.lit(found["n"]).alias("n_expected")),
+        shard_size=shard_size,
+        clustered=True,
+        documents=found["documents"],
+        self_contained=rates["self_contained"],
+        mid_word_breaks=rates["mid_word_breaks"],
+    )
+
+
+def text_index_summary(index: Index, purpose: str = "") -> DataFrame:
+    """The manifest of an index of texts, in one row with a ``quality`` block."""
+    # The field names of this manifest.
+    return index.summary.select(
+        F.col("integrity_status").alias("status"),
+        F.col("total_vectors").alias("vector_count"),
+        F.col("total_vectors").alias("chunk_count"),
+        F.col("embedding_dimension").alias("dimensions"),
+        "embedding_model",
+        "index_type",
+        F.struct("self_contained", "mid_word_breaks").alias("quality"),
+        "documents",
+        F.lit(purpose).alias("purpose"),
+        F.left("date_completed", F.lit(10)).alias("created_date"),
+    )
+
+
 def dry_run(documents: DataFrame, by: str = "length") -> DataFrame:
     """Estimated chunks per source, before anything is embedded."""
     if by == "length":

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusvec.operators.alignment import IntegrityError
 from corpusvec.operators.ordinals import assign_vec_ids
-from corpusvec.sinks.publish import publish_verified
-from corpusvec.sources.index_store import Index, IndexNotFound, load_index
+from corpusvec.sinks.artifacts import summary_row, write_summary
+from corpusvec.sinks.publish import publish_parts, publish_verified
+from corpusvec.sources.index_store import Index, IndexNotFound, Part, load_index, run_path
 
 log = logging.getLogger(__name__)
 
@@ -72,6 +76,22 @@ def load_splits(spark: SparkSession, paths: Sequence[str]) -> dict[int, Index]:
     return found
 
 
+def merged_parts(splits: Mapping[int, Index]) -> list[Part] | None:
+    """The runs of the splits in split order, under ids that go on from split to split.
+
+    None if the ids of a split have gaps, so that adding to them would not do.
+    """
+    parts, before = [], 0
+    for split_id in sorted(splits):
+        split = splits[split_id]
+        if not split.dense:
+            return None
+        for part in split.parts:
+            parts.append(replace(part, id_offset=part.id_offset + before, split_id=split_id))
+        before += sum(part.entries for part in split.parts)
+    return parts
+
+
 def merge_splits(
     spark: SparkSession,
     paths: Sequence[str],
@@ -79,7 +99,12 @@ def merge_splits(
     dataset: str,
     source_path: str = "",
 ) -> Index:
-    """Merge the split indexes at ``paths`` into one published index at ``path``."""
+    """Merge the split indexes at ``paths`` into one published index at ``path``.
+
+    The merged index names the splits' runs and what to add to their ids, and has a
+    manifest; the splits' files stay where they are and are read from there, and none of
+    their entries is read or written.  Only splits whose ids have gaps are rewritten.
+    """
     splits = load_splits(spark, paths)
     summaries = [s.summary.first().asDict() for s in splits.values()]
     forms = {(s["embedding_model"], s["embedding_dimension"]) for s in summaries}
@@ -87,21 +112,30 @@ def merge_splits(
         raise ValueError(f"splits were built with different embedders: {forms}")
     ((model, dimension),) = forms
     total = sum(s["total_vectors"] for s in summaries)
-    return publish_verified(
-        spark,
-        merge_entries({i: s.entries for i, s in splits.items()}),
-        path,
-        dataset=dataset,
-        model=model,
-        dimension=dimension,
-        source_path=source_path,
-        expected_chunks=spark.range(1).select(F.lit(total).alias("n_expected")),
-        # The splits' files hold runs of consecutive ids, and still do under new
-        # ids, so the vectors are rewritten where they are read.
-        clustered=True,
-        split_merge=True,
-        num_splits=len(splits),
+    known = {"split_merge": True, "num_splits": len(splits)}
+    parts = merged_parts(splits)
+    if parts is None:
+        return publish_verified(
+            spark,
+            merge_entries({i: s.entries for i, s in splits.items()}),
+            path,
+            dataset=dataset,
+            model=model,
+            dimension=dimension,
+            source_path=source_path,
+            expected_chunks=spark.range(1).select(F.lit(total).alias("n_expected")),
+            **known,
+        )
+    found = sum(part.entries for part in parts)
+    if found != total:
+        raise IntegrityError(f"the splits' manifests name {total} vectors, their runs have {found}")
+    run = uuid.uuid4().hex
+    summary = summary_row(
+        spark.range(0), dataset, source_path, model, dimension, True, total, **known
     )
+    write_summary(summary, f"{run_path(path, run)}/summary")
+    publish_parts(spark, path, run, parts)
+    return load_index(spark, path)
 
 
 def union_corpora(corpora: Mapping[str, DataFrame]) -> DataFrame:

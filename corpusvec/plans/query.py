@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusvec.functions import text as T
 from corpusvec.operators.embed import Embedder, embed_chunks
-from corpusvec.operators.search import topk_with_sources
-from corpusvec.sources.index_store import Index
+from corpusvec.operators.search import topk_batch, topk_with_sources
+from corpusvec.sources.index_store import Index, lookup
 
 
 def embed_queries(
@@ -26,7 +27,6 @@ def search_text(
 
 
 def search_index(index: Index, queries: DataFrame, embedder: Embedder, k: int = 3) -> DataFrame:
-    """As ``search_text``, on a published index: only shards with a hit give up text."""
-    return topk_with_sources(
-        index.entries, embed_queries(queries, embedder), k, shard_size=index.shard_size
-    )
+    """As ``search_text``, on a published index: only files with a hit give up text."""
+    hits = topk_batch(index.vectors, embed_queries(queries, embedder), k)
+    return lookup(index, hits).withColumn("preview", T.preview(F.col("text"))).drop("text")

@@ -13,23 +13,47 @@ from corpusvec.operators.ordinals import (
     SHARD_VECTORS,
     cluster_by_runs,
     shard_of,
+    whole_parts,
 )
+from corpusvec.session import settle
 
 INDEX_TYPE = "exact inner product"
 
 
-def _in_id_order(df: DataFrame) -> DataFrame:
-    return df.repartitionByRange("vec_id").sortWithinPartitions("vec_id")
+def _in_id_order(df: DataFrame, total: int | None) -> DataFrame:
+    """A partition for every run of ``FILE_VECTORS`` ids, in order.
+
+    Ids are dense, so a row's id says where it goes and nothing has to be sampled.
+    """
+    if total is None:
+        total = (df.agg(F.max("vec_id")).first()[0] or 0) + 1
+    run = whole_parts(F.col("vec_id"), FILE_VECTORS).cast("int")
+    return df.repartitionById(max(1, -(-total // FILE_VECTORS)), run).sortWithinPartitions("vec_id")
 
 
-def write_chunks(df: DataFrame, path: str) -> None:
-    """JSON lines ``{"text": ...}``; part files and lines are in id order."""
-    _in_id_order(df.select("vec_id", "text")).select("text").write.json(path)
+def write_chunks(df: DataFrame, path: str, total: int | None = None) -> None:
+    """JSON lines ``{"text": ...}``; part files and lines are in id order.
 
+    ``total`` is the number of rows; without it, the ids are read once more.
+    """
+    _in_id_order(df.select("vec_id", "text"), total).select("text").write.json(path)
 
-def write_metadata(df: DataFrame, path: str) -> None:
+
+def write_metadata(df: DataFrame, path: str, total: int | None = None) -> None:
     """JSON lines of provenance, in the same order as the chunks."""
-    _in_id_order(chunk_metadata(df)).drop("vec_id").write.json(path)
+    _in_id_order(chunk_metadata(df), total).drop("vec_id").write.json(path)
+
+
+def write_lines(df: DataFrame, path: str) -> int:
+    """Both kinds of lines below ``path``, as ``chunks`` and ``metadata``; the number of rows.
+
+    The rows are computed once, and stored for the second pass.
+    """
+    stored = settle(df.select("text", *chunk_metadata(df).columns), "lines")
+    total = stored.count()
+    write_chunks(stored, f"{path.rstrip('/')}/chunks", total)
+    write_metadata(stored, f"{path.rstrip('/')}/metadata", total)
+    return total
 
 
 def write_vector_shards(
@@ -65,9 +89,10 @@ def summary_row(
     model: str,
     dimension: int,
     verified: bool,
-    **extra: str | int | bool,
+    total: int | None = None,
+    **extra: str | int | float | bool | None,
 ) -> DataFrame:
-    """The manifest as a one-row DataFrame; its count comes from the entries."""
+    """The manifest as a one-row DataFrame; its count comes from the entries, if not given."""
     # The manifest's field names and date format.
     fixed = {
         "dataset_name": dataset,
@@ -79,9 +104,11 @@ def summary_row(
         "integrity_status": "VERIFIED" if verified else "UNVERIFIED",
         **extra,
     }
-    return entries.agg(F.count(F.lit(1)).alias("total_vectors")).select(
-        "*", *(F.lit(value).alias(name) for name, value in fixed.items())
-    )
+    if total is None:
+        counted = entries.agg(F.count(F.lit(1)).alias("total_vectors"))
+    else:
+        counted = entries.sparkSession.range(1).select(F.lit(total).cast("long").alias("total_vectors"))
+    return counted.select("*", *(F.lit(value).alias(name) for name, value in fixed.items()))
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

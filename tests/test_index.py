@@ -3,8 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from corpusvec.functions import text as T
 from corpusvec.operators import alignment, quality
-from corpusvec.operators.chunk import chunk_words
+from corpusvec.operators.chunk import chunked_text, overlapping_spans, word_spans
 from corpusvec.operators.embed import HashingEmbedder
 from corpusvec.plans import build, merge, query
 from corpusvec.sinks import artifacts
@@ -171,12 +172,28 @@ def test_alignment_audit_and_gate(spark):
 
 def test_chunk_quality_sees_cut_words(spark):
     text = " ".join(f"word{i}" for i in range(900))
-    docs = spark.createDataFrame([("d", text)], "doc_id string, document string")
-    whole = quality.chunk_quality(chunk_words(docs), docs).first()
-    assert (whole.mid_word_breaks, whole.self_contained, whole.passed) == (0.0, 1.0, True)
-    cut = spark.createDataFrame([("d", text[i : i + 100]) for i in (0, 101, 202)], "doc_id string, text string")
-    rates = quality.chunk_quality(cut, docs).first()
-    assert rates.mid_word_breaks > 0.5 and not rates.passed
+    docs = spark.createDataFrame([("d", text), ("e", "kept  as it\nis, and long enough")], "doc_id string, document string")
+    document = F.col("document")
+    for spanned in (
+        docs.select(chunked_text(document).alias("document"), word_spans(document).alias("spans")),
+        docs.select(T.squeeze(document).alias("document"), overlapping_spans(document).alias("spans")),
+    ):
+        whole = quality.chunk_quality(spanned).first()
+        assert whole.chunks > 4 and (whole.mid_word_breaks, whole.self_contained, whole.passed) == (0.0, 1.0, True)
+
+    def rates(text, spans):
+        rows = [(text, [(a, b, text[a:b]) for a, b in spans])]
+        return quality.chunk_quality(
+            spark.createDataFrame(rows, "document string, spans array<struct<start: int, end: int, text: string>>")
+        ).first()
+
+    cut = rates(text, [(i, i + 100) for i in (0, 101, 202)])
+    assert cut.mid_word_breaks > 0.5 and not cut.passed
+    # The words occur elsewhere with whitespace around them; here they are cut out of another.
+    inner = "a longer wordinside of it, and a word inside too"
+    assert rates(inner, [(9, 13)]).mid_word_breaks == 1.0 and rates(inner, [(33, 37)]).mid_word_breaks == 0.0
+    gap = rates(inner, [(0, 19), (23, 48)])
+    assert (gap.mid_word_breaks, gap.self_contained) == (0.0, 0.5)
 
 
 def test_ingest_counts(spark):

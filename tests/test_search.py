@@ -87,8 +87,8 @@ def test_vectors_are_not_shuffled(spark, data):
 def test_small_score_cells(spark, data, monkeypatch):
     vectors, queries = data
     monkeypatch.setattr(S, "_SCORE_CELLS", 40)
-    best = S._TopK(5, queries.astype(float))
-    best.add(np.arange(len(vectors)), vectors.astype(float))
+    best = S._TopK(5, len(queries))
+    best.add(np.arange(len(vectors)), vectors.astype(float), queries.astype(float))
     got = {(int(q), int(i)) for q, i in zip(best.query, best.ids)}
     assert got == {(q, i) for q, i, _ in brute(vectors, queries, 5)}
 

@@ -9,8 +9,9 @@ from corpusvec import session
 
 
 def fake(master, root):
+    settings = {session.CHECKPOINT_CONF: root, session.WAREHOUSE_CONF: "hdfs://warehouse/"}
     return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: root),
+        conf=SimpleNamespace(get=lambda key, default: settings[key]),
         sparkContext=SimpleNamespace(master=master),
     )
 
@@ -20,7 +21,7 @@ def test_the_shared_folder_comes_from_the_session():
 
 
 def test_only_a_local_session_may_go_without():
-    assert session.shared_root(fake("local[2]", None)) == session.shared_root(fake("local[8]", None))
+    assert session.shared_root(fake("local[2]", None)) == "hdfs://warehouse"
     with pytest.raises(RuntimeError):
         session.shared_root(fake("yarn", None))
     with pytest.raises(RuntimeError):
@@ -39,6 +40,12 @@ def test_small_tables_are_settled_and_hinted(spark):
     assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
 
 
+def test_wide_tables_are_not_hinted(spark):
+    wide = spark.range(100).selectExpr("id", "repeat('x', 1000) AS text", "array(id, id) AS list")
+    assert "broadcast" in str(session.broadcast_if_small(wide, max_bytes=200_000)._jdf.queryExecution().logical()).lower()
+    assert "broadcast" not in str(session.broadcast_if_small(wide, max_bytes=90_000)._jdf.queryExecution().logical()).lower()
+
+
 def test_settling_nothing(spark):
     assert session.settle(spark.range(0), "none").count() == 0
 
