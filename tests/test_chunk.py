@@ -82,6 +82,19 @@ def test_overlapping_chunks_match_brute_force(spark):
         assert got[i] == pack_overlapping(text), i
 
 
+def test_spans_are_where_the_chunks_are(spark, monkeypatch):
+    monkeypatch.setattr(C, "SUM_BLOCK", 3)
+    texts = [t for t in sample_texts() if len(" ".join(t.split())) < 20_000][:60]
+    for spans, chunked, source in (
+        (C.word_spans, C.word_chunks, lambda t: t if len(t) <= 1500 else " ".join(t.split())),
+        (C.overlapping_spans, C.overlapping_chunks, lambda t: " ".join(t.split())),
+    ):
+        found, chunks = run(spark, texts, spans), run(spark, texts, chunked)
+        for i, text in enumerate(texts):
+            assert [s.text for s in found[i]] == chunks[i]
+            assert all(source(text)[s.start : s.end] == s.text for s in found[i])
+
+
 def test_short_chunks_leave_gaps(spark):
     # The middle chunk is a single word of ten characters.
     text = "a" * 1495 + " " + "b" * 10 + " " + "c" * 1495

@@ -9,8 +9,15 @@ from corpusvec.operators.chunk import chunked_text, overlapping_spans, word_span
 from corpusvec.operators.embed import HashingEmbedder
 from corpusvec.plans import build, merge, query
 from corpusvec.sinks import artifacts
-from corpusvec.sinks.publish import publish_verified
-from corpusvec.sources.index_store import IndexNotFound, load_index
+from corpusvec.sinks.publish import publish_parts, publish_verified, write_pointer
+from corpusvec.sources.index_store import (
+    IndexNotFound,
+    entries_with_ids,
+    labelled,
+    load_index,
+    lookup,
+    newest_run,
+)
 
 EMBEDDER = HashingEmbedder(16)
 
@@ -248,3 +255,118 @@ def test_labels_reach_the_index(spark):
         got = build.assemble_records(rows.withColumn("v", F.parse_json("j")), kind).first().asDict()
         names = {"article": ("categories", "is_featured"), "qa": ("tags",), "paper": ("categories",)}[kind]
         assert tuple(got[n] for n in names) == labels and got["document"]
+
+
+def test_merging_adds_a_pointer_and_a_manifest_only(spark, tmp_path):
+    docs = documents(spark, files=4)
+    for i in range(2):
+        make(spark, docs.filter(F.col("file_index") % 2 == i), tmp_path / f"s{i}", shard_size=7)
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("*") if p.is_file()}
+    merged = merge.merge_splits(spark, [str(tmp_path / f"s{i}") for i in range(2)], str(tmp_path / "m"), "test")
+    added = [p for p in tmp_path.rglob("*") if p.is_file() and p not in before]
+    assert all(p.stat().st_mtime_ns == t for p, t in before.items())
+    assert all(p.is_relative_to(tmp_path / "m") for p in added) and not [p for p in added if p.suffix == ".parquet"]
+    assert {p.parent.name for p in added} == {"published", "summary"}
+    sizes = [load_index(spark, str(tmp_path / f"s{i}")).entries.count() for i in range(2)]
+    assert [(p.id_offset, p.split_id, p.entries) for p in merged.parts] == [(0, 0, sizes[0]), (sizes[0], 1, sizes[1])]
+    # A merged index can be a split itself, and be searched like any other.
+    twice = merge.merge_splits(spark, [str(tmp_path / "m"), str(tmp_path / "s0")], str(tmp_path / "mm"), "test")
+    rows = twice.entries.orderBy("vec_id").collect()
+    assert [r.vec_id for r in rows] == list(range(sum(sizes) + sizes[0])) and twice.dense
+    assert [r.text for r in rows[sum(sizes) :]] == [r.text for r in rows[: sizes[0]]]
+    wanted = rows[sizes[0] + 3]
+    hits = spark.createDataFrame([(0, wanted.vec_id), (0, 10**9)], "query_id long, vec_id long")
+    found = {r.vec_id: (r.text, r.split_id) for r in lookup(twice, hits).collect()}
+    assert found == {wanted.vec_id: (wanted.text, 0), 10**9: (None, None)}
+
+
+def test_splits_with_gaps_are_rewritten(spark, tmp_path):
+    rows = [(i, [1.0, 0.0], f"t{i}", "s") for i in (0, 1, 5, 6)]
+    schema = "vec_id long, vector array<float>, text string, source string"
+    for name, kept in (("gaps", rows), ("dense", rows[:2])):
+        index = publish_verified(spark, spark.createDataFrame(kept, schema), str(tmp_path / name), "d", "m", 2, shard_size=3)
+        assert index.dense == (name == "dense")
+    merged = merge.merge_splits(spark, [str(tmp_path / n) for n in ("gaps", "dense")], str(tmp_path / "m"), "d")
+    assert content(merged.entries, "vec_id", "text", "split_id") == [
+        (0, "t0", 0), (1, "t1", 0), (2, "t5", 0), (3, "t6", 0), (4, "t0", 1), (5, "t1", 1),
+    ]
+
+
+def test_text_is_read_from_files_with_hits_only(spark, tmp_path):
+    rows = [(i, [1.0], f"t{i}", "s", [f"tag{i % 7}", "all"], i % 3 == 0) for i in range(400)]
+    entries = spark.createDataFrame(
+        rows, "vec_id long, vector array<float>, text string, source string, tags array<string>, is_featured boolean"
+    )
+    index = publish_verified(
+        spark, entries, str(tmp_path / "i"), "d", "m", 1, shard_size=2, labels=["tags", "is_featured"]
+    )
+    files = index.files.collect()
+    assert len(files) == 200 and sum(f.entries for f in files) == 400
+    ids = [*range(0, 300, 10)]
+    hits = spark.createDataFrame([(i, i) for i in ids], "query_id long, vec_id long")
+    chosen = entries_with_ids(index, hits)
+    assert len(chosen.inputFiles()) == 30 and chosen.count() == 60
+    assert {r.vec_id: r.text for r in lookup(index, hits).collect()} == {i: f"t{i}" for i in ids}
+    assert len(entries_with_ids(index, hits, max_files=29).inputFiles()) == 200
+    assert {r.vec_id: r.text for r in lookup(index, hits, max_files=3).collect()} == {i: f"t{i}" for i in ids}
+    # Labels: only files that have a row with all of them are read.
+    both = labelled(index, all_of=[("tags", "tag3"), ("is_featured", "true")])
+    want = [i for i in range(400) if i % 7 == 3 and i % 3 == 0]
+    assert sorted(r.vec_id for r in both.collect()) == want
+    assert len(both.inputFiles()) == len({i // 2 for i in want}) < 25
+    plain = entries.filter(F.array_contains("tags", "tag3") & F.col("is_featured"))
+    assert sorted(r.vec_id for r in plain.collect()) == want
+    some = labelled(index, all_of=[("tags", "all"), ("tags", "all")], any_of=[("tags", "tag1"), ("tags", "tag2")])
+    assert sorted(r.vec_id for r in some.collect()) == [i for i in range(400) if i % 7 in (1, 2)]
+    assert labelled(index, all_of=[("tags", "none")]).count() == 0
+    assert labelled(index).count() == 400
+
+
+def test_two_writers_of_one_version(spark, tmp_path):
+    path = str(tmp_path / "i")
+    index = make(spark, documents(spark, files=1), path)
+    newest = newest_run(spark, path)
+    publish_parts(spark, path, "late", index.parts, previous=newest)
+    with pytest.raises(alignment.IntegrityError, match="another writer"):
+        write_pointer(spark, path, {**newest, "version": 1, "run": "raced"})
+    with pytest.raises(alignment.IntegrityError, match="anew"):
+        publish_parts(spark, path, "stale", index.parts, previous=newest)
+    assert newest_run(spark, path)["run"] == "late"
+    assert sorted(p.name for p in (tmp_path / "i" / "published").glob("*.json")) == ["v000000000000.json", "v000000000001.json"]
+
+
+def test_index_of_texts(spark, tmp_path):
+    source = tmp_path / "texts"
+    source.mkdir()
+    texts = {f"doc_{i:02d}.txt": " ".join(f"w{i}n{j}" for j in range(60 + 30 * i)) for i in range(14)}
+    for name, text in {**texts, "empty.txt": " \n", "notes.md": "no"}.items():
+        (source / name).write_text(text)
+    index = build.index_texts(spark, str(source), str(tmp_path / "i"), EMBEDDER, "texts", "hashing")
+    rows = index.entries.orderBy("vec_id").collect()
+    assert [r.vec_id for r in rows] == list(range(len(rows))) and len(rows) > len(texts)
+    assert [(r.doc_id, r.chunk_index) for r in rows] == sorted((r.doc_id, r.chunk_index) for r in rows)
+    assert all(r.chunk_id == f"{r.doc_id}__chunk_{r.chunk_index:03d}" for r in rows)
+    assert {r.doc_id for r in rows} == set(texts)
+    assert all(r.char_count == len(r.text) and r.word_count == len(r.text.split()) for r in rows)
+    summary = build.text_index_summary(index, "a demonstration").first()
+    assert summary.asDict(recursive=True)["quality"] == {"self_contained": 1.0, "mid_word_breaks": 0.0}
+    assert (summary.status, summary.vector_count, summary.chunk_count, summary.documents, summary.dimensions) == (
+        "VERIFIED", len(rows), len(rows), 14, 16,
+    )
+    assert list(summary.asDict()) == [
+        "status", "vector_count", "chunk_count", "dimensions", "embedding_model", "index_type", "quality",
+        "documents", "purpose", "created_date",
+    ]
+
+
+def test_lines_are_written_in_id_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(artifacts, "FILE_VECTORS", 7)
+    entries = build.documents_to_entries(documents(spark), EMBEDDER)
+    total = artifacts.write_lines(entries, str(tmp_path / "out"))
+    rows = entries.orderBy("vec_id").collect()
+    assert total == len(rows)
+    for kind, value in (("chunks", lambda r: {"text": r.text}), ("metadata", lambda r: {"row": r.row, "chunk": r.chunk})):
+        parts = sorted((tmp_path / "out" / kind).glob("part-*"))
+        assert len(parts) == -(-total // 7)
+        lines = [json.loads(line) for part in parts for line in part.read_text().splitlines()]
+        assert all(got.items() >= value(r).items() for got, r in zip(lines, rows, strict=True))

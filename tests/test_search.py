@@ -76,6 +76,17 @@ def test_a_query_set_past_the_bound_is_blocked(spark, data):
     assert set(map(tuple, whole)) == set(map(tuple, blocked))
 
 
+def test_blocks_of_queries_share_one_scan(spark, data, tmp_path):
+    vectors, queries = data
+    path = str(tmp_path / "index")
+    frame(spark, "vec_id", vectors).write.parquet(path)
+    index, qs = spark.read.parquet(path), frame(spark, "query_id", queries)
+    found = S.topk_batch(index, qs, 4, block_bytes=8 * DIM * 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+    assert ranked(found) == brute(vectors, queries, 4)
+
+
 def test_vectors_are_not_shuffled(spark, data):
     vectors, queries = data
     index, qs = frame(spark, "vec_id", vectors), frame(spark, "query_id", queries)
