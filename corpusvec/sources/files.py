@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,6 +22,10 @@ KINDS = (LINES, TABLES)
 
 # Footers read at a time.
 FOOTER_THREADS = 16
+# Files up to this size are read whole for their footers.
+SMALL_FILE = 4 << 20
+# Fixed value: where Spark keeps the schema that it wrote a file with.
+_ROW_METADATA = b"org.apache.spark.sql.parquet.row.metadata"
 
 
 def discover_files(
@@ -151,20 +159,64 @@ def scan_parquet(
     return scan if columns is None else scan.select(*columns)
 
 
-def _scans_by_schema(spark: SparkSession, path: str, names: list[str]) -> list[DataFrame]:
+def footer_hashes(spark: SparkSession, path: str, max_bytes: int = SMALL_FILE) -> DataFrame:
+    """``source, footer`` of the Parquet files in ``path`` of at most ``max_bytes``.
+
+    Files with one footer hash have one schema.  Tasks read the footers, of files that
+    are small enough to be read whole; it is NULL where a footer could not be told.
+    """
+
+    def hashed(content: bytes) -> str | None:
+        try:
+            found = pq.ParquetFile(pa.BufferReader(content))
+            said = (found.metadata.metadata or {}).get(_ROW_METADATA, b"")
+            columns = [found.schema.column(i) for i in range(len(found.schema))]
+            told = [
+                (c.path, c.physical_type, str(c.logical_type), c.length, c.precision, c.scale,
+                 c.max_definition_level, c.max_repetition_level)
+                for c in columns
+            ]
+            return hashlib.sha256(repr(told).encode() + b"\0" + said).hexdigest()
+        except (pa.ArrowException, OSError):
+            return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            footers = [hashed(content.as_py()) for content in batch.column("content")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("source"), pa.array(footers, pa.string())], ["source", "footer"]
+            )
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{TABLES}").load(path)
+    small = files.filter(F.col("length") <= max_bytes)
+    named = small.select(F.col("_metadata.file_name").alias("source"), "content")
+    return named.mapInArrow(run, "source string, footer string")
+
+
+def _scans_by_schema(
+    spark: SparkSession, path: str, names: list[str], max_bytes: int = SMALL_FILE
+) -> list[DataFrame]:
     """The named Parquet files, one scan per distinct schema.
 
     Files of a directory may differ in columns and in their types, so none is
-    read with another's schema.  Only footers are read to tell.
+    read with another's schema.  Of small files, one of every footer is asked for its
+    schema; the others, of which a directory has fewer for its bytes, are each.
     """
+    alike: dict[str, list[str]] = {}
+    wanted = set(names)
+    for row in footer_hashes(spark, path, max_bytes).filter(F.col("footer").isNotNull()).collect():
+        if row["source"] in wanted:
+            alike.setdefault(row["footer"], []).append(row["source"])
+            wanted.discard(row["source"])
+    asked = [*(sorted(group) for group in alike.values()), *([name] for name in sorted(wanted))]
 
-    def schema_of(name: str) -> tuple[str, str]:
-        return spark.read.parquet(f"{path.rstrip('/')}/{name}").schema.json(), name
+    def schema_of(group: list[str]) -> tuple[str, list[str]]:
+        return spark.read.parquet(f"{path.rstrip('/')}/{group[0]}").schema.json(), group
 
     groups: dict[str, list[str]] = {}
     with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        for schema, name in pool.map(schema_of, names):
-            groups.setdefault(schema, []).append(f"{path.rstrip('/')}/{name}")
+        for schema, group in pool.map(schema_of, asked):
+            groups.setdefault(schema, []).extend(f"{path.rstrip('/')}/{name}" for name in group)
     return [
         spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*paths)
         for schema, paths in groups.items()

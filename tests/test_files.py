@@ -138,3 +138,29 @@ def test_a_directory_of_mixed_schemas(spark, tmp_path):
     assert json.loads(rows["w2.parquet", 0]) == {"Title": "t2", "body": "b2", "answers": [{"body": "y"}]}
     assert json.loads(rows["z.jsonl", 0])["title"] == "b" and json.loads(rows["z.jsonl", 1])["text"] == "u"
     assert rows["z.jsonl", 2] is None and json.loads(rows["z.jsonl", 3]) == answers
+
+
+@pytest.mark.parametrize("max_bytes", [files.SMALL_FILE, 0])
+def test_one_schema_is_asked_for_per_footer(spark, tmp_path, max_bytes):
+    written = {
+        "a": spark.range(90).selectExpr("id", "cast(id AS string) AS name"),
+        "b": spark.range(30).selectExpr("cast(id AS int) AS id", "array(id) AS names"),
+    }
+    root = tmp_path / "in"
+    root.mkdir()
+    for kind, df in written.items():
+        df.repartition(30).write.option("maxRecordsPerFile", 1).parquet(str(tmp_path / kind))
+        for i, part in enumerate(sorted((tmp_path / kind).glob("part-*.parquet"))):
+            (root / f"{kind}{i}.parquet").write_bytes(part.read_bytes())
+    names = [p.name for p in root.iterdir()]
+    assert len(names) == 120
+    if max_bytes:
+        footers = files.footer_hashes(spark, str(root), max_bytes).collect()
+        assert sorted(r.source for r in footers) == sorted(names) and len({r.footer for r in footers}) == 2
+    scans = files._scans_by_schema(spark, str(root), names, max_bytes)
+    assert sorted(scan.columns for scan in scans) == [["id", "name"], ["id", "names"]]
+    assert sorted(scan.count() for scan in scans) == [30, 90]
+    rows = files.scan_directory(spark, str(root))
+    assert rows.count() == 120 and rows.filter("source LIKE 'b%'").selectExpr(
+        "variant_get(v, '$.names[0]', 'bigint') AS x"
+    ).agg(F.sum("x")).first()[0] == sum(range(30))
