@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -43,14 +44,53 @@ def words(text: Column) -> Column:
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join by keys that may be NULL; the right side's keys are dropped."""
-    renamed = right.select(
-        *(F.col(k).alias(f"__{k}") for k in keys), *(c for c in right.columns if c not in keys)
-    )
+    others = unused([*left.columns, *right.columns], *keys)
+    renamed = right.withColumnsRenamed(dict(zip(keys, others)))
     condition = None
-    for k in keys:
-        equal = left[k].eqNullSafe(renamed[f"__{k}"])
+    for k, other in zip(keys, others):
+        equal = left[k].eqNullSafe(renamed[other])
         condition = equal if condition is None else condition & equal
-    return left.join(renamed, condition, how).drop(*(f"__{k}" for k in keys))
+    return left.join(renamed, condition, how).drop(*others)
+
+
+# The bit map of a set: bits to a member, and bits in all (16 MB at most).
+BITS_PER_MEMBER = 64
+MIN_BITS, MAX_BITS = 1 << 16, 1 << 27
+
+
+class BitMap:
+    """A set of digests that tasks get as a whole; it may hold a few more than were put in.
+
+    A digest sets the bit that its first bytes name.  With more members than there are bits
+    for, more and more digests are held that were not put in: what it is asked for
+    must only cost more then, never come out otherwise.
+    """
+
+    def __init__(self, members: DataFrame, column: str, max_bits: int = MAX_BITS):
+        wanted = min(max(BITS_PER_MEMBER * members.count(), MIN_BITS), max_bits)
+        self.bits = 1 << (wanted - 1).bit_length()
+        number = F.conv(F.left(F.hex(column), F.lit(8)), 16, 10).cast("long") % self.bits
+        words = (
+            members.select(F.shiftright(number, 5).cast("int").alias("word"), (number % 32).cast("int").alias("bit"))
+            .groupBy("word")
+            .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("set"))
+            .toArrow()
+        )
+        self.words = np.zeros(self.bits // 32, dtype=np.uint32)
+        self.words[words["word"].to_numpy()] = words["set"].to_numpy().astype(np.uint32)
+
+    def __contains__(self, digest: bytes) -> bool:
+        at = int.from_bytes(digest[:4], "big") % self.bits
+        return bool(self.words[at >> 5] >> np.uint32(at & 31) & np.uint32(1))
+
+    def holds(self, digest: Column) -> Column:
+        """Whether the digest of a row may be a member."""
+
+        def run(digests: pa.Array) -> pa.Array:
+            return pa.array([d is not None and d in self for d in digests.to_pylist()], pa.bool_())
+
+        run.__annotations__ = {"digests": pa.Array, "return": pa.Array}
+        return F.arrow_udf(run, "boolean")(digest)
 
 
 def as_bytes(column: pa.Array) -> pa.Array:

@@ -1,12 +1,15 @@
 """Exact duplicates by recipes of content-defined chunks.
 
 A text is normalised (every run of blanks is one space) and cut where its content
-says so, so the chunks of equal texts are equal.  Chunks are brought together
-once, by digest: copies of a chunk fold into one row before and after the
-shuffle, and bytes are compared there, so that a chunk's identifier stands for
-its bytes and not for a digest that others might share.  After that only recipes
-move: a document is its ordered list of identifiers, and documents are equal
-exactly if their lists are.
+says so, so the chunks of equal texts are equal.  A document becomes its recipe, the
+ordered digests of its chunks.  Digests are counted first, 16 bytes each; only chunks
+whose digest occurs more than once have anything to be compared with, and only their
+bytes move, once per task.  Equal digests with unequal bytes are told apart there, so
+that a chunk's identifier stands for its bytes and not for a digest that others might
+share.  Documents are equal exactly if their lists of identifiers are.
+
+Tasks know the repeated digests by a bit map of bounded size that is sent to them; the
+few chunks that it lets through too many are compared with nothing.
 
 A chunk whose digest is unambiguous is identified by the digest alone.  Where two
 different chunks share one, the identifier also has the rank of its bytes among
@@ -15,7 +18,8 @@ them, and documents with such a chunk look theirs up.
 A NULL text counts as empty, and an empty recipe equals another.  Of equal texts
 the row with the smallest ``doc_id`` stays, once if it is repeated.  A NULL
 ``doc_id`` counts in no minimum; a group without any other has a NULL
-``keep_id``.  Other columns take no part.
+``keep_id``.  A very long text is cut like any other; no chunk is longer than
+``MAX_CHUNK``, and its recipe has 16 bytes for some two thousand.  Other columns take no part.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusvec.llm.common import BLANKS, as_bytes, null_safe_join, slices
+from corpusvec.llm.common import BLANKS, BitMap, as_bytes, null_safe_join, slices
 from corpusvec.session import settle
 
 # A cut falls after a byte whose surrounding window hashes to zero under the
@@ -141,27 +145,36 @@ def recipes(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def shared_digests(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
+def repeated_digests(plain: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
+    """``digest`` of the chunks that occur in more than one place of ``recipes``."""
+    places = F.sequence(F.lit(1), F.length("recipe"), F.lit(digest_bytes))
+    each = plain.filter(F.length("recipe") > 0).select(
+        F.explode(F.transform(places, lambda at: F.substring("recipe", at, F.lit(digest_bytes)))).alias("digest")
+    )
+    return each.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
+
+
+def shared_digests(docs: DataFrame, repeated: BitMap, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
     """``digest, chunk, variant`` of chunks whose digest stands for different bytes.
 
-    Every task hands on each chunk once.  Comparing bytes is grouping by them.
+    Every task hands on each repeated chunk once.  Comparing bytes is grouping by them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = _digest(digest_bytes)
         for batch in batches:
             for part in slices(batch, "text"):
-                found = {piece for _, _, pieces in chunked(part) for piece in pieces}
-                chunks = list(found)
+                named = {}
+                for _, _, pieces in chunked(part):
+                    for piece in pieces:
+                        if piece not in named and (name := digest(piece)) in repeated:
+                            named[piece] = name
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([digest(c) for c in chunks], pa.binary()),
-                        pa.array(chunks, pa.binary()),
-                    ],
+                    [pa.array(list(named.values()), pa.binary()), pa.array(list(named), pa.binary())],
                     ["digest", "chunk"],
                 )
 
-    # Chunks move once.  Grouping by digest and bytes compares the bytes.
+    # Grouping by digest and bytes compares the bytes.
     chunks = docs.select("text").mapInArrow(run, "digest binary, chunk binary")
     mixed = settle(
         chunks.distinct()
@@ -211,8 +224,9 @@ def _chunk_places(docs: DataFrame, digest_bytes: int) -> DataFrame:
 
 def verified_recipes(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
     """``recipes`` with ``variants``: the ranks of chunks that their digest alone leaves open."""
-    plain = recipes(docs, digest_bytes)
-    shared = settle(shared_digests(docs, digest_bytes), "chunk-variants")
+    plain = settle(recipes(docs, digest_bytes), "plain-recipes")
+    repeated = BitMap(settle(repeated_digests(plain, digest_bytes), "repeated-digests"), "digest")
+    shared = settle(shared_digests(docs, repeated, digest_bytes), "chunk-variants")
     if shared.isEmpty():
         return plain.withColumn("variants", F.lit(None).cast("array<struct<pos: bigint, variant: bigint>>"))
     variants = (
