@@ -7,13 +7,14 @@ threshold get an exact count of distinct sites.
 
 A line on ``min_sites`` or more sites is boilerplate: it stays where it occurs
 first (smallest ``doc_id``, then position) and goes everywhere else.  Lines are
-compared without the blanks at their ends, and only those of at least
-``min_chars`` characters take part, so short everyday lines stay.
+compared without the blanks at their ends, and every line with a word takes part.
 
 Texts move once, to meet the list of positions that go.  A NULL text stays NULL
 and has no lines; a NULL source is one more site; a NULL ``doc_id`` comes before
 all others.  Rows that repeat both id and text are one document and are treated
-alike.  Other columns come through unchanged.
+alike.  A very long text is an array of its lines inside its row; of a text whose lines
+all go, an empty text stays.  Other columns come through unchanged, but for ``n_lines``
+and ``n_removed``, which are replaced.
 """
 
 from __future__ import annotations
@@ -23,11 +24,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusvec.llm.common import BLANKS, null_safe_join
+from corpusvec.llm.common import BLANKS, null_safe_join, unused
 from corpusvec.session import settle
 
 MIN_SITES = 10
-MIN_CHARS = 20
 SKETCH_BITS = 12
 # Standard errors on either side of the threshold that are counted exactly.
 SIGMAS = 4
@@ -40,8 +40,8 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``__doc, __hash, site, pos, h1, h2`` of every line that takes part."""
+def line_table(docs: DataFrame) -> DataFrame:
+    """``__doc, __hash, site, pos, h1, h2`` of every line with a word."""
     exploded = docs.select(
         F.col("doc_id").alias("__doc"),
         F.xxhash64("text").alias("__hash"),
@@ -50,7 +50,7 @@ def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     )
     line = F.btrim(F.col("line"), F.lit(BLANKS))
     # Two differently salted hashes: 128 bits name a line.
-    return exploded.filter(F.length(line) >= min_chars).select(
+    return exploded.filter(line != "").select(
         *_DOC,
         "site",
         "pos",
@@ -92,12 +92,10 @@ def _margin(min_sites: int, sketch_bits: int) -> float:
     return max(1.0, SIGMAS * 1.04 / math.sqrt(1 << sketch_bits) * min_sites)
 
 
-def remove_boilerplate(
-    docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS
-) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """All rows and columns of ``docs``; ``text`` without the lines that go, and
     ``n_lines, n_removed``."""
-    lines = line_table(docs, min_chars)
+    lines = line_table(docs)
     common = settle(boilerplate(lines, min_sites), "boilerplate")
     gone = (
         lines.join(common, _KEY)
@@ -105,24 +103,26 @@ def remove_boilerplate(
         .groupBy(*_DOC)
         .agg(F.collect_set("pos").alias("__gone"))
     )
-    keyed = docs.select("*", F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__hash"))
-    joined = null_safe_join(keyed, gone, _DOC, "left")
+    doc, named, places, split = unused(docs.columns, "doc", "hash", "gone", "split")
+    keyed = docs.select("*", F.col("doc_id").alias(doc), F.xxhash64("text").alias(named))
+    renamed = gone.withColumnsRenamed({**dict(zip(_DOC, (doc, named))), "__gone": places})
+    joined = null_safe_join(keyed, renamed, [doc, named], "left")
     every = F.sequence(F.lit(0), F.size(_lines(F.col("text"))) - 1)
     kept = F.array_join(
-        F.transform(F.array_except(every, F.col("__gone")), lambda i: F.get(F.col("__split"), i)), "\n"
+        F.transform(F.array_except(every, F.col(places)), lambda i: F.get(F.col(split), i)), "\n"
     )
     return (
-        joined.withColumn("__split", _lines(F.col("text")))
+        joined.withColumn(split, _lines(F.col("text")))
         .select(
             *(c for c in docs.columns if c not in ("text", "n_lines", "n_removed")),
-            F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
-            F.coalesce(F.size("__split"), F.lit(0)).cast("long").alias("n_lines"),
-            F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
+            F.when(F.col(places).isNull(), F.col("text")).otherwise(kept).alias("text"),
+            F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
+            F.coalesce(F.size(places), F.lit(0)).cast("long").alias("n_removed"),
         )
     )
 
 
-def sql(min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, docs: str = "documents") -> str:
+def sql(min_sites: int = MIN_SITES, docs: str = "documents") -> str:
     """The same rows in DuckDB SQL: ``doc_id, source, text, n_lines, n_removed``."""
     blanks = " || ".join(f"chr({ord(c)})" for c in BLANKS)
     return f"""
@@ -134,7 +134,7 @@ def sql(min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS, docs: str = "doc
     k AS (SELECT *, trim(line, {blanks}) AS key FROM l),
     spread AS (
       SELECT key, min(doc_id) AS first_doc, bool_or(doc_id IS NULL) AS nameless
-      FROM k WHERE length(key) >= {min_chars}
+      FROM k WHERE key <> ''
       GROUP BY key HAVING count(DISTINCT coalesce(source, '')) >= {min_sites}),
     firsts AS (
       SELECT key, CASE WHEN nameless THEN NULL ELSE first_doc END AS first_doc,
