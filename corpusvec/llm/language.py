@@ -21,7 +21,7 @@ counts as training data.
 A text that is NULL or has no letter gets ``und`` and score 0, as does everything
 if nothing could be learned.  With one language learned the score is 1.  Equal
 sizes go to the first name in order, with score 0.  Repeated rows are classified
-each; other columns take no part.
+each; a very long text is compressed block by block; other columns take no part.
 """
 
 from __future__ import annotations
@@ -33,12 +33,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusvec.llm.common import unused
+from corpusvec.session import broadcast_if_small, settle
+
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 MIN_MARGIN = 0.01
 
 DICT_DOCS, DICT_PIECE, DICT_BYTES = 256, 1024, 1 << 16
-SAMPLE_PARTS = 16
+# Times the sample's size that is looked at to find the smallest hashes.
+SAMPLE_ROOM = 4
 LEVEL = 6
 BLOCK_BYTES = 2048
 SHORT_BYTES, PROBE_WORDS, PROBE_STEP = 256, 80, 7
@@ -68,15 +72,22 @@ def learn(docs: DataFrame, docs_per_language: int = DICT_DOCS) -> dict[str, byte
     usable = docs.filter(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     ).select("lang", "text", F.xxhash64("text").alias("hash"))
-    # The smallest of every part, then the smallest of those: a language with most
-    # of the texts is many parts, and what meets in the end has a fixed size.
-    parted = usable.select("lang", "hash", F.pmod("hash", F.lit(SAMPLE_PARTS)).alias("part")).distinct()
-    for group in (["lang", "part"], ["lang"]):
-        order = F.row_number().over(Window.partitionBy(*group).orderBy("hash"))
-        parted = parted.withColumn("n", order).filter(F.col("n") <= docs_per_language).drop("n")
-    chosen = parted.drop("part")
+    # Hashes are even, so a language's number of texts tells below which hash the sample
+    # lies, with room to spare: whatever it has, a few of its rows meet in one task.
+    distinct = settle(usable.select("lang", "hash").distinct(), "language-texts")
+    room = F.least(F.lit(1.0), F.lit(float(SAMPLE_ROOM * docs_per_language)) / F.count(F.lit(1)))
+    bounds = distinct.groupBy("lang").agg((F.lit(-(2.0**63)) + F.lit(2.0**64) * room).alias("bound"))
+    near = distinct.join(broadcast_if_small(settle(bounds, "language-bounds")), "lang")
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    chosen = settle(
+        near.filter(F.col("hash").cast("double") <= F.col("bound"))
+        .withColumn("n", order)
+        .filter(F.col("n") <= docs_per_language)
+        .select("lang", "hash"),
+        "language-sample",
+    )
     pieces = (
-        usable.join(chosen, ["lang", "hash"], "left_semi")
+        usable.join(broadcast_if_small(chosen), ["lang", "hash"], "left_semi")
         .select("lang", "hash", F.left(letters(F.col("text")), F.lit(DICT_PIECE)).alias("piece"))
         .dropDuplicates(["lang", "hash"])
         .groupBy("lang")
@@ -169,7 +180,8 @@ def identify(docs: DataFrame, min_margin: float = MIN_MARGIN) -> DataFrame:
 
 def keep_identified(docs: DataFrame, min_margin: float = MIN_MARGIN) -> DataFrame:
     """The rows of ``docs`` whose language is found by a clear margin, unchanged."""
-    found = docs.withColumn("__found", language(F.col("text"), learn(docs)))
+    (answer,) = unused(docs.columns, "found")
+    found = docs.withColumn(answer, language(F.col("text"), learn(docs)))
     return found.filter(
-        ~rejected(F.col("__found.lang"), F.col("__found.score"), min_margin)
-    ).drop("__found")
+        ~rejected(F.col(answer)["lang"], F.col(answer)["score"], min_margin)
+    ).drop(answer)

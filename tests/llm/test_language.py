@@ -2,6 +2,11 @@
 
 import zlib
 
+import pytest
+import regex
+import zstandard
+from pyspark.sql import functions as F
+
 from corpusvec.llm import language
 
 SCHEMA = "doc_id long, text string, lang string, score string"
@@ -32,6 +37,62 @@ def sample():
     ]
 
 
+def plain_size(text, dictionary):
+    """What a text adds, by zstandard's streaming interface."""
+    data = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+    def packed(part):
+        tool = zstandard.ZstdCompressor(
+            level=language.LEVEL, dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False
+        ).compressobj(size=len(part))
+        return len(tool.compress(part) + tool.flush())
+
+    if len(text) < 256:
+        probe = b" ".join(dictionary.split()[::7][-80:]) + b" "
+        return max(0, packed(probe + text) - packed(probe))
+    return sum(packed(text[i : i + 2048]) for i in range(0, len(text), 2048))
+
+
+def test_query_against_plain_sizes(spark):
+    from corpusvec.llm.queries import op8_language
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    dictionaries = language.learn(docs)
+    got = {r["doc_id"]: r for r in op8_language(spark, sf).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        low = regex.sub(r"[^\p{L}\p{M}]+", " ", (r["text"] or "").lower()).encode()
+        lang, score = "und", 0.0
+        if regex.search(r"\p{L}", r["text"] or ""):
+            sizes = {k: plain_size(low, d) for k, d in dictionaries.items()}
+            lang = min(sorted(sizes), key=sizes.get)
+            first, second = sorted(sizes.values())[:2]
+            score = (second - first) / max(1, second)
+        assert got[r["doc_id"]]["lang_pred"] == lang, r["doc_id"]
+        assert got[r["doc_id"]]["score"] == pytest.approx(score)
+
+
+def test_sample_has_the_smallest_hashes(spark):
+    rows = [(i, f"text number {'abcdefghij'[i % 10] * (i // 10 + 1)}", "en", "x") for i in range(300)]
+    docs = spark.createDataFrame(rows + rows[:50], SCHEMA)
+    learned = language.learn(docs, docs_per_language=5)["en"].decode()
+    hashed = docs.filter(~language.held_out(F.col("doc_id"))).select("text", F.xxhash64("text").alias("h")).distinct()
+    assert learned == " ".join(r["text"] for r in hashed.orderBy("h").limit(5).collect())
+
+
+def test_ties_go_to_the_first_name(spark):
+    rows = [(i, "the very same words in either of two languages ", lang, "x") for i in range(8) for lang in ("zz", "aa")]
+    got = language.identify(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r["lang_pred"], r["score"], r["rejected"]) for r in got} == {("aa", 0.0, True)}
+
+
+def test_very_long_text_and_clashing_names(spark):
+    text = "the quick brown fox jumps over the lazy dog and runs into the forest " * 30_000
+    table = spark.createDataFrame(sample() + [(500, text, None, "x")], SCHEMA).withColumn("found", F.lit("x"))
+    kept = language.keep_identified(table)
+    assert kept.columns == table.columns and kept.filter("doc_id = 500").first()["text"] == text
+
+
 def test_odd_rows(spark):
     df = spark.createDataFrame(sample(), SCHEMA)
     got = language.identify(df).collect()
