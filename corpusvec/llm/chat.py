@@ -17,7 +17,8 @@ Everything is built-in columns.
 
 NULL texts and roles count as empty.  Turns are ordered by turn, then role and
 text, so repeated and tied turns are kept in a fixed order; NULL turns come
-first.  Rows with a NULL ``conv_id`` are one conversation.
+first.  Rows with a NULL ``conv_id`` are one conversation.  A very long text is rendered
+and read back inside its row, and a conversation has to fit one.
 """
 
 from __future__ import annotations
@@ -126,9 +127,11 @@ def loss_text(turns: Column, role: str = LOSS_ROLE) -> Column:
 
 def with_probe(conversations: DataFrame) -> DataFrame:
     """The conversations and one whose texts are control strings."""
-    probe = conversations.sparkSession.createDataFrame(
-        [(PROBE_ID, i, role, PROBE_TEXT) for i, role in enumerate(("user", "assistant"))],
-        "conv_id long, turn long, role string, text string",
+    probe = conversations.sparkSession.range(2).select(
+        F.lit(PROBE_ID).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise(LOSS_ROLE).alias("role"),
+        F.lit(PROBE_TEXT).alias("text"),
     )
     return conversations.select("conv_id", "turn", "role", "text").union(probe)
 
