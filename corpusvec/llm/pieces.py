@@ -52,6 +52,8 @@ CHUNK_CHARS = 1 << 16
 BLOCK = 256
 # Distinct stretches a task remembers, and how long they may be.
 CACHE, CACHE_CHARS = 300_000, 64
+# Chunks of a text that are handed on at a time.
+_CHUNKS_AT_ONCE = 64
 
 _NONE = -np.inf
 # Takes the place of a literal mark in a text, which is no blank; no piece has it.
@@ -232,29 +234,62 @@ def states_of(matrices: list[np.ndarray], start: np.ndarray, end: int) -> list[i
 # Chunks ----------------------------------------------------------------------------
 
 
-def chunks(docs: DataFrame, states: int, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """``doc_id, copy, chunk, last, size, body``: the chunks of every row.
-
-    ``body`` is a chunk with the characters that a piece may reach into.  The blank ahead
-    of the text is a character of the first chunk.
-    """
+def _texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_key, text``: every text with the blank ahead of it."""
     text = F.coalesce("text", F.lit(""))
     ahead = F.when(text == "", text).otherwise(F.concat(F.lit(" "), text))
-    keyed = docs.select("doc_id", ahead.alias("text"), F.sha2(text.cast("binary"), 256).alias("text_key"))
-    last = F.greatest(F.lit(0), F.floor((F.length("text") - 1) / chunk_chars)).cast("int")
-    at = F.col("chunk") * chunk_chars
-    return keyed.select(
-        "*", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("chunk")
-    ).select(
+    return docs.select("doc_id", F.sha2(text.cast("binary"), 256).alias("text_key"), ahead.alias("text"))
+
+
+def whole_texts(docs: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """The texts that are one chunk; see ``cut_texts``."""
+    texts = _texts(docs)
+    return texts.filter(F.length("text") <= chunk_chars).select(
         "doc_id",
         "text_key",
-        "chunk",
-        "last",
-        F.least(F.lit(chunk_chars), F.length("text") - at).alias("size"),
-        F.substr("text", at + 1, F.lit(chunk_chars + states)).alias("body"),
+        F.lit(0).alias("chunk"),
+        F.lit(0).alias("last"),
+        F.length("text").alias("size"),
+        F.col("text").alias("body"),
     )
 
 
+def cut_texts(docs: DataFrame, states: int, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
+    """``doc_id, text_key, chunk, last, size, body``: the chunks of the texts that have several.
+
+    ``body`` is a chunk with the characters that a piece may reach into.  The blank ahead
+    of the text is a character of the first chunk.  A text is walked once, and its chunks
+    are dealt out, so that one giant text is the work of many tasks.
+    """
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    columns = ["doc_id", "text_key", "chunk", "last", "size", "body"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1)
+                text = one.column("text")[0].as_py()
+                starts = range(0, len(text), chunk_chars)
+                for first in range(0, len(starts), _CHUNKS_AT_ONCE):
+                    some = starts[first : first + _CHUNKS_AT_ONCE]
+                    same = pa.array(np.zeros(len(some), np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            one.column("doc_id").take(same),
+                            one.column("text_key").take(same),
+                            pa.array(range(first, first + len(some)), pa.int32()),
+                            pa.array([len(starts) - 1] * len(some), pa.int32()),
+                            pa.array([min(chunk_chars, len(text) - at) for at in some], pa.int32()),
+                            pa.array([text[at : at + chunk_chars + states] for at in some], pa.string()),
+                        ],
+                        columns,
+                    )
+
+    schema = f"doc_id {id_type}, text_key string, chunk int, last int, size int, body string"
+    long = _texts(docs).filter(F.length("text") > chunk_chars)
+    return long.select("doc_id", "text_key", "text").mapInArrow(run, schema).repartition("text_key", "chunk")
+
+
 _KEY = ["doc_id", "text_key"]
 
 
@@ -388,9 +423,8 @@ def encode(
     """``doc_id, chunk, n_pieces, ids`` of every row of ``doc_id, text``; a document's ids are
     those of its chunks, in order."""
     vocabulary = load(path or vocabulary_path())
-    parts = chunks(docs.select("doc_id", "text"), vocabulary.longest, chunk_chars)
-    whole = parts.filter("last = 0").withColumns({"start": F.lit(0), "reach": F.lit(0)})
-    long = parts.filter("last > 0")
+    whole = whole_texts(docs, chunk_chars).withColumns({"start": F.lit(0), "reach": F.lit(0)})
+    long = settle(cut_texts(docs, vocabulary.longest, chunk_chars), "text-chunks")
     picked = settle(
         scan(_matrices(long, vocabulary), vocabulary.longest, block), "piece-states"
     ).withColumnsRenamed({"doc_id": "__doc", "text_key": "__key", "chunk": "__chunk"})
