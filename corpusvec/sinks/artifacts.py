@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,12 +17,17 @@ from corpusvec.operators.ordinals import (
     SHARD_VECTORS,
     cluster_by_runs,
     shard_of,
+    spread,
     whole_parts,
 )
 from corpusvec.session import settle
 
 INDEX_TYPE = "exact inner product"
 
+# Files up to this size are digested whole; larger ones by ranges, read in pieces.
+WHOLE_BYTES = 1 << 30
+RANGE_BYTES, READ_BYTES = 256 << 20, 8 << 20
+
 
 def _in_id_order(df: DataFrame, total: int | None) -> DataFrame:
     """A partition for every run of ``FILE_VECTORS`` ids, in order.
@@ -115,21 +124,63 @@ def write_summary(summary: DataFrame, path: str) -> None:
     summary.coalesce(1).write.json(path)
 
 
-def artifact_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """``artifact, file, bytes, sha256`` of every data file below ``path``.
+def artifact_manifest(
+    spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """``artifact, file, bytes, sha256, ranges`` of every data file below ``path``.
 
-    The artifact is the first directory below ``path``.
+    The artifact is the first directory below ``path``.  A file of more than
+    ``whole_bytes``, which no cell could hold, is digested by ranges of ``range_bytes``, each a
+    task's work: its digest is the SHA-256 of their digests, one behind the other, and
+    ``ranges`` says how many there are.  Of other files, which have one, it is the plain SHA-256.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     )
     below = F.split("path", _quoted(path), 2)[1]
-    return files.select(
-        F.substring_index(below, "/", 1).alias("artifact"),
-        below.alias("file"),
-        F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
+    named = (F.substring_index(below, "/", 1).alias("artifact"), below.alias("file"), F.col("length").alias("bytes"))
+    whole = files.filter(F.col("length") <= whole_bytes).select(
+        *named, F.sha2("content", 256).alias("sha256"), F.lit(1).alias("ranges")
+    )
+    starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(range_bytes).cast("long"))
+    ranges = files.filter(F.col("length") > whole_bytes).select("path", "length", F.explode(starts).alias("start"))
+    digested = spread(ranges, "path", "start").mapInArrow(
+        _range_digester(range_bytes), "path string, length long, start long, digest binary"
     )
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("start", "digest"))), lambda r: r["digest"])
+    large = digested.groupBy("path", "length").agg(ordered.alias("digests"))
+    joined = F.aggregate("digests", F.lit("").cast("binary"), lambda all_, d: F.concat(all_, d))
+    return whole.union(
+        large.select(*named, F.sha2(joined, 256).alias("sha256"), F.size("digests").alias("ranges"))
+    )
+
+
+def _range_digester(range_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """SHA-256 of the range of a file that starts at ``start``, read a little at a time.
+
+    The file is opened by Arrow, whose file systems can read from the middle of a file.
+    """
+
+    def digest(path: str, start: int) -> bytes:
+        scheme, _, rest = path.partition(":")
+        uri = f"file:///{rest.lstrip('/')}" if scheme == "file" else path
+        source, name = fs.FileSystem.from_uri(uri)
+        found, left = hashlib.sha256(), range_bytes
+        with source.open_input_file(name) as opened:
+            opened.seek(start)
+            while left and (piece := opened.read(min(left, READ_BYTES))):
+                found.update(piece)
+                left -= len(piece)
+        return found.digest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests = [digest(p, s) for p, s in zip(*(batch.column(c).to_pylist() for c in ("path", "start")))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(digests, pa.binary())], [*batch.schema.names, "digest"]
+            )
+
+    return run
 
 
 def _quoted(path: str) -> str:

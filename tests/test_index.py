@@ -166,6 +166,22 @@ def test_artifacts(spark, tmp_path):
         assert (len(data), hashlib.sha256(data).hexdigest()) == (r.bytes, r.sha256)
 
 
+def test_large_files_are_digested_by_ranges(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "vectors").mkdir()
+    sizes = {"small": 100, "even": 192, "odd": 200, "one": 101}
+    for name, size in sizes.items():
+        (tmp_path / "vectors" / name).write_bytes(bytes(i % 251 for i in range(size)))
+    rows = artifacts.artifact_manifest(spark, str(tmp_path), whole_bytes=100, range_bytes=64).collect()
+    got = {r.file: (r.artifact, r.bytes, r.sha256, r.ranges) for r in rows}
+    for name, size in sizes.items():
+        data = (tmp_path / "vectors" / name).read_bytes()
+        parts = [hashlib.sha256(data[i : i + 64]).digest() for i in range(0, size, 64)]
+        want = hashlib.sha256(data if name == "small" else b"".join(parts)).hexdigest()
+        assert got[f"vectors/{name}"] == ("vectors", size, want, 1 if name == "small" else len(parts))
+
+
 def test_alignment_audit_and_gate(spark):
     def ids(*values):
         return spark.createDataFrame([(v,) for v in values], "vec_id long")
