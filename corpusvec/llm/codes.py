@@ -237,6 +237,7 @@ def decode(codes: DataFrame, codec: Codec, scale: int = SCALE) -> DataFrame:
     """The rows and columns of ``code`` and others, and ``decoded``: the entries' components."""
     books, _ = codec
     given = codes.drop("decoded")
+    names = given.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,7 +246,7 @@ def decode(codes: DataFrame, codec: Codec, scale: int = SCALE) -> DataFrame:
             values = np.stack([books[p][index[:, p]] for p in range(len(books))], axis=1)
             offsets = np.arange(batch.num_rows + 1, dtype=np.int32) * (len(books) * books.shape[2])
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel() / scale))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*given.columns, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*names, "decoded"])
 
     schema = given.withColumn("decoded", F.lit(None).cast("array<double>")).schema
     return given.mapInArrow(run, schema)
