@@ -19,7 +19,8 @@ thirds of a text or more, and no word of the join is frequent, so it has no hot
 
 NULL texts are empty: one token, the end.  Folds are taken from ``doc_id`` as text;
 a NULL ``doc_id`` is in none and counts as training data.  Repeated rows count and
-are scored each.  Other columns take no part.
+are scored each.  A very long text is the work of one task, at some times its bytes; its
+words are counted as they are found.  Other columns take no part.
 """
 
 from __future__ import annotations

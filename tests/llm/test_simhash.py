@@ -53,6 +53,14 @@ def test_fingerprint_is_exact():
         assert simhash.simhash((text or "").encode()) == brute_fingerprint(text)
 
 
+def test_very_long_text(spark):
+    text = " ".join(f"word{i % 977}" for i in range(150_000))
+    rows = [(i, t, "x") for i, t in enumerate([text, text.upper(), "word1 word2"])]
+    got = {r["doc_id"]: r for r in simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert int(got[0]["fingerprint"], 16) == brute_fingerprint(text)
+    assert [got[i]["component_id"] for i in range(3)] == [0, 0, 2]
+
+
 @pytest.mark.parametrize(
     "max_bits, target, node_rows",
     [(0, 2048, 200_000), (3, 4, 200_000), (4, 2048, 200_000), (4, 4, 10), (7, 4, 200_000)],
