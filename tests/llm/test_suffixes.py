@@ -32,11 +32,16 @@ def brute(texts, length=suffixes.LENGTH):
     return result
 
 
+def expected(texts, length=suffixes.LENGTH, short=suffixes.SHORT):
+    """The same, and the bytes that strings of the shorter length cover."""
+    return [(*b, s[1]) for b, s in zip(brute(texts, length), brute(texts, short))]
+
+
 def made_texts(seed, alphabet="abcdefgh éü\n"):
     rng = random.Random(seed)
     make = lambda n: "".join(rng.choices(alphabet, k=n))
     shared = [make(rng.randint(300, 900)) for _ in range(4)]
-    texts = [None, "", "x" * 399, "y" * 400, "z" * 401, "z" * 2000, "ab" * 700]
+    texts = [None, "", "x" * 239, "x" * 240, "x" * 399, "y" * 400, "z" * 401, "z" * 2000, "ab" * 700]
     for _ in range(14):
         parts = []
         for _ in range(rng.randint(1, 4)):
@@ -54,16 +59,46 @@ def rows_of(texts):
 
 
 def found(df):
-    cols = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    cols = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_repeated"]
     return sorted(map(repr, (tuple(r[c] for c in cols) for r in df.collect())))
 
 
-@pytest.mark.parametrize("seed, bucket_rows", [(1, 50_000), (2, 1)])
-def test_against_every_window(spark, seed, bucket_rows):
+# Small buckets are split down to a single shift; names of a few bits collide.
+@pytest.mark.parametrize("seed, bucket_rows, name_bits", [(1, 50_000, 64), (2, 1, 64), (3, 4, 3), (4, 50_000, 1)])
+def test_against_every_window(spark, seed, bucket_rows, name_bits):
     texts = made_texts(seed)
     rows = rows_of(texts)
-    got = suffixes.remove_repeats(spark.createDataFrame(rows, SCHEMA), bucket_rows=bucket_rows)
-    assert found(got) == sorted(repr((r[0], *b)) for r, b in zip(rows, brute(texts)))
+    got = suffixes.remove_repeats(
+        spark.createDataFrame(rows, SCHEMA), bucket_rows=bucket_rows, name_bits=name_bits
+    )
+    assert found(got) == sorted(repr((r[0], *b)) for r, b in zip(rows, expected(texts)))
+
+
+def test_one_length(spark):
+    texts = made_texts(6)
+    got = suffixes.remove_repeats(spark.createDataFrame(rows_of(texts), SCHEMA), length=210, short=210)
+    assert found(got) == sorted(repr((r[0], *b)) for r, b in zip(rows_of(texts), expected(texts, 210, 210)))
+    with pytest.raises(ValueError):
+        suffixes.remove_repeats(spark.createDataFrame([], SCHEMA), length=200)
+
+
+def test_many_surroundings_of_one_passage(spark):
+    rng = random.Random(12)
+    make = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    passage, sides = make(330), [make(rng.randint(0, 90)) for _ in range(12)]
+    texts = [rng.choice(sides)[-rng.randint(1, 90) :] + passage + rng.choice(sides) + make(3) for _ in range(60)]
+    rows = [(i, t, 0) for i, t in enumerate(texts)]
+    got = suffixes.remove_repeats(spark.createDataFrame(rows, SCHEMA), bucket_rows=5)
+    assert found(got) == sorted(repr((r[0], *b)) for r, b in zip(rows, expected(texts)))
+
+
+def test_very_long_text(spark):
+    rng = random.Random(8)
+    long = "".join(rng.choices("abcdefghij ", k=3_000_000))
+    texts = [long, long[1_000_000:1_000_500], long[2_999_700:], "x" + long[:380]]
+    rows = [(i, t, 0) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r for r in suffixes.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [(got[i]["n_removed"], got[i]["n_repeated"]) for i in range(4)] == [(500, 1180), (500, 500), (0, 300), (0, 380)]
 
 
 def test_samples_are_chosen_by_content(monkeypatch):
@@ -85,7 +120,7 @@ def test_query_against_every_window(spark, sf):
     from corpusvec.llm.queries import op10_suffixes
 
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
-    want = sorted(repr((d["doc_id"], *b)) for d, b in zip(docs, brute([d["text"] for d in docs])))
+    want = sorted(repr((d["doc_id"], *b)) for d, b in zip(docs, expected([d["text"] for d in docs])))
     assert found(op10_suffixes(spark, sf)) == want
 
 
@@ -100,6 +135,16 @@ def test_text_keeps_whole_characters(spark):
     assert [got[i]["extra"] for i in range(1, 6)] == [1, 2, 3, 4, 5]
 
 
+def test_clashing_names(spark):
+    names = ["doc_id", "text", "key", "__key", "kept_text", "__new_text", "whole", "id", "n", "sure"]
+    rows = [(i, t, *names[2:]) for i, t in enumerate(["copy " * 100, "copy " * 100, "alone", None])]
+    got = suffixes.cut_repeats(spark.createDataFrame(rows, names))
+    assert got.columns == names
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(
+        repr((i, t, *names[2:])) for i, t in enumerate(["", "", "alone", None])
+    )
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert suffixes.remove_repeats(empty).count() == 0 == suffixes.cut_repeats(empty).count()
