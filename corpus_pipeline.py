@@ -2,7 +2,8 @@
 
 A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame.  ``run`` writes each
 result to the shared folder and reads it back, so a lost executor costs at most the
-stage at hand.  All stages but the last return the columns of ``documents``.
+stage at hand.  All stages but the last return the columns of ``documents``; ``n_chars`` is
+that of the text as it is then.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from corpusvec.llm import language, lines, packing, simhash, suffixes
 from corpusvec.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Bytes of a string that counts as a repeated passage: shorter than any fifty words of prose.
+PASSAGE_BYTES = 240
 
 # Language identification and its margins cannot be told in SQL.
 ORACLE_SQL = None
@@ -41,8 +44,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the 400-byte strings that occur elsewhere too."""
-    return _documents(suffixes.cut_repeats(docs))
+    """Documents without the strings of ``PASSAGE_BYTES`` that occur elsewhere too.
+
+    A document that had a text and has none left goes.
+    """
+    cut = suffixes.cut_repeats(docs, PASSAGE_BYTES)
+    emptied = (F.col("n_chars") > 0) & (F.col("text") == "")
+    return _documents(cut.filter(~F.coalesce(emptied, F.lit(False))))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

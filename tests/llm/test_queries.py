@@ -38,7 +38,7 @@ def test_pipeline_against_plain_stages(spark, sf):
     label = groups_of([brute_fingerprint(texts[i]) for i in ids], 4)
     ids = [i for n, i in enumerate(ids) if label[n] == n]
     data = [texts[i] for i in ids]
-    removed = {i: r[1] for i, r in zip(ids, brute_repeats(data))}
+    removed = {i: r[1] for i, r in zip(ids, brute_repeats(data, corpus_pipeline.PASSAGE_BYTES))}
 
     path = spark.conf.get("spark.checkpoint.dir")
     stage_docs, lengths = docs, []
@@ -51,6 +51,8 @@ def test_pipeline_against_plain_stages(spark, sf):
     assert sorted(lengths[0]) == sorted(r[0] for r in kept)
     assert {i: r["text"] for i, r in lengths[1].items()} == texts
     assert sorted(lengths[2]) == ids
+    emptied = {i for i in ids if texts[i] and removed[i] == len(texts[i].encode())}
+    assert sorted(lengths[3]) == [i for i in ids if i not in emptied]
     for i, r in lengths[3].items():
         before = len(texts[i].encode())
         # Characters of which a part is repeated stay whole.
