@@ -1,19 +1,26 @@
 """Quality by weak supervision: rules vote, EM weighs them, a posterior decides.
 
 Each rule looks at a few counts of a text and votes good (1), bad (-1) or
-abstains (0).  The votes are noisy labels of one hidden class.  EM estimates how
-often each rule is right when it votes, and the share of good texts, without any
-labelled data; a text's posterior probability of being good follows from its
+abstains (0).  The votes are noisy labels of one hidden class.  EM estimates, for good
+and for bad texts, how often each rule votes either way, and the share of good texts,
+without any labelled data; a text's posterior probability of being good follows from its
 votes.  Agreement between rules is what makes one trusted, so no single rule
 can throw a text out, as an all-must-pass filter lets it.
 
-EM sees the number of texts per pattern of votes: at most 3 ** rules rows.  Its
-rounds are small aggregations over that table.  Counts are per row, inside the
-row: no shuffle moves a text or a word.  Everything is built-in columns.
+Length is judged by fixed bounds.  The other rules look at a ratio in parts per thousand
+and know what is usual from the corpus itself: a vote is good near the quartiles of the
+ratio and bad beyond them by ``BAD_REACH`` times their distance, plus a slack.  Ratios
+are whole numbers up to ``MOST``, so exact quartiles need a bounded table.
+
+EM starts from the share of good votes among all votes of a text, and sees the number of
+texts per pattern of votes: at most 3 ** rules rows.  Its rounds are small aggregations
+over that table; a vote count is smoothed by one, and nothing else bounds it.  Counts
+are per row, inside the row: no shuffle moves a text or a word.  Built-in columns only.
 
 Windows of three words are compared by 64-bit hash.  NULL text has no words and
-fails the base check; so does any text under ``MIN_WORDS`` words.  Repeated rows
-are counted and judged each, and the other columns take no part.
+fails the base check; so does any text under ``MIN_WORDS`` words; of a text without words
+only the length votes.  A very long text is an array of its words inside its row, some ten
+times its bytes.  Repeated rows are counted and judged each, and other columns take no part.
 """
 
 from __future__ import annotations
@@ -35,25 +42,24 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 EM_ROUNDS = 15
-START_ACCURACY, START_PRIOR = 0.8, 0.7
-# Accuracies stay on the better side of chance, which ties the hidden classes to
-# the meaning of the votes; the prior and the accuracies are smoothed.
-ACCURACY_RANGE = (0.55, 0.99)
-PRIOR_RANGE = (0.01, 0.99)
-
-# Rule: (good if, bad if), SQL over the counts; both the same in either engine.
-RULES: Mapping[str, tuple[str, str]] = {
-    "long_enough": ("n_words >= 80", "n_words < 50"),
-    "word_length": (
-        "word_chars >= 3 * n_words AND word_chars <= 12 * n_words",
-        "word_chars < 2 * n_words OR word_chars > 20 * n_words",
-    ),
-    "few_symbols": ("50 * n_symbols <= n_words", "5 * n_symbols > n_words"),
-    "fresh_lines": ("n_dup_lines = 0", "3 * n_dup_lines > n_lines"),
-    "fresh_windows": ("20 * n_repeat_words <= n_words", "4 * n_repeat_words > n_words"),
-    "few_digits": ("20 * n_digits <= word_chars", "4 * n_digits > word_chars"),
-    "varied_words": ("5 * n_distinct_words >= n_words", "20 * n_distinct_words < n_words"),
+
+# Votes of the length rule.
+LONG_ENOUGH = ("n_words >= 80", f"n_words < {MIN_WORDS}")
+# Ratio rules: (numerator, denominator, side that is bad, slack in parts per thousand).
+RATIOS: Mapping[str, tuple[str, str, str, int]] = {
+    "word_length": ("word_chars", "n_words", "both", 100),
+    "few_symbols": ("n_symbols", "n_words", "high", 50),
+    "fresh_lines": ("n_dup_lines", "n_lines", "high", 330),
+    "fresh_windows": ("n_repeat_words", "n_words", "high", 250),
+    "few_digits": ("n_digits", "word_chars", "high", 20),
+    "varied_words": ("n_distinct_words", "n_words", "low", 0),
 }
+RULES = ("long_enough", *RATIOS)
+VOTES = (1, 0, -1)
+# Largest ratio that is told apart, in parts per thousand.
+MOST = 20_000
+# Quartile distances beyond the quartiles up to which a vote is good, and from which it is bad.
+GOOD_REACH, BAD_REACH = 0.5, 1.5
 
 
 # Counts -----------------------------------------------------------------------
@@ -138,61 +144,118 @@ def measure(docs: DataFrame) -> DataFrame:
     return flat.select("doc_id", *(c.cast("long").alias(n) for n, c in long.items()))
 
 
-# The label model ---------------------------------------------------------------
+# Votes -------------------------------------------------------------------------
+
 
+def ratio_sql(rule: str, divide: str = "div") -> str:
+    """The rule's ratio in parts per thousand; NULL for a text without words."""
+    above, below, _, _ = RATIOS[rule]
+    return f"CASE WHEN n_words > 0 THEN least({MOST}, (1000 * {above}) {divide} {below}) END"
 
-def vote_sql(rule: str) -> str:
-    good, bad = RULES[rule]
-    return f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END"
 
+def vote_sql(rule: str, low: str = "", high: str = "", divide: str = "div") -> str:
+    """A rule's vote; ``low`` and ``high`` are the quartiles of its ratio."""
+    if rule not in RATIOS:
+        good, bad = LONG_ENOUGH
+        return f"CASE WHEN {bad} THEN -1 WHEN {good} THEN 1 ELSE 0 END"
+    _, _, side, slack = RATIOS[rule]
+    ratio = f"({ratio_sql(rule, divide)})"
 
-def _logit(p: float) -> float:
-    return math.log(p / (1 - p))
+    def outside(reach: float, part: float) -> str:
+        above = f"{ratio} > {high} + {reach} * ({high} - {low}) + {part * slack}"
+        below = f"{ratio} < {low} - {reach} * ({high} - {low}) - {part * slack}"
+        return {"both": f"({above} OR {below})", "high": f"({above})", "low": f"({below})"}[side]
 
+    return (
+        f"CASE WHEN {outside(BAD_REACH, 1.0)} THEN -1 WHEN NOT {outside(GOOD_REACH, 0.5)} THEN 1 ELSE 0 END"
+    )
+
+
+def quartiles(measured: DataFrame) -> dict[str, tuple[int, int] | None]:
+    """The quartiles of each rule's ratio over all texts with words; None if there are none."""
+    at = "percentile_disc({q}) WITHIN GROUP (ORDER BY {x}) AS {name}"
+    found = measured.agg(
+        *(
+            F.expr(at.format(q=q, x=ratio_sql(rule), name=f"{rule}_{name}"))
+            for rule in RATIOS
+            for q, name in ((0.25, "low"), (0.75, "high"))
+        )
+    ).first()
+    return {
+        rule: None
+        if found[f"{rule}_low"] is None
+        else (int(found[f"{rule}_low"]), int(found[f"{rule}_high"]))
+        for rule in RATIOS
+    }
+
+
+def vote(measured: DataFrame) -> DataFrame:
+    """The rows and columns of ``measured``, and one column of votes per rule."""
+    bounds = {rule: found or (0, 0) for rule, found in quartiles(measured).items()}
+    votes = (vote_sql(rule, *map(str, bounds.get(rule, ()))) for rule in RULES)
+    return measured.select("*", *(F.expr(v).alias(rule) for rule, v in zip(RULES, votes)))
+
+
+# The label model ---------------------------------------------------------------
 
-def posterior(prior: float, accuracies: Mapping[str, float]) -> Column:
+# For each rule and vote, how often it is cast for good and for bad texts.
+Model = tuple[float, Mapping[str, Mapping[int, tuple[float, float]]]]
+
+
+def posterior(model: Model) -> Column:
     """The probability of a good text, given its votes."""
-    evidence = F.lit(_logit(prior))
-    for rule, accuracy in accuracies.items():
-        evidence = evidence + F.col(rule) * F.lit(_logit(accuracy))
+    prior, rules = model
+    evidence = F.lit(math.log(prior / (1 - prior)))
+    for rule, votes in rules.items():
+        weight = F.lit(0.0)
+        for cast, (good, bad) in votes.items():
+            weight = F.when(F.col(rule) == cast, F.lit(math.log(good / bad))).otherwise(weight)
+        evidence = evidence + weight
     return 1 / (1 + F.exp(-evidence))
 
 
-def fit(votes: DataFrame, rounds: int = EM_ROUNDS) -> tuple[float, dict[str, float]]:
-    """The share of good texts and each rule's accuracy, from one column per rule.
+def _majority() -> Column:
+    """The share of good votes among the votes of a text, drawn a little towards a half."""
+    cast = [F.abs(F.col(rule)) for rule in RULES]
+    good = [(F.col(rule) == 1).cast("int") for rule in RULES]
+    return (sum(good[1:], good[0]) + F.lit(0.5)) / (sum(cast[1:], cast[0]) + F.lit(1.0))
+
+
+def fit(votes: DataFrame, rounds: int = EM_ROUNDS) -> Model:
+    """The share of good texts and each rule's habits, from one column of votes per rule.
 
     Only these few numbers come to the driver, once a round.
     """
-    names = list(RULES)
-    patterns = settle(votes.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "votes")
-    prior, accuracies = START_PRIOR, dict.fromkeys(names, START_ACCURACY)
+    patterns = settle(votes.groupBy(*RULES).agg(F.count(F.lit(1)).alias("n")).coalesce(1), "votes")
+    probability, model = _majority(), (0.5, {})
     for _ in range(rounds):
-        good = patterns.select("*", posterior(prior, accuracies).alias("p"))
-        sums = good.agg(
-            F.sum("n").alias("n"),
-            F.sum(F.col("n") * F.col("p")).alias("good"),
-            *(F.sum(F.col("n") * F.abs(F.col(r))).alias(f"{r}_votes") for r in names),
+        parted = patterns.select(
+            "*", (F.col("n") * probability).alias("good"), (F.col("n") * (1 - probability)).alias("bad")
+        )
+        sums = parted.agg(
+            F.sum("good").alias("good"),
+            F.sum("bad").alias("bad"),
             *(
-                F.sum(
-                    F.when(F.col(r) == 1, F.col("n") * F.col("p"))
-                    .when(F.col(r) == -1, F.col("n") * (1 - F.col("p")))
-                    .otherwise(0.0)
-                ).alias(f"{r}_right")
-                for r in names
+                F.sum(F.when(F.col(rule) == cast, F.col(kind)).otherwise(0.0)).alias(f"{kind}_{rule}_{cast}")
+                for rule in RULES
+                for cast in VOTES
+                for kind in ("good", "bad")
             ),
         ).first()
-        if not sums["n"]:
+        if sums["good"] is None:
             break
-        prior = _within((sums["good"] + 1) / (sums["n"] + 2), PRIOR_RANGE)
-        accuracies = {
-            r: _within((sums[f"{r}_right"] + 1) / (sums[f"{r}_votes"] + 2), ACCURACY_RANGE)
-            for r in names
+        shares = {
+            rule: {
+                cast: tuple(
+                    (sums[f"{kind}_{rule}_{cast}"] + 1) / (sums[kind] + len(VOTES)) for kind in ("good", "bad")
+                )
+                for cast in VOTES
+            }
+            for rule in RULES
         }
-    return prior, accuracies
-
-
-def _within(x: float, bounds: tuple[float, float]) -> float:
-    return min(max(x, bounds[0]), bounds[1])
+        model = (sums["good"] + 1) / (sums["good"] + sums["bad"] + 2), shares
+        probability = posterior(model)
+    return model
 
 
 BASE_FAILED = (
@@ -203,12 +266,12 @@ BASE_FAILED = (
 def judge(docs: DataFrame, rounds: int = EM_ROUNDS) -> DataFrame:
     """Counts, ``base_failed``, ``quality`` (the posterior) and ``kept`` for every row."""
     measured = settle(measure(docs), "quality-counts")
-    voted = measured.select("*", *(F.expr(vote_sql(r)).alias(r) for r in RULES))
-    prior, accuracies = fit(voted, rounds)
+    voted = vote(measured)
+    model = fit(voted, rounds)
     scored = voted.select(
         *measured.columns,
         F.expr(BASE_FAILED).alias("base_failed"),
-        F.round(posterior(prior, accuracies), 6).alias("quality"),
+        F.round(posterior(model), 6).alias("quality"),
     )
     return scored.select(
         "doc_id",
@@ -227,34 +290,47 @@ def judge(docs: DataFrame, rounds: int = EM_ROUNDS) -> DataFrame:
 
 
 def sql(rounds: int = EM_ROUNDS, docs: str = "documents") -> str:
-    names = list(RULES)
-    bounded = "least(greatest({x}, {a}), {b})"
-    state = ", ".join([f"{START_PRIOR}::DOUBLE AS prior", *(f"{START_ACCURACY}::DOUBLE AS a_{r}" for r in names)])
-    evidence = "ln(s.prior / (1 - s.prior))" + "".join(
-        f" + {{t}}.{r} * ln(s.a_{r} / (1 - s.a_{r}))" for r in names
-    )
-    steps = [f"em0 AS (SELECT {state})"]
-    for k in range(1, rounds + 1):
-        sums = ", ".join(
-            [
-                bounded.format(x="(sum(n * p) + 1) / (sum(n) + 2)", a=PRIOR_RANGE[0], b=PRIOR_RANGE[1]) + " AS prior",
-                *(
-                    bounded.format(
-                        x=f"(sum(CASE {r} WHEN 1 THEN n * p WHEN -1 THEN n * (1 - p) ELSE 0 END) + 1)"
-                        f" / (sum(n * abs({r})) + 2)",
-                        a=ACCURACY_RANGE[0],
-                        b=ACCURACY_RANGE[1],
-                    )
-                    + f" AS a_{r}"
-                    for r in names
-                ),
-            ]
+    kinds = ("good", "bad")
+    name = lambda kind, rule, cast: f"{kind}_{rule}_{VOTES.index(cast)}"
+
+    def probability(t: str) -> str:
+        weights = "".join(
+            f" + CASE {t}.{rule} "
+            + " ".join(f"WHEN {v} THEN ln(s.{name('good', rule, v)} / s.{name('bad', rule, v)})" for v in VOTES)
+            + " END"
+            for rule in RULES
         )
+        return f"1 / (1 + exp(-(ln(s.prior / (1 - s.prior)){weights})))"
+
+    cast = " + ".join(f"abs({rule})" for rule in RULES)
+    good = " + ".join(f"({rule} = 1)::INT" for rule in RULES)
+    shares = ", ".join(
+        [
+            "(sum(n * p) + 1) / (sum(n) + 2) AS prior",
+            *(
+                f"(sum(CASE WHEN {rule} = {v} THEN n * {p} ELSE 0 END) + 1) / (sum(n * {p}) + {len(VOTES)})"
+                f" AS {name(kind, rule, v)}"
+                for rule in RULES
+                for v in VOTES
+                for kind, p in zip(kinds, ("p", "(1 - p)"))
+            ),
+        ]
+    )
+    steps = [f"em1 AS (SELECT {shares} FROM (SELECT *, ({good} + 0.5) / ({cast} + 1.0) AS p FROM patterns))"]
+    for k in range(2, rounds + 1):
         steps.append(
-            f"em{k} AS (SELECT {sums} FROM (SELECT v.*, 1 / (1 + exp(-({evidence.format(t='v')}))) AS p"
-            f" FROM patterns v, em{k - 1} s))"
+            f"em{k} AS MATERIALIZED (SELECT {shares}"
+            f" FROM (SELECT v.*, {probability('v')} AS p FROM patterns v, em{k - 1} s))"
         )
-    votes = ", ".join(f"{vote_sql(r)} AS {r}" for r in names)
+    fences = ", ".join(
+        f"quantile_disc({ratio_sql(rule, '//')}, {q}) AS {rule}_{side}"
+        for rule in RATIOS
+        for q, side in ((0.25, "low"), (0.75, "high"))
+    )
+    votes = ", ".join(
+        f"{vote_sql(rule, f'coalesce({rule}_low, 0)', f'coalesce({rule}_high, 0)', '//')} AS {rule}"
+        for rule in RULES
+    )
     symbols = f"[{SYMBOLS}]"
     return f"""
     WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM {docs}),
@@ -286,12 +362,13 @@ def sql(rounds: int = EM_ROUNDS, docs: str = "documents") -> str:
              coalesce(n_lines, 0) AS n_lines, coalesce(n_distinct_words, 0) AS n_distinct_words
       FROM texts LEFT JOIN word_counts USING (r) LEFT JOIN line_counts USING (r)
            LEFT JOIN repeats USING (r)),
-    voted AS (SELECT *, {votes} FROM counts),
-    patterns AS (SELECT {", ".join(names)}, count(*) AS n FROM voted GROUP BY ALL),
+    fences AS (SELECT {fences} FROM counts),
+    voted AS MATERIALIZED (SELECT counts.*, {votes} FROM counts, fences),
+    patterns AS MATERIALIZED (SELECT {", ".join(RULES)}, count(*) AS n FROM voted GROUP BY ALL),
     {", ".join(steps)},
     scored AS (
       SELECT v.*, {BASE_FAILED} AS base_failed,
-             round(1 / (1 + exp(-({evidence.format(t="v")}))), 6) AS quality
+             round({probability("v")}, 6) AS quality
       FROM voted v, em{rounds} s)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
            NOT base_failed AND quality >= 0.5 AS kept, quality
