@@ -98,22 +98,17 @@ def overlapping_spans(
     """Single-spaced chunks, each opening with the end of the one before, with where they
     begin and end in the squeezed document.
 
-    One pass over the words keeps where the current chunk starts and how long
-    it is.  Only at a cut does it look back, and never past the words that
+    One pass over the words keeps where the current chunk starts, in words and in
+    characters, and how long it is.  Only at a cut does it look back, and never past the words that
     could fit into the overlap, so the work stays linear in the document.
     """
 
     def cut(tokens: Column) -> Column:
-        spans = _cut_with_overlap(tokens, max_len, overlap)
-        starts = _sums_before(F.transform(tokens, lambda t: F.length(t) + 1))
         return T.bind(
-            starts,
-            lambda first: T.bind(
-                spans,
-                lambda s: _spanned(
-                    F.transform(s, lambda x: F.array_join(F.slice(tokens, x["start"] + 1, x["stop"] - x["start"]), " ")),
-                    F.transform(s, lambda x: F.get(first, x["start"])),
-                ),
+            _cut_with_overlap(tokens, max_len, overlap),
+            lambda spans: _spanned(
+                F.transform(spans, lambda s: F.array_join(F.slice(tokens, s["start"] + 1, s["stop"] - s["start"]), " ")),
+                F.transform(spans, lambda s: s["at"]),
             ),
         )
 
@@ -145,11 +140,11 @@ def overlapping_chunks(
     )
 
 
-_SPANS = "array<struct<start:int,stop:int>>"
+_SPANS = "array<struct<start:int,stop:int,at:int>>"
 
 
-def _span(start: Column, stop: Column) -> Column:
-    return F.struct(start.alias("start"), stop.alias("stop"))
+def _span(start: Column, stop: Column, at: Column) -> Column:
+    return F.struct(start.alias("start"), stop.alias("stop"), at.alias("at"))
 
 
 def _longest_tail(
@@ -173,26 +168,30 @@ def _longest_tail(
 
 
 def _cut_with_overlap(tokens: Column, max_len: int, overlap: int) -> Column:
-    def state(i: Column, start: Column, size: Column, cuts: Column) -> Column:
+    def state(i: Column, start: Column, at: Column, size: Column, cuts: Column) -> Column:
         return F.struct(
-            i.alias("i"), start.alias("start"), size.alias("size"), cuts.alias("cuts")
+            i.alias("i"), start.alias("start"), at.alias("at"), size.alias("size"), cuts.alias("cuts")
         )
 
     def step(acc: Column, word: Column) -> Column:
-        i, start, size = acc["i"], acc["start"], acc["size"]
+        i, start, at, size = acc["i"], acc["start"], acc["at"], acc["size"]
         opened = i > start
         cut = T.bind(
             _longest_tail(tokens, start, i, overlap),
             lambda tail: state(
                 i + 1,
                 i - tail["n"],
+                # The word lies a space behind the chunk, and the tail, with a space after
+                # each of its words, before it.
+                at + size + 1 - tail["size"],
                 tail["size"] + F.length(word),
-                F.array_append(acc["cuts"], _span(start, i)),
+                F.array_append(acc["cuts"], _span(start, i, at)),
             ),
         )
         grown = state(
             i + 1,
             start,
+            at,
             size + F.length(word) + F.when(opened, 1).otherwise(0),
             acc["cuts"],
         )
@@ -201,9 +200,9 @@ def _cut_with_overlap(tokens: Column, max_len: int, overlap: int) -> Column:
 
     return F.aggregate(
         tokens,
-        state(F.lit(0), F.lit(0), F.lit(0), F.array().cast(_SPANS)),
+        state(F.lit(0), F.lit(0), F.lit(0), F.lit(0), F.array().cast(_SPANS)),
         step,
-        lambda acc: F.array_append(acc["cuts"], _span(acc["start"], acc["i"])),
+        lambda acc: F.array_append(acc["cuts"], _span(acc["start"], acc["i"], acc["at"])),
     )
 
 
