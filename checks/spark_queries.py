@@ -783,7 +783,7 @@ def mini_index(spark, sf):
     texts = table(spark, sf, "documents").select("text")
     # A file for every text; a carriage return would end a line.
     lines = texts.select(F.regexp_replace("text", r"[\r\n]", " ").alias("value"))
-    lines.write.option("maxRecordsPerFile", 1).text(source)
+    artifacts.write_texts(lines, source, "value")
     index = build.index_texts(spark, source, path, EMBEDDER, "texts", MODEL, shard_size=SHARD)
     summary = build.text_index_summary(index).first()
     number = F.split("chunk_id", "__chunk_")[1]

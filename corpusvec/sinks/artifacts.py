@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +66,42 @@ def write_lines(df: DataFrame, path: str) -> int:
     return total
 
 
+def write_texts(df: DataFrame, path: str, text: str = "text", suffix: str = ".txt") -> None:
+    """A file in ``path`` for every row, with its text as the only line; a NULL text is empty.
+
+    Files are named by partition and position, so a task that runs again writes the same
+    ones, if its rows come in the same order again, as those of a scan do.  A file gets its
+    name once it is complete.  Arrow writes them: it needs no process for each, and leaves
+    the driver none to move.
+    """
+    context = df.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).mkdirs(folder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, root = _opened(path)
+        task, written = TaskContext.get(), 0
+        for batch in batches:
+            for value in batch.column(0).cast(pa.large_binary()):
+                name = f"part-{task.partitionId():05d}-{written:09d}{suffix}"
+                hidden = f"{root.rstrip('/')}/.{name}.{task.taskAttemptId()}"
+                with target.open_output_stream(hidden) as out:
+                    out.write((value.as_py() or b"") + b"\n")
+                target.move(hidden, f"{root.rstrip('/')}/{name}")
+                written += 1
+        yield pa.RecordBatch.from_arrays([pa.array([written], pa.int64())], ["written"])
+
+    counted = df.select(F.col(text).cast("string")).mapInArrow(run, "written long")
+    counted.agg(F.sum("written")).collect()
+
+
+def _opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark names it, and the path in it."""
+    if path.startswith("file:"):
+        path = f"file:///{path.removeprefix('file:').lstrip('/')}"
+    return fs.FileSystem.from_uri(path)
+
+
 def write_vector_shards(
     df: DataFrame,
     path: str,
@@ -162,9 +199,7 @@ def _range_digester(range_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], It
     """
 
     def digest(path: str, start: int) -> bytes:
-        scheme, _, rest = path.partition(":")
-        uri = f"file:///{rest.lstrip('/')}" if scheme == "file" else path
-        source, name = fs.FileSystem.from_uri(uri)
+        source, name = _opened(path)
         found, left = hashlib.sha256(), range_bytes
         with source.open_input_file(name) as opened:
             opened.seek(start)
