@@ -227,7 +227,9 @@ def published(spark: SparkSession, sf: str) -> index_store.Index:
 def scan_jsonl(spark, sf):
     path = scratch_path(spark, "lines")
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.json(path)
+    # Four files, and more where the table has more parts, so that none grows with the table.
+    n_files = max(4, docs.rdd.getNumPartitions())
+    docs.repartitionByRange(n_files, "doc_id").sortWithinPartitions("doc_id").write.json(path)
     lines = files.scan_jsonl(spark, path, suffix="json").withColumn("chunk", F.lit(0))
     return ordinals.assign_vec_ids(lines).select(
         F.col("vec_id").alias("position"),

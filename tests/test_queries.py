@@ -1,8 +1,10 @@
 """Every registered query against its SQL, on the smallest tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from checks import spark_queries
 from checks.compare import connect, difference
 from checks.oracles import ORACLES
 from checks.spark_queries import QUERIES
@@ -25,6 +27,20 @@ def test_query(spark, con, sf, name):
     assert difference(got, want) is None
 
 
+def test_line_files_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    docs = spark.range(900).select(F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), 300).alias("text"), F.lit("en").alias("lang"))
+    docs.repartition(9).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(spark_queries, "scratch_path", lambda spark, name: f"{tmp_path}/{name}")
+    old = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
+    try:
+        got = spark_queries.scan_jsonl(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", old)
+    assert len(list((tmp_path / "lines").glob("part-*.json"))) == 9
+    assert sorted((r.position, r.doc_id) for r in got) == [(i, i) for i in range(900)]
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[:3] == ["query_id", "rank", "score"]
