@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -739,13 +741,24 @@ def sample_limit(spark, sf):
 
 def split_indexes(spark: SparkSession, sf: str) -> list[str]:
     """Five stored split indexes and one that is not there."""
-    root = scratch_path(spark, "splits")
-    docs = stored(plain_documents(spark, sf), "documents")
-    paths = []
-    for i in range(N_FILES // FILES_PER_SPLIT):
-        part = files.split_by_file_range(docs, i * FILES_PER_SPLIT, (i + 1) * FILES_PER_SPLIT)
-        paths.append(f"{root}/split{i}")
-        build.build_index(spark, part, paths[-1], EMBEDDER, f"split{i}", MODEL, shard_size=SHARD)
+    root, at = scratch_path(spark, "splits"), scratch_path(spark, "documents")
+    split_id = files.split_of_file(F.col("file_index"), FILES_PER_SPLIT)
+    # A folder for every split, so that building it reads nothing of the others.
+    dealt = plain_documents(spark, sf).withColumn("split", split_id)
+    dealt.write.partitionBy("split").parquet(at)
+    docs = spark.read.schema(dealt.schema).parquet(at)
+
+    def build_split(i: int) -> str:
+        own = docs.filter(F.col("split") == i).drop("split")
+        part = files.split_by_file_range(own, i * FILES_PER_SPLIT, (i + 1) * FILES_PER_SPLIT)
+        path = f"{root}/split{i}"
+        build.build_index(spark, part, path, EMBEDDER, f"split{i}", MODEL, shard_size=SHARD)
+        return path
+
+    # The builds share no data: while one waits for its files, others use the cores.
+    splits = range(N_FILES // FILES_PER_SPLIT)
+    with ThreadPoolExecutor(len(splits)) as pool:
+        paths = list(pool.map(build_split, splits))
     paths.insert(2, f"{root}/absent")
     return paths
 

@@ -55,17 +55,24 @@ def documents_to_chunks(documents: DataFrame) -> DataFrame:
 
 
 def documents_to_entries(
-    documents: DataFrame,
+    documents: DataFrame, embedder: Embedder, shard_size: int | None = None
+) -> DataFrame:
+    """Numbered, embedded chunks; with a shard size, in the layout of its files."""
+    return chunks_to_entries(documents_to_chunks(documents), embedder, shard_size)
+
+
+def chunks_to_entries(
+    chunks: DataFrame,
     embedder: Embedder,
     shard_size: int | None = None,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Numbered, embedded chunks; with a shard size, in the layout of its files.
+    """``documents_to_entries`` of documents that are cut into chunks already.
 
     Rows are numbered and laid out before they are embedded, so shuffles carry
     text but never vectors.  ``sizes`` is ``row_sizes`` of the chunks, if known.
     """
-    numbered = assign_vec_ids(documents_to_chunks(documents), sizes=sizes)
+    numbered = assign_vec_ids(chunks, sizes=sizes)
     titled = numbered.withColumn(
         "title", F.left(F.coalesce("title", F.lit("")), F.lit(A.TITLE_CHARS))
     )
@@ -94,13 +101,15 @@ def build_index(
 ) -> Index:
     """Chunk, number, embed, stage, verify and publish.
 
-    The documents are read twice: for the number of chunks of each, which numbers them
-    and says how many there have to be, and for the chunks.
+    The documents are read and cut once.  The stored chunks are read twice: for the number
+    of chunks of each document, which numbers them and says how many there have to be, without
+    their texts, and for the chunks.
     """
-    sizes = row_sizes(documents_to_chunks(documents))
+    chunks = settle(documents_to_chunks(documents), "chunks")
+    sizes = row_sizes(chunks)
     return publish_verified(
         spark,
-        documents_to_entries(documents, embedder, shard_size, sizes),
+        chunks_to_entries(chunks, embedder, shard_size, sizes),
         path,
         dataset=dataset,
         model=model,

@@ -41,6 +41,22 @@ def test_line_files_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
     assert sorted((r.position, r.doc_id) for r in got) == [(i, i) for i in range(900)]
 
 
+def test_a_split_is_built_from_its_own_documents(spark, sf, monkeypatch):
+    seen, build_index = [], spark_queries.build.build_index
+
+    def built(spark, part, *args, **kw):
+        seen.append({r[0] for r in part.select(F.input_file_name()).distinct().collect()})
+        return build_index(spark, part, *args, **kw)
+
+    reads, cut = [], spark_queries.build.documents_to_chunks
+    monkeypatch.setattr(spark_queries.build, "documents_to_chunks", lambda df: reads.append(df) or cut(df))
+    monkeypatch.setattr(spark_queries.build, "build_index", built)
+    paths = spark_queries.split_indexes(spark, sf)
+    assert [p.rsplit("/", 1)[1] for p in paths] == ["split0", "split1", "absent", "split2", "split3", "split4"]
+    assert len(seen) == len(reads) == 5 and all(seen)
+    assert sum(len(files) for files in seen) == len(set().union(*seen))
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns[:3] == ["query_id", "rank", "score"]
