@@ -822,6 +822,8 @@ def mini_index(spark, sf):
     lines = texts.select(F.regexp_replace("text", r"[\r\n]", " ").alias("value"))
     artifacts.write_texts(lines, source, "value")
     index = build.index_texts(spark, source, path, EMBEDDER, "texts", MODEL, shard_size=SHARD)
+    # What a session leaves is removed by its driver, which would hold the name of every text.
+    artifacts.remove_texts(spark, source)
     summary = build.text_index_summary(index).first()
     number = F.split("chunk_id", "__chunk_")[1]
     return index.entries.select(

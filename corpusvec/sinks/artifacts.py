@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 from datetime import datetime, timezone
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from corpusvec.operators.ordinals import (
     whole_parts,
 )
 from corpusvec.session import settle
+from corpusvec.sources.files import arrow_folder, opened, text_names
 
 INDEX_TYPE = "exact inner product"
 
@@ -79,7 +80,7 @@ def write_texts(df: DataFrame, path: str, text: str = "text", suffix: str = ".tx
     folder.getFileSystem(context._jsc.hadoopConfiguration()).mkdirs(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, root = _opened(path)
+        target, root = opened(path)
         task, written = TaskContext.get(), 0
         for batch in batches:
             for value in batch.column(0).cast(pa.large_binary()):
@@ -95,11 +96,29 @@ def write_texts(df: DataFrame, path: str, text: str = "text", suffix: str = ".tx
     counted.agg(F.sum("written")).collect()
 
 
-def _opened(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a path as Spark names it, and the path in it."""
-    if path.startswith("file:"):
-        path = f"file:///{path.removeprefix('file:').lstrip('/')}"
-    return fs.FileSystem.from_uri(path)
+def remove_texts(spark: SparkSession, path: str) -> None:
+    """Remove the ``.txt`` files in ``path``, as ``write_texts`` leaves them.
+
+    Tasks do it: a driver that removes a directory holds the names of all its files.  What
+    else is in the directory stays, and so does one that only Spark can open.
+    """
+    folder = arrow_folder(spark, path)
+    if folder is None:
+        return
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, root = opened(folder)
+        removed = 0
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                # A task that ran before may have removed it.
+                with suppress(FileNotFoundError):
+                    target.delete_file(f"{root.rstrip('/')}/{name}")
+                    removed += 1
+        yield pa.RecordBatch.from_arrays([pa.array([removed], pa.int64())], ["removed"])
+
+    names = text_names(spark, folder).filter("NOT partition").select("name")
+    spread(names, "name").mapInArrow(run, "removed long").agg(F.sum("removed")).collect()
 
 
 def write_vector_shards(
@@ -199,11 +218,11 @@ def _range_digester(range_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], It
     """
 
     def digest(path: str, start: int) -> bytes:
-        source, name = _opened(path)
+        source, name = opened(path)
         found, left = hashlib.sha256(), range_bytes
-        with source.open_input_file(name) as opened:
-            opened.seek(start)
-            while left and (piece := opened.read(min(left, READ_BYTES))):
+        with source.open_input_file(name) as file:
+            file.seek(start)
+            while left and (piece := file.read(min(left, READ_BYTES))):
                 found.update(piece)
                 left -= len(piece)
         return found.digest()

@@ -4,16 +4,22 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+import os
+import re
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
+from itertools import batched
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from corpusvec.operators.ordinals import spread
 from corpusvec.session import broadcast_if_small, settle
 
 # The file kinds of a corpus directory, by suffix.
@@ -26,6 +32,19 @@ FOOTER_THREADS = 16
 SMALL_FILE = 4 << 20
 # Fixed value: where Spark keeps the schema that it wrote a file with.
 _ROW_METADATA = b"org.apache.spark.sql.parquet.row.metadata"
+# Names and bytes of texts that a task holds at a time.
+NAMES_HELD, TEXT_BYTES_HELD = 1 << 16, 8 << 20
+# Fixed value: the characters that Spark gives as %XX in a file's name.
+_ENCODED = re.compile(
+    r'[\0- "#%<>?\[\\\]^`{|}\x7f-\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]'
+)
+
+
+def opened(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path as Spark names it, and the path in it."""
+    if path.startswith("file:"):
+        path = f"file:///{path.removeprefix('file:').lstrip('/')}"
+    return fs.FileSystem.from_uri(path)
 
 
 def discover_files(
@@ -295,11 +314,112 @@ def shard_line_counts(lines: DataFrame) -> DataFrame:
 
 
 def scan_text_dir(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, text``: one document per ``.txt`` file, named after it."""
-    return (
-        spark.read.option("pathGlobFilter", "*.txt")
-        .text(path, wholetext=True)
-        .select(
-            F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("text")
-        )
+    """``doc_id, text``: one document per ``.txt`` file, named after it; empty files have none.
+
+    The directory is listed by a task, into a table of names, and the files are opened where
+    their names were dealt to, so the driver holds nothing for each file.  A listing is read a
+    little at a time from a local or mounted file system; for other stores Arrow holds the
+    names of one directory in that task.  Paths that only Spark can open are read by Spark,
+    whose driver lists all files, as are patterns and directories with partitions.
+    """
+    folder = arrow_folder(spark, path)
+    if folder is not None:
+        listed = text_names(spark, folder)
+        if listed.filter("partition").isEmpty():
+            read = spread(listed.select("name"), "name").mapInArrow(
+                _text_reader(folder), "doc_id string, content binary"
+            )
+            return read.select("doc_id", F.col("content").cast("string").alias("text"))
+    read = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
+    return spread(
+        read.select(F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("text")), "doc_id"
     )
+
+
+def arrow_folder(spark: SparkSession, path: str) -> str | None:
+    """The directory as Arrow can open it; None if it is none or only Spark can."""
+    if set(path) & set("*?[{\\"):
+        return None
+    context = spark.sparkContext
+    try:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        store = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        if not store.getFileStatus(folder).isDirectory():
+            return None
+        uri = store.makeQualified(folder).toUri()
+        where = uri.getPath() if uri.getScheme() == "file" else uri.toString()
+        found, root = opened(where)
+        return where if found.get_file_info(root).type == fs.FileType.Directory else None
+    except (Py4JJavaError, pa.ArrowException, OSError):
+        return None
+
+
+def text_names(spark: SparkSession, folder: str) -> DataFrame:
+    """``name, partition``: the ``.txt`` files of a directory that Arrow can open; stored.
+
+    A directory that Spark would take for a partition is among them, and marked.
+    """
+    one = spark.range(0, 1, 1, 1)
+    return settle(one.mapInArrow(_text_lister(folder), "name string, partition boolean"), "text-names")
+
+
+def _children(store: fs.FileSystem, root: str) -> Iterator[tuple[str, bool, bool]]:
+    """The name of everything directly in a directory, and whether it is a file or a directory."""
+    if isinstance(store, fs.LocalFileSystem):
+        with os.scandir(root) as entries:
+            for entry in entries:
+                yield entry.name, entry.is_file(), entry.is_dir()
+    else:
+        for info in store.get_file_info(fs.FileSelector(root)):
+            yield info.base_name, info.type == fs.FileType.File, info.type == fs.FileType.Directory
+
+
+def _text_lister(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The ``.txt`` files that Spark would read, and the directories it would take for partitions.
+
+    One task does it, as a directory can only be read from its beginning; it holds few names.
+    """
+
+    def found() -> Iterator[tuple[str, bool]]:
+        for name, is_file, is_folder in _children(*opened(folder)):
+            hidden = name.startswith(".") or (name.startswith("_") and "=" not in name)
+            if not hidden and (is_file and name.endswith(".txt") or is_folder and "=" in name):
+                yield name, is_folder
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            for some in batched(found(), NAMES_HELD):
+                names, folders = zip(*some)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, pa.string()), pa.array(folders, pa.bool_())], ["name", "partition"]
+                )
+
+    return run
+
+
+def _text_reader(folder: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The files of the names, by the name and with the bytes that Spark gives them."""
+
+    def batch_of(rows: list[tuple[str, bytes]]) -> pa.RecordBatch:
+        ids, contents = zip(*rows)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.string()), pa.array(contents, pa.binary())], ["doc_id", "content"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = opened(folder)
+        rows, held = [], 0
+        for batch in batches:
+            for name in batch.column("name").to_pylist():
+                with store.open_input_file(f"{root.rstrip('/')}/{name}") as file:
+                    content = file.read()
+                if content:
+                    rows.append((_ENCODED.sub(lambda c: quote(c[0], safe=""), name), content))
+                    held += len(content)
+                if held >= TEXT_BYTES_HELD or len(rows) >= NAMES_HELD:
+                    yield batch_of(rows)
+                    rows, held = [], 0
+        if rows:
+            yield batch_of(rows)
+
+    return run

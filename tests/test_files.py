@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from corpusvec.sources import files
@@ -118,6 +119,45 @@ def test_shards_and_texts(spark, tmp_path):
     ]
 
 
+def test_texts_are_read_without_a_listing_in_the_driver(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "a dü%41"
+    (folder / "sub").mkdir(parents=True)
+    (folder / "sub" / "deep.txt").write_text("deep")
+    (folder / "folder.txt").mkdir()
+    odd = ["50% a.txt", "ü\u3000\u200b.txt", "a+b#c&d=e.txt", "[z]{y}~.txt", "_kept=1.txt"]
+    for name in [*odd, "_hidden.txt", ".hidden.txt", "upper.TXT", *(f"n{i}.txt" for i in range(40))]:
+        (folder / name).write_bytes(b"\xef\xbb\xbf" + name.encode() + b"\xff\r\n")
+    (folder / "empty.txt").write_text("")
+    (folder / "link.txt").symlink_to(folder / "n1.txt")
+
+    def by_spark(path):
+        read = spark.read.option("pathGlobFilter", "*.txt").text(path, wholetext=True)
+        return read.select(F.col("_metadata.file_name").alias("doc_id"), F.hex("value").alias("text"))
+
+    def rows(df):
+        return sorted(map(tuple, df.select("doc_id", F.hex("text")).collect()))
+
+    monkeypatch.setattr(files, "NAMES_HELD", 7)
+    monkeypatch.setattr(files, "TEXT_BYTES_HELD", 100)
+    path = str(folder)
+    want = sorted(map(tuple, by_spark(path).collect()))
+    assert len(want) == 46
+    for form in (path, f"file:{path}", f"file://{path}", f"{path}/"):
+        read = files.scan_text_dir(spark, form)
+        assert rows(read) == want
+        # Neither the listing nor the tasks have a place for every file.
+        assert not [f for f in read.inputFiles() if f.endswith(".txt")]
+        assert read.rdd.getNumPartitions() == 4
+    # What Spark alone understands is read as before: patterns, files and partitions.
+    assert rows(files.scan_text_dir(spark, f"{tmp_path}/a*")) == want
+    assert rows(files.scan_text_dir(spark, f"{path}/n7.txt")) == [r for r in want if r[0] == "n7.txt"]
+    (tmp_path / "parts" / "k=1").mkdir(parents=True)
+    (tmp_path / "parts" / "k=1" / "p.txt").write_text("p")
+    assert [r[0] for r in rows(files.scan_text_dir(spark, str(tmp_path / "parts")))] == ["p.txt"]
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        files.scan_text_dir(spark, str(tmp_path / "none"))
+
+
 def test_a_directory_of_mixed_schemas(spark, tmp_path):
     answers = {"plain": ["one"], "nested": [{"body": "one"}]}
     spark.createDataFrame([("t1", "q1", ["x"])], "title string, question string, answers array<string>").coalesce(

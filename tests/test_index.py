@@ -391,6 +391,21 @@ def test_texts_are_opened_once(spark, tmp_path, monkeypatch):
     assert not [f for df in passes for f in df.inputFiles() if f.endswith(".txt")]
 
 
+def test_texts_are_removed_by_tasks(spark, tmp_path):
+    source = tmp_path / "texts"
+    artifacts.write_texts(spark.range(30).select(F.col("id").cast("string").alias("value")), str(source), "value")
+    others = [source / "notes.md", source / ".hidden.txt", source / "k=1" / "x.txt"]
+    (source / "k=1").mkdir()
+    for other in others:
+        other.write_text("stays")
+    assert len(list(source.iterdir())) == 33
+    artifacts.remove_texts(spark, str(source))
+    assert sorted(source.rglob("*.*")) == sorted(others)
+    artifacts.remove_texts(spark, str(source))
+    artifacts.remove_texts(spark, str(tmp_path / "none"))
+    assert all(other.exists() for other in others)
+
+
 def test_lines_are_written_in_id_order(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(artifacts, "FILE_VECTORS", 7)
     entries = build.documents_to_entries(documents(spark), EMBEDDER)
